@@ -65,20 +65,18 @@ def postings(lines: DataFrame, stop_words: Sequence[str] = ()) -> DataFrame:
         | (pair["word"] != F.get(F.col("pairs"), pair["at"] - 1)["word"]),
     )
     heads = ordered.select("doc_id", "line_id", F.size("pairs").alias("size"), starts.alias("heads"))
-    following = F.coalesce(F.get(F.col("heads"), F.col("next"))["at"], F.col("size"))
-    return (
-        heads.select(
-            "doc_id", "line_id", "size", "heads", F.posexplode("heads").alias("place", "head")
-        )
-        .withColumn("next", F.col("place") + 1)
-        .select(
-            "head.word",
-            "doc_id",
-            "line_id",
-            "head.pos",
-            (following - F.col("head.at")).cast("bigint").alias("n"),
+
+    def counted(head: Column, place: Column) -> Column:
+        following = F.coalesce(F.get(F.col("heads"), place + 1)["at"], F.col("size"))
+        return F.struct(
+            head["word"].alias("word"),
+            head["pos"].alias("pos"),
+            (following - head["at"]).cast("bigint").alias("n"),
         )
-    )
+
+    return heads.select(
+        "doc_id", "line_id", F.inline(F.transform("heads", counted))
+    ).select("word", "doc_id", "line_id", "pos", "n")
 
 
 def merge_postings(rows: DataFrame) -> DataFrame:

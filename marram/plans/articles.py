@@ -11,8 +11,8 @@ from marram.plans.tables import (
     edits,
     page_records,
     revisions,
-    table,
     titles,
+    web_pages,
     with_tables,
 )
 from marram.sources.dumps import parse_articles
@@ -26,10 +26,6 @@ def _parsed(spark, sf):
     return parse_articles(page_records(spark, sf))
 
 
-def _pages(spark, sf):
-    return table(spark, sf, "pages").select("page_id", "html")
-
-
 def _partitions_per_contributor(spark, sf):
     placed = articles.partition_by_contributor(revisions(spark, sf), 16)
     return (
@@ -146,13 +142,13 @@ QUERIES = {
         _parsed(s, d), lambda r: F.year(r["ts"]) == 1998
     ).select("aid", "title"),
     # Web pages
-    "page_title": lambda s, d: _pages(s, d).select(
+    "page_title": lambda s, d: web_pages(s, d).select(
         "page_id", markup.element_text("html", "title").alias("title")
     ),
-    "page_elements": lambda s, d: _pages(s, d).select(
+    "page_elements": lambda s, d: web_pages(s, d).select(
         "page_id", F.posexplode(markup.elements("html", "p")).alias("ord", "element")
     ),
-    "page_element_texts": lambda s, d: _pages(s, d).select(
+    "page_element_texts": lambda s, d: web_pages(s, d).select(
         "page_id", F.explode(markup.elements("html", "li")).alias("element")
     ).select("page_id", markup.element_text("element", "a").alias("link_text")),
 }

@@ -98,25 +98,27 @@ def _sums(source: str, kernels: dict[str, tuple], edge: str = "clamp") -> str:
     """Weighted sums by an offset self-join: columns r_<name>, g_<name>, b_<name>."""
     size = len(next(iter(kernels.values())))
     weights = ", ".join(
-        f"({dx - size // 2}, {dy - size // 2}, {', '.join(str(k[dy][dx]) for k in kernels.values())})"
+        f"{{dx: {dx - size // 2}, dy: {dy - size // 2}, "
+        + ", ".join(f"w_{name}: {kernel[dy][dx]}" for name, kernel in kernels.items())
+        + "}"
         for dy in range(size)
         for dx in range(size)
     )
-    names = ", ".join(f"w_{name}" for name in kernels)
     sums = ", ".join(
-        f"CAST(sum(n.{c} * k.w_{name}) AS INTEGER) AS {c}_{name}" for name in kernels for c in "rgb"
+        f"CAST(sum(n.{c} * p.k.w_{name}) AS INTEGER) AS {c}_{name}" for name in kernels for c in "rgb"
     )
 
     def at(position: str, end: str) -> str:
-        moved = f"p.{position} + k.d{position}"
+        moved = f"{position} + k.d{position}"
         if edge == "clamp":
-            return f"greatest(0, least(p.{end} - 1, {moved}))"
+            return f"greatest(0, least({end} - 1, {moved}))"
         return f"""CASE WHEN {moved} < 0 THEN -1 - ({moved})
-        WHEN {moved} >= p.{end} THEN 2 * p.{end} - 1 - ({moved}) ELSE {moved} END"""
+        WHEN {moved} >= {end} THEN 2 * {end} - 1 - ({moved}) ELSE {moved} END"""
 
     return f"""(SELECT p.image_id, p.width, p.height, p.x, p.y, {sums}
-    FROM {source} p CROSS JOIN (VALUES {weights}) k(dx, dy, {names})
-    JOIN {source} n ON n.image_id = p.image_id AND n.x = {at("x", "width")} AND n.y = {at("y", "height")}
+    FROM (SELECT *, {at("x", "width")} AS at_x, {at("y", "height")} AS at_y
+      FROM (SELECT {_PLACE}, unnest([{weights}]) AS k FROM {source})) p
+    JOIN {source} n ON n.image_id = p.image_id AND n.x = p.at_x AND n.y = p.at_y
     GROUP BY ALL)"""
 
 

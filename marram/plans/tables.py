@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from marram.functions.numbers import idiv
 from marram.operators.raster import with_dimensions
+from marram.sources.tables import read_table, spread
 from marram.sources.text import table_lines
 
 STOP_WORDS = ("the", "and", "en", "de")
@@ -18,16 +19,12 @@ PIXELS = 64
 SIDE = 8
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 # Revisions: every line item is a revision of the article its part stands for.
 
 
 def edits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``aid, rid, ts``: revisions without their contributor, read without a join."""
-    return table(spark, sf_dir, "lineitem").select(
+    return read_table(spark, sf_dir, "lineitem").select(
         F.col("l_partkey").alias("aid"),
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("rid"),
         F.col("l_shipdate").alias("ts"),
@@ -36,10 +33,10 @@ def edits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def revisions(spark: SparkSession, sf_dir: str, flag: str | None = None) -> DataFrame:
     """``aid, rid, contributor, ts``; with ``flag`` only line items returned so."""
-    items = table(spark, sf_dir, "lineitem")
+    items = read_table(spark, sf_dir, "lineitem")
     if flag is not None:
         items = items.where(F.col("l_returnflag") == flag)
-    orders = table(spark, sf_dir, "orders")
+    orders = read_table(spark, sf_dir, "orders")
     return items.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("l_partkey").alias("aid"),
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("rid"),
@@ -49,7 +46,7 @@ def revisions(spark: SparkSession, sf_dir: str, flag: str | None = None) -> Data
 
 
 def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").select(
+    return read_table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("aid"), F.col("p_name").alias("title")
     )
 
@@ -100,14 +97,20 @@ def page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(F.transform(listed, revision), ""),
         F.lit("\n</page>"),
     )
-    return table(spark, sf_dir, "orders").select(page.alias("page"))
+    keys = ("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    orders = spread(read_table(spark, sf_dir, "orders").select(*keys))
+    return orders.select(page.alias("page"))
 
 
 # Texts.
 
 
+def web_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(read_table(spark, sf_dir, "pages").select("page_id", "html"))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,7 +134,7 @@ def files_with_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def item_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``word``: the whitespace-separated pieces of the benchmark items."""
-    return table(spark, sf_dir, "benchmark").select(F.explode(F.split("text", " ")).alias("word"))
+    return read_table(spark, sf_dir, "benchmark").select(F.explode(F.split("text", " ")).alias("word"))
 
 
 # Persons and plans: every customer is a person with a plan.
@@ -139,7 +142,7 @@ def item_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def persons(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("c_custkey")
-    return table(spark, sf_dir, "customer").select(
+    return read_table(spark, sf_dir, "customer").select(
         F.col("c_name").alias("name"),
         F.when(key % 2 == 0, "male").otherwise("female").alias("gender"),
         (key % 91 + 1928).cast("int").alias("birth_year"),
@@ -150,7 +153,7 @@ def persons(spark: SparkSession, sf_dir: str) -> DataFrame:
 def plans(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("c_custkey")
     strategies = F.array(*[F.lit(s) for s in ("growth", "balanced", "conservative", "cash")])
-    return table(spark, sf_dir, "customer").select(
+    return read_table(spark, sf_dir, "customer").select(
         F.col("c_name").alias("name"),
         (key % 16 + 25).cast("int").alias("start_age"),
         F.get(strategies, (key % 4).cast("int")).alias("strategy"),
@@ -162,7 +165,7 @@ def plans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def shared_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Persons of whom many share a name: customers named by their segment."""
     key = F.col("c_custkey")
-    return table(spark, sf_dir, "customer").select(
+    return read_table(spark, sf_dir, "customer").select(
         F.col("c_mktsegment").alias("name"),
         F.when(key % 2 == 0, "male").otherwise("female").alias("gender"),
         (key % 91 + 1928).cast("int").alias("birth_year"),
@@ -175,7 +178,7 @@ def plans_by_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("o_orderkey")
     number = F.lpad(F.col("o_custkey").cast("string"), 9, "0")
     strategies = F.array(*[F.lit(s) for s in ("Growth", "BALANCED", "conservative", "cash")])
-    return table(spark, sf_dir, "orders").select(
+    return read_table(spark, sf_dir, "orders").select(
         key.alias("plan_id"),
         F.concat(F.when(key % 3 == 0, "Nobody#").otherwise("Customer#"), number).alias("name"),
         (key % 16 + 25).cast("int").alias("start_age"),
@@ -190,7 +193,7 @@ def plans_by_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rasters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``image_id, width, height, x, y, r, g, b``."""
-    cells = table(spark, sf_dir, "embeddings").select(
+    cells = read_table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("image_id"),
         "embedding",
         F.explode(F.sequence(F.lit(0), F.lit(PIXELS - 1))).alias("p"),
@@ -214,7 +217,7 @@ def rasters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def strip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One large image of all embeddings below one another, 64 pixels wide."""
-    cells = table(spark, sf_dir, "embeddings").select(
+    cells = read_table(spark, sf_dir, "embeddings").select(
         "vec_id", "embedding", F.explode(F.sequence(F.lit(0), F.lit(PIXELS - 1))).alias("x")
     )
     value = F.get("embedding", F.col("x")).cast("double")
@@ -231,7 +234,7 @@ def strip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def elements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("value"))
+    return read_table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("value"))
 
 
 _REVISION_COLUMNS = """l_partkey AS aid, l_orderkey * 10 + l_linenumber AS rid,
