@@ -63,16 +63,31 @@ def instant_text(ts: ColumnLike) -> Column:
     return F.concat(seconds, padded, F.lit("Z"))
 
 
-def revision_struct(revision: ColumnLike, on_bad_ts: str = "fail") -> Column:
-    """One revision element as ``struct<rid, contributor, ts>``.
+def has_element(markup: ColumnLike, name: str) -> Column:
+    """Whether there is any element of that name; stops at the first."""
+    return as_column(markup).rlike(fixed.ELEMENT.format(name=name))
+
+
+def revision_texts(revision: ColumnLike) -> Column:
+    """The parts of one revision element that are always needed, as text."""
+    return F.struct(
+        as_column(revision).alias("element"),
+        element_text(revision, "id").alias("id"),
+        element_text(revision, "username").alias("user"),
+        element_text(revision, "timestamp").alias("timestamp"),
+    )
+
+
+def revision_struct(texts: Column, on_bad_ts: str = "fail") -> Column:
+    """``revision_texts`` as ``struct<rid, contributor, ts>``.
 
     The contributor is the user name, else the address, else ''.
     """
-    column = as_column(revision)
-    user = element_text(column, "username")
-    contributor = F.when(user != "", user).otherwise(element_text(column, "ip"))
+    contributor = F.when(texts["user"] != "", texts["user"]).otherwise(
+        element_text(texts["element"], "ip")
+    )
     return F.struct(
-        id_or_default(element_text(column, "id")).alias("rid"),
+        id_or_default(texts["id"]).alias("rid"),
         contributor.alias("contributor"),
-        utc_instant(element_text(column, "timestamp"), on_bad_ts).alias("ts"),
+        utc_instant(texts["timestamp"], on_bad_ts).alias("ts"),
     )

@@ -6,6 +6,9 @@ rows ``aid, rid, contributor, ts`` and perhaps ``title``. Articles turn into
 revisions without a shuffle; nothing turns revisions back into arrays, since
 one article, year or contributor may own a large part of all rows. What would
 be a group's list elsewhere is here an aggregate over the flat rows.
+
+Arrays are taken apart with outer generators and a filter behind them. Ahead of
+an inner one Spark puts a filter of its own, which would parse every page twice.
 """
 
 from __future__ import annotations
@@ -28,15 +31,19 @@ def _row_count() -> Column:
 def flatten(articles: DataFrame) -> DataFrame:
     """One row per revision; ``ord`` is its place in the page, from 0."""
     others = [name for name in articles.columns if name != "revisions"]
-    return articles.select(*others, F.posexplode("revisions").alias("ord", "revision")).select(
-        *others, "ord", "revision.rid", "revision.contributor", "revision.ts"
+    return (
+        articles.select(*others, F.posexplode_outer("revisions").alias("ord", "revision"))
+        .where(F.col("ord").isNotNull())
+        .select(*others, "ord", "revision.rid", "revision.contributor", "revision.ts")
     )
 
 
 def contributor_pairs(articles: DataFrame) -> DataFrame:
     """One row per revision: ``contributor, revision``, the latter a struct."""
-    return articles.select(F.explode("revisions").alias("revision")).select(
-        F.col("revision.contributor").alias("contributor"), "revision"
+    return (
+        articles.select(F.explode_outer("revisions").alias("revision"))
+        .where(F.col("revision").isNotNull())
+        .select(F.col("revision.contributor").alias("contributor"), "revision")
     )
 
 

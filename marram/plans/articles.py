@@ -15,7 +15,7 @@ from marram.plans.tables import (
     web_pages,
     with_tables,
 )
-from marram.sources.dumps import parse_articles
+from marram.sources.dumps import parse_articles, parse_revisions
 
 
 def _sides(spark, sf):
@@ -125,7 +125,8 @@ QUERIES = {
     ),
     "contributor_partitions": _partitions_per_contributor,
     # Pages of a dump
-    "article_parse": lambda s, d: articles.flatten(_parsed(s, d)),
+    "article_parse": lambda s, d: parse_revisions(page_records(s, d)),
+    "article_parse_nested": lambda s, d: articles.flatten(_parsed(s, d)),
     "article_accessors": _accessors,
     "article_contributor_pairs": _contributor_pairs,
     "article_text": lambda s, d: articles.article_text(_parsed(s, d)),
@@ -272,6 +273,10 @@ ORACLE = {
         "articles",
         then="""SELECT aid, title, CAST(ord AS INTEGER) AS ord, rid, contributor, ts FROM flat""",
     ),
+    "article_parse_nested": with_tables(
+        "articles",
+        then="""SELECT aid, title, CAST(ord AS INTEGER) AS ord, rid, contributor, ts FROM flat""",
+    ),
     "article_accessors": with_tables(
         "articles",
         then="""SELECT aid, title, CAST(count(*) AS INTEGER) AS revision_count,

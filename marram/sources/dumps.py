@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marram.functions import fixed, markup
@@ -28,21 +28,46 @@ def parse_articles(pages: DataFrame, page_column: str = "page", on_bad_ts: str =
     order. Columns other than the page are kept in front. A timestamp that
     cannot be read fails the job, or becomes NULL with ``on_bad_ts='null'``.
     """
-    others = [name for name in pages.columns if name != page_column]
-    cut = pages.select(
-        *others,
+    texts = F.transform(markup.elements(page_column, "revision"), markup.revision_texts)
+    return pages.where(markup.has_element(page_column, "revision")).select(
+        *_article_columns(pages, page_column),
+        F.transform(texts, lambda t: markup.revision_struct(t, on_bad_ts)).alias("revisions"),
+    )
+
+
+def _article_columns(pages: DataFrame, page_column: str) -> list[Column]:
+    return [
+        *[F.col(name) for name in pages.columns if name != page_column],
         markup.id_or_default(markup.element_text(page_column, "id")).alias("aid"),
         markup.element_text(page_column, "title").alias("title"),
-        markup.elements(page_column, "revision").alias("found"),
-    ).where(F.size("found") >= 1)
-    return cut.select(
-        *others,
-        "aid",
-        "title",
-        F.transform("found", lambda r: markup.revision_struct(r, on_bad_ts)).alias("revisions"),
+    ]
+
+
+def parse_revisions(pages: DataFrame, page_column: str = "page", on_bad_ts: str = "fail") -> DataFrame:
+    """The same articles as flat revisions: ``aid, title, ord, rid, contributor, ts``.
+
+    ``ord`` is the revision's place in its page, from 0. Cheaper than parsing
+    to arrays and flattening them: no array of parsed revisions is built.
+    """
+    articles = _article_columns(pages, page_column)
+    names = [name for name in pages.columns if name != page_column] + ["aid", "title"]
+    # An outer generator, as Spark would evaluate the extraction a second time
+    # to filter out pages without revisions ahead of an inner one.
+    cut = pages.select(
+        *articles, F.posexplode_outer(markup.elements(page_column, "revision")).alias("ord", "found")
+    ).where(F.col("ord").isNotNull())
+    parsed = cut.select(*names, "ord", markup.revision_texts("found").alias("texts"))
+    revision = markup.revision_struct(F.col("texts"), on_bad_ts)
+    return parsed.select(*names, "ord", revision.alias("revision")).select(
+        *names, "ord", "revision.rid", "revision.contributor", "revision.ts"
     )
 
 
 def read_articles(spark: SparkSession, *paths: str, on_bad_ts: str = "fail") -> DataFrame:
     """Articles of a dump; call it once per dump to compare two of them."""
     return parse_articles(read_page_records(spark, *paths), on_bad_ts=on_bad_ts)
+
+
+def read_revisions(spark: SparkSession, *paths: str, on_bad_ts: str = "fail") -> DataFrame:
+    """Flat revisions of a dump."""
+    return parse_revisions(read_page_records(spark, *paths), on_bad_ts=on_bad_ts)
