@@ -55,7 +55,8 @@ def documents_from_records(records: DataFrame) -> DataFrame:
 def document_lines(documents: DataFrame) -> DataFrame:
     """Numbered lines of a document collection: ``doc_id, line_id, line``.
 
-    A header line has number 0. Text before any header counts from 1.
+    A header line has number 0. Text before any header counts from 1. An empty
+    last line of a document, which has no words, is not listed.
     """
     first = F.when(F.col("text").startswith(fixed.DOCUMENT_HEADER), 0).otherwise(1)
     parts = documents.select("doc_id", first.alias("first"), text.line_parts("text").alias("parts"))
