@@ -32,10 +32,12 @@ def occurrences(lines: DataFrame, stop_words: Sequence[str] = ()) -> DataFrame:
 def occurrences_without(lines: DataFrame, stop_words: DataFrame) -> DataFrame:
     """Like ``occurrences``, with the stop words in a table ``word``.
 
-    Spark broadcasts the table if its size permits and shuffles it otherwise.
-    Positions are counted after the removal, within one line's words.
+    Spark broadcasts the table if its size permits and shuffles it otherwise;
+    frequent words are then split over tasks by the adaptive skew join, which
+    is why the table is not made distinct here. Positions are counted after
+    the removal, within one line's words.
     """
-    kept = occurrences(lines).join(stop_words.select("word").distinct(), "word", "left_anti")
+    kept = occurrences(lines).join(stop_words.select("word"), "word", "left_anti")
     in_line = Window.partitionBy("doc_id", "line_id").orderBy("pos")
     return kept.select(
         "word", "doc_id", "line_id", (F.row_number().over(in_line) - 1).alias("pos")

@@ -81,7 +81,8 @@ def retirement_projection(
 
 def plans_without_person(persons: DataFrame, plans: DataFrame) -> DataFrame:
     """Plans that name nobody in the persons table."""
-    return plans.join(persons.select("name").distinct(), "name", "left_anti")
+    known = persons.select("name").distinct().withColumn("_known", F.lit(True))
+    return lookup_join(plans, known, "name", "left").where(F.col("_known").isNull()).drop("_known")
 
 
 def lifestyle_bands(projection: DataFrame) -> DataFrame:

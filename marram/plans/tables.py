@@ -17,6 +17,7 @@ from marram.sources.text import table_lines
 STOP_WORDS = ("the", "and", "en", "de")
 PIXELS = 64
 SIDE = 8
+STRIP_ROWS = 1_000_000_000
 
 
 # Revisions: every line item is a revision of the article its part stands for.
@@ -216,16 +217,19 @@ def rasters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def strip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One large image of all embeddings below one another, 64 pixels wide."""
+    """One large image of all embeddings below one another, 64 pixels wide.
+
+    Every billion of embeddings start another image.
+    """
     cells = read_table(spark, sf_dir, "embeddings").select(
         "vec_id", "embedding", F.explode(F.sequence(F.lit(0), F.lit(PIXELS - 1))).alias("x")
     )
     value = F.get("embedding", F.col("x")).cast("double")
     shade = F.floor((value + 1) * 127.5).cast("int")
     pixels = cells.select(
-        F.lit(0).cast("bigint").alias("image_id"),
+        idiv("vec_id", STRIP_ROWS).alias("image_id"),
         "x",
-        F.col("vec_id").cast("int").alias("y"),
+        (F.col("vec_id") % STRIP_ROWS).cast("int").alias("y"),
         shade.alias("r"),
         (255 - shade).alias("g"),
         idiv(shade, 2).cast("int").alias("b"),
@@ -287,8 +291,8 @@ SQL = {
   shades AS (SELECT vec_id, CAST(p AS INTEGER) AS x,
     CAST(floor((CAST(embedding[p + 1] AS DOUBLE) + 1) * CAST(127.5 AS DOUBLE)) AS INTEGER) AS shade
     FROM cells),
-  rasters AS (SELECT CAST(0 AS BIGINT) AS image_id, 64 AS width, height, x,
-    CAST(vec_id AS INTEGER) AS y, shade AS r, 255 - shade AS g, shade // 2 AS b
+  rasters AS (SELECT vec_id // 1000000000 AS image_id, 64 AS width, height, x,
+    CAST(vec_id % 1000000000 AS INTEGER) AS y, shade AS r, 255 - shade AS g, shade // 2 AS b
     FROM shades, size)""",
 }
 

@@ -22,6 +22,8 @@ def write_index_tree(tree: DataFrame, path: str, files: int | None = None) -> No
     The files of a directory, taken by name, are in order from the longest
     word to the shortest. Rows are spread by ranges of the whole order, so a
     large length range, and even one word's entry, is written by many tasks.
+    Finding the ranges reads the rows once more than writing them does: for a
+    large corpus build the tree from postings that were stored as a table.
     """
     order = [
         F.col("bucket").asc(),
