@@ -27,7 +27,9 @@ def lookup_join(
     handling cannot split the join. Keys with more than ``rows_per_split``
     fact rows are split into that many more parts, and only their lookup rows
     are repeated. Every row still meets its partner, so the result is that of
-    the plain join.
+    the plain join. Parts depend on a row's values alone, so a lost task can be
+    run again; a part that is large because its rows are copies of one another
+    is left to the adaptive skew join, which can split this join's left side.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be 'inner' or 'left', not {how!r}")

@@ -35,13 +35,13 @@ def documents_from_records(records: DataFrame) -> DataFrame:
     """Documents from records ``value`` cut in front of their header lines.
 
     The cut takes the header's opening away from all but a file's first
-    record. A first record that neither starts with a header nor has a quoted
-    number in its first line is text before any header, document 0.
+    record. A record is text before any header, document 0, if it starts with
+    another tag or has no quoted number in its first line.
     """
     header = fixed.DOCUMENT_HEADER
     quoted_id = F.regexp_extract("value", r'^[^"\r\n]*"([+-]?\d+)"', 1)
     complete = F.col("value").startswith(header)
-    preamble = ~complete & (quoted_id == "")
+    preamble = ~complete & (F.col("value").startswith("<") | (quoted_id == ""))
     return records.select(
         F.when(preamble, F.lit(0).cast("bigint"))
         .otherwise(quoted_id.cast("bigint"))

@@ -1,5 +1,6 @@
 import pytest
 from conftest import exchanges
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from marram.functions import text
@@ -86,6 +87,22 @@ def test_a_file_may_start_with_a_header(spark, tmp_path):
     assert found == [(5, 0, '<Document id="5">'), (5, 1, "x")]
 
 
+def test_a_file_may_start_with_another_tag(spark, tmp_path):
+    content = '<corpus size="300">\ntext\n<Document id="5">\nx\n'
+    found = rows(document_lines(collection(spark, tmp_path, content)))
+    assert found == [
+        (0, 1, '<corpus size="300">'),
+        (0, 2, "text"),
+        (5, 0, '<Document id="5">'),
+        (5, 1, "x"),
+    ]
+
+
+def test_a_header_without_id_fails(spark, tmp_path):
+    with pytest.raises(PySparkException):
+        collection(spark, tmp_path, "<Document>\nx\n").collect()
+
+
 def test_header_words_are_indexed_too(spark, tmp_path):
     frame = document_lines(collection(spark, tmp_path))
     header = index.occurrences(frame).where("doc_id = 18 and line_id = 0").orderBy("pos")
