@@ -34,7 +34,7 @@ def _case_blind(line, target):
 
 def _placed(spark, sf):
     rows = index.place_by_bucket(_index_words(spark, sf), 8)
-    return rows.select("word", F.spark_partition_id().alias("partition"))
+    return rows.select("word", F.spark_partition_id().alias("place"))
 
 
 def _counters(spark, sf):
@@ -163,7 +163,7 @@ ORACLE = {
   WHEN {_PALINDROME} THEN 'palindrome' END AS kind FROM totals) WHERE kind IS NOT NULL GROUP BY 1"""
     ),
     "index_partitions": _index(f"SELECT word, {_BUCKET} AS bucket FROM totals"),
-    "index_placement": _index(f'SELECT word, {_BUCKET} AS "partition" FROM totals'),
+    "index_placement": _index(f"SELECT word, {_BUCKET} AS place FROM totals"),
     "index_tree": _index(
         rf"""SELECT word, doc_id, line_id, text, {_BUCKET} AS bucket,
   CAST(length(word) AS INTEGER) AS length FROM (

@@ -10,13 +10,13 @@ def read_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
 
 
 def spread(frame: DataFrame) -> DataFrame:
-    """Rows dealt out to all cores if the files alone give fewer tasks than that.
+    """Rows dealt out to all cores if the files alone keep less than half of them busy.
 
     For work that costs far more than moving its input, on inputs of a few
-    files. Any input with more splits than there are cores, so any large one,
-    is returned as it is and not shuffled.
+    files. An input with more splits, so any large one, is returned as it is
+    and not shuffled.
     """
     cores = frame.sparkSession.sparkContext.defaultParallelism
-    if frame.rdd.getNumPartitions() >= cores:
+    if 2 * frame.rdd.getNumPartitions() > cores:
         return frame
     return frame.repartition(cores)
