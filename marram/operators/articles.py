@@ -20,6 +20,9 @@ from pyspark.sql import functions as F
 
 from marram.functions import fixed, markup
 
+# A top-k of at most so many rows is broadcast to the titles.
+BROADCAST_ROWS = 10_000
+
 
 def _row_count() -> Column:
     return F.count(F.lit(1))
@@ -195,10 +198,13 @@ def articles_by_revisions(revisions: DataFrame) -> DataFrame:
 def top_articles(revisions: DataFrame, titles: DataFrame, k: int = fixed.TOP) -> DataFrame:
     """The ``k`` most revised articles: ``aid, title, n_revisions``.
 
-    Titles (``aid, title``) are looked up for the winners only.
+    Titles (``aid, title``) are looked up for the winners only, which are
+    broadcast while ``k`` says that they are few.
     """
     best = articles_by_revisions(revisions).limit(k)
-    return titles.join(F.broadcast(best), "aid").select("aid", "title", "n_revisions")
+    if k <= BROADCAST_ROWS:
+        best = F.broadcast(best)
+    return titles.join(best, "aid").select("aid", "title", "n_revisions")
 
 
 def contributor_counts(revisions: DataFrame) -> DataFrame:

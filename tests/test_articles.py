@@ -211,6 +211,20 @@ def test_ties_are_broken_by_key(spark):
     assert [r.contributor for r in articles.top_contributors(rows, 2).collect()] == ["x", "y"]
 
 
+def test_top_articles_look_up_titles(spark):
+    rows = flat(spark, [(a, i, "x", "2013-01-01") for a in range(5) for i in range(a)])
+    titles = spark.createDataFrame([(a, f"T{a}") for a in range(9)], "aid bigint, title string")
+    found = sorted(map(tuple, articles.top_articles(rows, titles, 2).collect()))
+    assert found == [(3, "T3", 3), (4, "T4", 4)]
+    assert "BroadcastExchange" in plan_of(articles.top_articles(rows, titles, 2))
+
+
+def test_contributors_may_be_estimated(spark):
+    rows = flat(spark, [(1, i, f"c{i % 20}", "2013-01-01") for i in range(200)])
+    assert articles.unique_contributors(rows).first().n_contributors == 20
+    assert 18 <= articles.unique_contributors(rows, approximate=True).first().n_contributors <= 22
+
+
 def test_user_aggregates_per_year(spark):
     rows = flat(
         spark,
