@@ -51,11 +51,14 @@ def parse_revisions(pages: DataFrame, page_column: str = "page", on_bad_ts: str
     """
     articles = _article_columns(pages, page_column)
     names = [name for name in pages.columns if name != page_column] + ["aid", "title"]
+    found = pages.select(*articles, markup.elements(page_column, "revision").alias("all_found"))
     # An outer generator, as Spark would evaluate the extraction a second time
-    # to filter out pages without revisions ahead of an inner one.
-    cut = pages.select(
-        *articles, F.posexplode_outer(markup.elements(page_column, "revision")).alias("ord", "found")
-    ).where(F.col("ord").isNotNull())
+    # to filter out pages without revisions ahead of an inner one; and a step of
+    # its own, as it would otherwise read id and title off the page once per
+    # revision.
+    cut = found.select(*names, F.posexplode_outer("all_found").alias("ord", "found")).where(
+        F.col("ord").isNotNull()
+    )
     parsed = cut.select(*names, "ord", markup.revision_texts("found").alias("texts"))
     revision = markup.revision_struct(F.col("texts"), on_bad_ts)
     return parsed.select(*names, "ord", revision.alias("revision")).select(

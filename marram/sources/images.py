@@ -26,14 +26,14 @@ def pixels_of_images(images: DataFrame) -> DataFrame:
     holds at once is one pixel row. Bytes are blue, green, red (and alpha) per
     pixel, or one gray byte.
     """
-    rows = images.select(
+    fields = images.select(
         F.col("image.origin").alias("image_id"),
         F.col("image.width").alias("width"),
         F.col("image.height").alias("height"),
         F.col("image.nChannels").alias("stride"),
         F.col("image.data").alias("data"),
-        F.explode(F.sequence(F.lit(0), F.col("image.height") - 1)).alias("y"),
     )
+    rows = fields.select("*", F.explode(F.sequence(F.lit(0), F.col("height") - 1)).alias("y"))
     row_bytes = F.col("width") * F.col("stride")
     cut = rows.select(
         "image_id",

@@ -292,6 +292,9 @@ def test_flat_parse_extracts_once(spark, tmp_path):
     pages(spark, page(revision(1))).write.text(directory)
     plan = plan_of(read_revisions(spark, directory))
     assert plan.count("regexp_extract_all") == 1
+    above, below = plan.split("Generate posexplode", 1)
+    # Id and title are read once per page, below the generator, not per revision.
+    assert "<title" not in above and "<title" in below
 
 
 def test_partitioning_by_contributor(spark):
