@@ -21,11 +21,14 @@ def connection():
         yield opened
 
 
+OWN = [name for name in entry.queries() if name not in entry.LLM_QUERIES]
+
+
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(OWN) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", OWN)
 def test_query_agrees_with_sql(spark, connection, name):
     # A few answers are empty on the smallest tables; both sides must say so.
     assert compare.compare(spark, connection, SF_DIR, name, {}) in ("", "no rows on either side")
