@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Tasks get this package's functions with the job, so it need not be installed
+# on the executors. What is broadcast must be plain data.
+cloudpickle.register_pickle_by_value(sys.modules[__package__])
+
 # Fixed patterns: white space separates tokens; words are letters, digits and
 # everything beyond ASCII, after A-Z have been lowered.
 TOKEN = "[^\\x20\\x09-\\x0D]+"
@@ -127,13 +134,14 @@ def in_blocks(rows: DataFrame, key: str, salt: Column, block: int) -> DataFrame:
 def by_runs(
     rows: DataFrame,
     keys: list[str],
-    function: Callable[[pd.DataFrame], pd.DataFrame | None],
+    function: Callable[[dict[str, np.ndarray]], dict[str, np.ndarray] | None],
     schema: str,
 ) -> DataFrame:
-    """``function`` over the rows of each key, for very many small groups.
+    """``function`` over the columns of each key's rows, for very many small groups.
 
     Rows are dealt out and sorted by key; groups are runs in a task's batches,
-    the last of a batch waits for the next. A group must be bounded.
+    the last of a batch waits for the next. A group must be bounded; groups of
+    one row are left out.
     """
 
     def runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -141,23 +149,37 @@ def by_runs(
         for batch in batches:
             if rest is not None:
                 batch = pd.concat([rest, batch], ignore_index=True)
-            if not len(batch):
-                continue
-            new = (batch[keys] != batch[keys].shift()).any(axis=1).to_numpy().nonzero()[0]
-            yield from done(batch, new)
-            rest = batch.iloc[new[-1] :]
+            if len(batch):
+                starts = (batch[keys] != batch[keys].shift()).any(axis=1).to_numpy().nonzero()[0]
+                yield from done(batch, starts)
+                rest = batch.iloc[starts[-1] :]
         if rest is not None:
-            yield from done(pd.concat([rest, rest.iloc[:1]]), [0, len(rest)])
+            yield from done(rest, [0, len(rest)])
 
     def done(batch: pd.DataFrame, starts) -> Iterator[pd.DataFrame]:
-        out = [
-            found
-            for start, end in zip(starts[:-1], starts[1:], strict=True)
-            if end - start > 1
-            and (found := function(batch.iloc[start:end])) is not None
-        ]
+        arrays = {name: batch[name].to_numpy() for name in batch.columns}
+        out = []
+        for start, end in zip(starts[:-1], starts[1:], strict=True):
+            if end - start > 1:
+                found = function({name: values[start:end] for name, values in arrays.items()})
+                if found is not None:
+                    out.append(pd.DataFrame(found))
         if out:
             yield pd.concat(out, ignore_index=True)
 
     dealt = rows.repartition(*[F.col(key) for key in keys]).sortWithinPartitions(*keys)
     return dealt.mapInPandas(runs, schema)
+
+
+def local_links(near: np.ndarray) -> np.ndarray:
+    """First member of each row's connected part, by a symmetric matrix of links."""
+    first = np.full(len(near), -1)
+    for start in range(len(near)):
+        if first[start] < 0:
+            part = new = near[start].copy()
+            part[start] = True
+            while new.any():
+                new = near[new.nonzero()[0]].any(axis=0) & ~part
+                part |= new
+            first[part] = start
+    return first

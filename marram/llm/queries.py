@@ -5,8 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from marram.llm import chat, contamination, mixing, secrets
-from marram.llm.common import count_tokens, stored
+from marram.llm import (
+    caps,
+    chat,
+    contamination,
+    language,
+    language_model,
+    mixing,
+    quality,
+    secrets,
+    simhash,
+    spans,
+)
+from marram.llm.common import count_tokens, remainder, stored
 from marram.sources.tables import read_table
 
 # Conversations are logged as deltas of at most so many characters.
@@ -27,6 +38,33 @@ def op1_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op2_quality(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read_table(spark, sf, "documents").select("doc_id", "text", "n_chars")
+    labels = read_table(spark, sf, "labels").where(remainder(F.col("doc_id")) != 0)
+    scored = quality.with_score(docs, quality.train(docs, labels))
+    return scored.select(
+        "doc_id",
+        (remainder(F.col("doc_id")) == 0).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"),
+    )
+
+
+def op3_language(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read_table(spark, sf, "documents").select("doc_id", "text", "lang")
+    filters = language.train(docs.where(remainder(F.col("doc_id")) != 0))
+    return language.with_language(docs, filters).select(
+        "doc_id",
+        (remainder(F.col("doc_id")) == 0).alias("held_out"),
+        F.col("language.lang").alias("lang_pred"),
+        F.col("language.score").alias("score"),
+    )
+
+
+def op4_embeddings(spark: SparkSession, sf: str) -> DataFrame:
+    return caps.near_vectors(read_table(spark, sf, "embeddings"))
+
+
 def conversation_events(conversations: DataFrame) -> DataFrame:
     """Each row of a conversation as a message and deltas, numbered through the conversation."""
     more = conversations.sparkSession.createDataFrame(
@@ -66,6 +104,33 @@ def op5_chat(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op6_spans(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read_table(spark, sf, "documents").select("doc_id", "text")
+    return spans.without_repeats(docs)
+
+
+def op7_language_model(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read_table(spark, sf, "documents").select("doc_id", "text")
+    held_out = remainder(F.col("doc_id")) == 1
+    model, counts = language_model.train(docs.where(~held_out))
+    return language_model.score(docs, model, counts).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.n_tokens).cast("bigint").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
+
+
+def op8_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read_table(spark, sf, "documents")
+    return simhash.near_duplicates(docs).select(
+        "doc_id", simhash.hex_digits("fp").alias("fingerprint"), "component_id"
+    )
+
+
 def op9_mixing(spark: SparkSession, sf: str) -> DataFrame:
     docs = read_table(spark, sf, "documents")
     slim = stored(docs.select("doc_id", "source", count_tokens(F.col("text")).alias("size")), "slim")
@@ -91,7 +156,13 @@ def op10_secrets(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_quality": op2_quality,
+    "op3_language": op3_language,
+    "op4_embeddings": op4_embeddings,
     "op5_chat": op5_chat,
+    "op6_spans": op6_spans,
+    "op7_language_model": op7_language_model,
+    "op8_simhash": op8_simhash,
     "op9_mixing": op9_mixing,
     "op10_secrets": op10_secrets,
 }
