@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -29,23 +30,23 @@ SLOTS = _SHARES + (len(_STATISTICS) + len(_PUNCTUATION)) * BINS
 
 
 def _log_bin(value: float) -> int:
-    return min(BINS - 1, int(np.log2(1 + value)))
+    return min(BINS - 1, int(math.log2(1 + value)))
 
 
 def _share_bin(part: float, whole: float) -> int:
-    return min(BINS - 1, int((part / whole) ** 0.5 * BINS)) if whole else 0
+    return min(BINS - 1, int(math.sqrt(part / whole) * BINS)) if whole else 0
 
 
 def features(text: str | None, n_chars: float | None, slots: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
     """Slots and values of a document: hashed words, statistics of its form, and its stated length."""
     data = (text or "").encode()
-    kinds = np.bincount(np.frombuffer(data, np.uint8), minlength=256)
+    kinds = np.bincount(np.frombuffer(data, np.uint8), minlength=256).tolist()
     tokens = data.lower().split()
     lines = data.split(b"\n")
     counts = Counter(tokens)
     size, n_tokens, n_lines = len(data), len(tokens), len(lines)
-    letters = kinds[65:91].sum() + kinds[97:123].sum()
-    signs = kinds[_PUNCTUATION]
+    upper = sum(kinds[65:91])
+    signs = [kinds[b] for b in _PUNCTUATION]
     missing = n_chars is None or n_chars != n_chars
     bins = [
         _log_bin(size),
@@ -56,12 +57,12 @@ def features(text: str | None, n_chars: float | None, slots: dict[bytes, int]) -
         _share_bin(len(counts), n_tokens),
         _share_bin(len(set(lines)), n_lines),
         _share_bin(max(counts.values(), default=0), n_tokens),
-        _share_bin(kinds[65:91].sum(), letters),
-        _share_bin(kinds[48:58].sum(), size),
+        _share_bin(upper, upper + sum(kinds[97:123])),
+        _share_bin(sum(kinds[48:58]), size),
         _share_bin(kinds[32], size),
-        _share_bin(kinds[128:].sum(), size),
-        _share_bin(signs.max(), size),
-        _share_bin(signs.sum(), size),
+        _share_bin(sum(kinds[128:]), size),
+        _share_bin(max(signs), size),
+        _share_bin(sum(signs), size),
         _share_bin(sum(n for t, n in counts.items() if len(t) < 4), n_tokens),
         BINS - 1 if missing else min(BINS - 2, _log_bin(max(0.0, float(n_chars)))),
     ]
@@ -69,8 +70,9 @@ def features(text: str | None, n_chars: float | None, slots: dict[bytes, int]) -
     form = _SHARES + np.arange(len(bins)) * BINS + bins
     if len(slots) > _REMEMBERED:
         slots.clear()
-    for token in counts.keys() - slots.keys():
-        slots[token] = zlib.crc32(token) & (_SHARES - 1)
+    for token in counts:
+        if token not in slots:
+            slots[token] = zlib.crc32(token) & (_SHARES - 1)
     hashed = np.fromiter((slots[token] for token in counts), np.int64, len(counts))
     weights = np.log1p(np.fromiter(counts.values(), np.float64, len(counts)))
     words, inverse = np.unique(hashed, return_inverse=True)
