@@ -81,7 +81,7 @@ class Filters:
         return np.clip((counts - total * self.false_rate) / (1 - self.false_rate) / total, 0, 1)
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        shares = self.shares(text)
+        shares = self.shares(text) if self.languages else None
         if shares is None:
             return UNKNOWN, 0.0
         best = int(shares.argmax())
@@ -118,7 +118,7 @@ def train(
 
     Fitted on at most ``most`` documents and ``capacity`` n-grams of each
     language; only those n-grams reach the driver. Rows without a language are
-    not used; a table with no language at all is an error.
+    not used; filters of no language at all give ``und`` to every text.
     """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -149,10 +149,7 @@ def train(
         .toArrow()
     )
     found = chosen.to_pandas()
-    if found.empty:
-        raise ValueError("no document has a language and a letter")
-    sizes = found["lang"].value_counts()
-    languages = sorted(sizes.index)
+    languages = sorted(found["lang"].unique())
     masks = np.zeros((1 << POSITION_BITS, -(-len(languages) // 64)), np.uint64)
     rates = []
     for at, lang in enumerate(languages):

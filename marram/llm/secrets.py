@@ -147,17 +147,23 @@ def joined(spans: Column) -> Column:
     return F.array_join(one, ",")
 
 
-def attach(versions: DataFrame, findings: DataFrame, text_col: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:
-    """Every row of ``versions`` with ``spans`` of its content, an empty array if it has none.
+def attach(
+    versions: DataFrame,
+    findings: DataFrame,
+    text_col: str = "text",
+    rules: Sequence[Rule] = RULES,
+    name: str = "spans",
+) -> DataFrame:
+    """Every row of ``versions`` with the spans of its content, an empty array if it has none.
 
-    Copies of one content, however many, each get its spans. A column
-    ``spans`` of ``versions`` is replaced.
+    Copies of one content, however many, each get its spans. A column of
+    ``versions`` that is called as the result is replaced.
     """
-    summary = stored(spans_by_blob(findings, rules).withColumnRenamed("blob", "_blob"), "spans")
-    named = versions.drop("spans").withColumn("_blob", blob_id(F.col(text_col)))
+    summary = stored(spans_by_blob(findings, rules).toDF("_blob", name), "spans")
+    named = versions.drop(name).withColumn("_blob", blob_id(F.col(text_col)))
     none = F.array().cast("array<struct<start:bigint,place:int,end:bigint,kind:string>>")
     return (
-        named.join(summary, "_blob", "left").drop("_blob").withColumn("spans", F.coalesce("spans", none))
+        named.join(summary, "_blob", "left").drop("_blob").withColumn(name, F.coalesce(name, none))
     )
 
 
