@@ -13,13 +13,16 @@ from pyspark.sql import functions as F
 from marram.llm.common import by_runs, components, in_blocks, local_links, stored
 
 LEAST = 0.93
-# Expected number of caps that a vector lies in, and caps per vector of the largest label.
-CAPS_OF_A_VECTOR = 40
+# A random vector is expected in so many caps; a vector in fewer than the least
+# is given its best directions up to that. Caps per vector of the largest label.
+CAPS_OF_A_VECTOR = 20
+LEAST_CAPS = 40
 CAPS_PER_VECTOR = 4
 PARTS = 3
 BLOCK = 1024
 SEED = 11
 _ROWS_AT_ONCE = 64
+_TOP = 12
 
 
 def code(dimension: int, size: int, seed: int = SEED) -> list[np.ndarray]:
@@ -38,14 +41,18 @@ def rotation(dimension: int, seed: int = SEED) -> np.ndarray:
     return q * np.sign(np.diag(r))
 
 
-def decode(vectors: np.ndarray, size: int, caps: float = CAPS_OF_A_VECTOR) -> tuple[np.ndarray, np.ndarray]:
+def decode(
+    vectors: np.ndarray, size: int, caps: float = CAPS_OF_A_VECTOR, fewest: int = LEAST_CAPS
+) -> tuple[np.ndarray, np.ndarray]:
     """All filter directions whose cap holds each unit vector: (row, filter).
 
     A direction takes one code vector per stretch, and its inner product is
     the sum of theirs. Stretch by stretch, sums that the rest cannot lift over
     the threshold are dropped, so all of the code need not be tried. The
-    threshold is that of ``caps`` expected directions for a random vector.
-    A vector whose list would be empty is given its best direction.
+    threshold is that of ``caps`` expected directions for a random vector, or,
+    for a vector with fewer than ``fewest`` directions over it, its own: that of
+    about its ``fewest`` best, found among its best code vectors of each
+    stretch. Near vectors have near thresholds, so their lists overlap.
     """
     dimension = vectors.shape[1]
     parts = code(dimension, size)
@@ -59,7 +66,12 @@ def decode(vectors: np.ndarray, size: int, caps: float = CAPS_OF_A_VECTOR) -> tu
         chunk = turned[start : start + _ROWS_AT_ONCE]
         sums = [chunk[:, a:b] @ part.T for a, b, part in zip(bounds[:-1], bounds[1:], parts, strict=True)]
         best = [s.max(axis=1) for s in sums]
-        need = np.minimum(level, sum(best) - 1e-12)
+        tops = [-np.partition(-s, min(_TOP, size) - 1, axis=1)[:, :_TOP] for s in sums]
+        totals = tops[0]
+        for top in tops[1:]:
+            totals = (totals[:, :, None] + top[:, None, :]).reshape(len(chunk), -1)
+        at = min(fewest, totals.shape[1]) - 1
+        need = np.minimum(level, -np.partition(-totals, at, axis=1)[:, at] - 1e-12)
         row, total, name = np.arange(len(chunk)), np.zeros(len(chunk)), np.zeros(len(chunk), np.int64)
         for at, own in enumerate(sums):
             rest = sum((best[k] for k in range(at + 1, len(sums))), np.zeros(len(chunk)))
@@ -104,6 +116,8 @@ def links(nodes: DataFrame, least: float = LEAST, block: int = BLOCK) -> tuple[D
     """
     largest = nodes.groupBy("group").count().agg(F.max("count")).first()[0] or 0
     size = code_size(largest)
+    number = "int" if size**PARTS < 1 << 31 else "long"
+    kind = nodes.schema["vector"].dataType.simpleString()
 
     def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -112,6 +126,7 @@ def links(nodes: DataFrame, least: float = LEAST, block: int = BLOCK) -> tuple[D
                     part = same.iloc[start : start + 1000]
                     row, name = decode(_unit(part["vector"]), size)
                     cuts = np.searchsorted(row, np.arange(len(part) + 1))
+                    name = name.astype(np.int32 if number == "int" else np.int64)
                     own = [name[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
                     out = part.iloc[row].reset_index(drop=True)
                     out["cap"] = name
@@ -119,7 +134,8 @@ def links(nodes: DataFrame, least: float = LEAST, block: int = BLOCK) -> tuple[D
                     yield out
 
     keyed = nodes.mapInPandas(
-        expand, "node string, group string, vector array<double>, copies long, cap long, caps array<long>"
+        expand,
+        f"node string, group string, vector {kind}, copies long, cap {number}, caps array<{number}>",
     ).withColumn("key", F.concat_ws(":", "group", "cap"))
 
     def compare(rows: dict[str, np.ndarray]) -> dict[str, np.ndarray] | None:
@@ -173,10 +189,12 @@ def near_vectors(
     different length are never linked. Rows of one id are vectors of their own;
     null ids come last when the smallest is sought.
     """
+    kind = vectors.schema[vector_col].dataType
+    given = F.col(vector_col)
     rows = vectors.select(
         F.col(id_col).alias("id"),
         F.col(label_col).cast("string").alias("label"),
-        F.col(vector_col).cast("array<double>").alias("vector"),
+        (given if kind.simpleString() == "array<float>" else given.cast("array<double>")).alias("vector"),
     )
     fit = usable(F.col("vector")) & F.col("label").isNotNull()
     named = stored(

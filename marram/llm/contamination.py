@@ -49,7 +49,7 @@ def _terms(phrases: DataFrame, index: DataFrame) -> DataFrame:
     split = phrases.select("phrase", "size", F.posexplode(F.split("phrase", " ")).alias("offset", "word"))
     terms = split.select("phrase", "size", "offset", F.xxhash64("word").alias("term"))
     wanted = terms.select("term").distinct()
-    counts = index.join(wanted, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    counts = index.groupBy("term").agg(F.count(F.lit(1)).alias("n")).join(wanted, "term", "left_semi")
     by_rarity = Window.partitionBy("phrase").orderBy("n", "offset")
     known = terms.join(counts, "term").withColumn("rank", F.row_number().over(by_rarity))
     whole = F.count(F.lit(1)).over(Window.partitionBy("phrase")) == F.col("size")
@@ -69,14 +69,17 @@ def candidates(index: DataFrame, phrases: DataFrame, lists: int = 2) -> DataFram
     )
     # The rarest list goes first: only its places can be in the intersection.
     places = shifted.where("rank = 1 and start >= 0").drop("rank")
-    key = ["doc", "start", "phrase"]
     for rank in range(2, lists + 1):
-        met = shifted.where(F.col("rank") == rank).select(*key, F.lit(True).alias("met"))
-        places = (
-            places.join(met.distinct(), key, "left")
-            .where(F.col("met") | (F.col("size") < rank))
-            .drop("met")
+        met = shifted.where(F.col("rank") == rank).select("doc", "start", "phrase").distinct()
+        met = met.toDF("_doc", "_start", "_phrase")
+        same = (
+            F.col("doc").eqNullSafe(F.col("_doc"))
+            & (F.col("start") == F.col("_start"))
+            & (F.col("phrase") == F.col("_phrase"))
         )
+        short = F.col("size") < rank
+        places = places.join(met, same, "left").where(F.col("_start").isNotNull() | short)
+        places = places.drop("_doc", "_start", "_phrase")
     return places.distinct()
 
 
@@ -139,8 +142,17 @@ def near_matches(index: DataFrame, phrases: DataFrame, within: int) -> DataFrame
     wide = max(1, within)
     around = F.explode(F.array(*[F.floor(F.col("pos") / wide) + step for step in (-1, 0, 1)]))
     asked = anchors.join(others, "phrase").withColumn("block", around)
-    lists = index.select("term", "doc", F.col("pos").alias("at"), F.floor(F.col("pos") / wide).alias("block"))
-    met = asked.join(lists, ["term", "doc", "block"]).where(F.abs(F.col("at") - F.col("pos")) <= within)
+    lists = index.select(
+        F.col("term").alias("_term"), F.col("doc").alias("_doc"), F.col("pos").alias("at"),
+        F.floor(F.col("pos") / wide).alias("_block"),
+    )
+    same = (
+        (F.col("term") == F.col("_term"))
+        & F.col("doc").eqNullSafe(F.col("_doc"))
+        & (F.col("block") == F.col("_block"))
+        & (F.abs(F.col("at") - F.col("pos")) <= within)
+    )
+    met = asked.join(lists, same)
     found = met.groupBy("phrase", "doc", "pos").agg(F.countDistinct("term").alias("n"))
     return found.join(needed, "phrase").where("n = needed").select("phrase", "doc", "pos")
 

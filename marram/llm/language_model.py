@@ -89,7 +89,8 @@ def exchange(pairs: np.ndarray, movable: int, classes: int, rounds: int = 12) ->
             table[old] -= after
             table[:, old] -= before
             table[old, old] -= twice
-            rows, columns = table.sum(axis=1), table.sum(axis=0)
+            # Wherever the word goes, the pairs with it return to its neighbours' classes.
+            rows, columns = table.sum(axis=1) + before, table.sum(axis=0) + after
             size_out, size_in = after.sum() + twice, before.sum() + twice
             span = np.arange(classes)
             base = gain(table)
