@@ -15,14 +15,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marram.functions import fixed, markup
 
-# A top-k of at most so many rows is broadcast to the titles.
-BROADCAST_ROWS = 10_000
-
 
 def _row_count() -> Column:
     return F.count(F.lit(1))
@@ -189,22 +186,33 @@ def count_busy_articles(
     return activity.where(enough).agg(_row_count().alias("n_articles"))
 
 
-def articles_by_revisions(revisions: DataFrame) -> DataFrame:
-    """All articles, most revised first; ties by ``aid``."""
+def articles_by_revisions(revisions: DataFrame, titles: DataFrame | None = None) -> DataFrame:
+    """All articles, most revised first; ties by ``aid``.
+
+    With ``titles`` (``aid, title``) also their titles, NULL for an article
+    that has none there.
+    """
     counts = revisions.groupBy("aid").agg(_row_count().alias("n_revisions"))
+    if titles is not None:
+        counts = counts.join(titles.select("aid", "title"), "aid", "left")
+        counts = counts.select("aid", "title", "n_revisions")
     return counts.orderBy(F.desc("n_revisions"), "aid")
 
 
 def top_articles(revisions: DataFrame, titles: DataFrame, k: int = fixed.TOP) -> DataFrame:
-    """The ``k`` most revised articles: ``aid, title, n_revisions``.
+    """The ``k`` most revised articles in order: ``rank, aid, title, n_revisions``.
 
-    Titles (``aid, title``) are looked up for the winners only, which are
-    broadcast while ``k`` says that they are few.
+    Titles (``aid, title``) are looked up for the winners only; a winner
+    without a title stays, with NULL.
     """
     best = articles_by_revisions(revisions).limit(k)
-    if k <= BROADCAST_ROWS:
-        best = F.broadcast(best)
-    return titles.join(best, "aid").select("aid", "title", "n_revisions")
+    place = F.row_number().over(Window.orderBy(F.desc("n_revisions"), "aid"))
+    ranked = best.withColumn("rank", place)
+    return (
+        ranked.join(titles.select("aid", "title"), "aid", "left")
+        .select("rank", "aid", "title", "n_revisions")
+        .orderBy("rank")
+    )
 
 
 def contributor_counts(revisions: DataFrame) -> DataFrame:

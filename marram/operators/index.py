@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from marram.functions import fixed, text
 
 LINES_PER_BLOCK = 100_000
+BLOCKS_PER_GROUP = 1_000
 
 
 def occurrences(lines: DataFrame, stop_words: Sequence[str] = ()) -> DataFrame:
@@ -32,12 +33,12 @@ def occurrences(lines: DataFrame, stop_words: Sequence[str] = ()) -> DataFrame:
 def occurrences_without(lines: DataFrame, stop_words: DataFrame) -> DataFrame:
     """Like ``occurrences``, with the stop words in a table ``word``.
 
-    Spark broadcasts the table if its size permits and shuffles it otherwise;
-    frequent words are then split over tasks by the adaptive skew join, which
-    is why the table is not made distinct here. Positions are counted after
-    the removal, within one line's words.
+    A word counts once in the table, however often it stands there. Spark
+    broadcasts the table if its size permits and shuffles it otherwise. Positions
+    are counted after the removal, within one line's words.
     """
-    kept = occurrences(lines).join(stop_words.select("word"), "word", "left_anti")
+    stops = stop_words.select("word").distinct()
+    kept = occurrences(lines).join(stops, "word", "left_anti")
     in_line = Window.partitionBy("doc_id", "line_id").orderBy("pos")
     return kept.select(
         "word", "doc_id", "line_id", (F.row_number().over(in_line) - 1).alias("pos")
@@ -169,8 +170,14 @@ def tree_rows(rows: DataFrame, buckets: int = fixed.INDEX_BUCKETS) -> DataFrame:
     ``line_id`` to bring the lines in order: parents have NULL where their
     children have numbers.
     """
-    per_document = document_counts(rows)
+    # Words and documents come from one pass over the postings.
+    counted = rows.groupingSets([["word", "doc_id"], ["word"]], "word", "doc_id").agg(
+        F.grouping("doc_id").alias("is_word"),
+        F.count(F.lit(1)).alias("n_lines"),
+        F.sum("n").alias("n"),
+    )
     nobody = F.lit(None).cast("bigint")
+    is_word = F.col("is_word") == 1
 
     def level(frame: DataFrame, doc_id: Column, line_id: Column, *fields: Column | str) -> DataFrame:
         return frame.select(
@@ -182,23 +189,27 @@ def tree_rows(rows: DataFrame, buckets: int = fixed.INDEX_BUCKETS) -> DataFrame:
 
     empty = F.lit("")
     doc_id, line_id = F.col("doc_id"), F.col("line_id")
-    words = level(word_totals(per_document), nobody, nobody, "word", F.col("n").cast("string"))
-    documents = level(per_document, doc_id, nobody, empty, doc_id.cast("string"), F.col("n_lines").cast("string"))
+    numbers = F.when(is_word, F.col("n")).otherwise(F.col("n_lines")).cast("string")
+    heading = F.when(is_word, F.col("word")).otherwise(F.concat(F.lit("\t"), doc_id.cast("string")))
+    parents = level(counted, doc_id, nobody, heading, numbers)
     lines = level(rows, doc_id, line_id, empty, empty, line_id.cast("string"), F.col("pos").cast("string"))
-    return with_bucket(words.unionByName(documents).unionByName(lines), buckets).withColumn(
-        "length", F.length("word")
-    )
+    return with_bucket(parents.unionByName(lines), buckets).withColumn("length", F.length("word"))
 
 
-def carry_documents(lines: DataFrame, lines_per_block: int = LINES_PER_BLOCK) -> DataFrame:
+def carry_documents(
+    lines: DataFrame,
+    lines_per_block: int = LINES_PER_BLOCK,
+    blocks_per_group: int = BLOCKS_PER_GROUP,
+) -> DataFrame:
     """Document and line numbers for files given as ``file, line_no, line``.
 
     ``line_no`` counts a file's lines from 1 without gaps. A header line opens
     a document and is its line 0; lines before any header belong to document
     0 and count from 1.
 
-    A file may be of any size: lines are handled in blocks, and only one row
-    per block takes part in carrying the last header over to the next block.
+    A file may be of any size: lines are handled in blocks and blocks in
+    groups. One row per block takes part in carrying the last header over to
+    the next block of a group, and one per group to the next group.
     """
     is_header = F.col("line").startswith(fixed.DOCUMENT_HEADER)
     block = F.floor((F.col("line_no") - 1) / lines_per_block).cast("bigint")
@@ -214,15 +225,28 @@ def carry_documents(lines: DataFrame, lines_per_block: int = LINES_PER_BLOCK) ->
     def latest(column: str, window: WindowSpec) -> Column:
         return F.last(column, ignorenulls=True).over(window)
 
-    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    def carry(rows: DataFrame, within: list[str], step: str, prefix: str) -> DataFrame:
+        """The last header before each step: ``<prefix>_at``, ``<prefix>_doc_id``."""
+        before = Window.partitionBy(*within).orderBy(step).rowsBetween(Window.unboundedPreceding, -1)
+        return rows.select(
+            *within,
+            step,
+            latest("at", before).alias(f"{prefix}_at"),
+            latest("doc_id", before).alias(f"{prefix}_doc_id"),
+        )
+
+    last = [F.max("at").alias("at"), F.max_by("doc_id", "at").alias("doc_id")]
+    group = F.floor(F.col("block") / blocks_per_group).cast("bigint").alias("group")
+    blocks = marked.groupBy("file", "block").agg(*last).select("*", group)
+    groups = carry(blocks.groupBy("file", "group").agg(*last), ["file"], "group", "group")
     carried = (
-        marked.groupBy("file", "block")
-        .agg(F.max("at").alias("at"), F.max_by("doc_id", "at").alias("doc_id"))
+        carry(blocks, ["file", "group"], "block", "block")
+        .join(groups, ["file", "group"])
         .select(
             "file",
             "block",
-            latest("at", before).alias("carried_at"),
-            latest("doc_id", before).alias("carried_doc_id"),
+            F.coalesce("block_at", "group_at").alias("carried_at"),
+            F.coalesce("block_doc_id", "group_doc_id").alias("carried_doc_id"),
         )
     )
     so_far = (

@@ -47,11 +47,20 @@ def reduce_colours(raster: DataFrame, colours: int = fixed.COLOURS) -> DataFrame
 
 
 def merge_mask(mask: DataFrame, other: DataFrame, mask_colour: int = fixed.WHITE) -> DataFrame:
-    """``other`` where the mask has exactly ``mask_colour``, the mask elsewhere."""
+    """``other`` where the mask has exactly ``mask_colour``, the mask elsewhere.
+
+    A place of the mask that ``other`` lacks fails the job.
+    """
     place = ["image_id", "x", "y"]
-    under = other.select(*place, *[F.col(c).alias(f"other_{c}") for c in ("r", "g", "b")])
+    under = other.select(*place, F.lit(True).alias("_met"), *[F.col(c).alias(f"other_{c}") for c in ("r", "g", "b")])
     open_here = colour.pack("r", "g", "b") == mask_colour
-    return mask.join(under, place).select(
+    missing = F.raise_error(
+        F.concat_ws(" ", F.lit("no pixel under the mask at"), *[F.col(c).cast("string") for c in place])
+    )
+    met = mask.join(under, place, "left").where(
+        F.when(F.col("_met"), True).otherwise(missing.cast("boolean"))
+    )
+    return met.select(
         "image_id",
         "width",
         "height",
@@ -90,9 +99,9 @@ def with_dimensions(pixels: DataFrame) -> DataFrame:
 
 
 def require_size(raster: DataFrame, width: int, height: int) -> DataFrame:
-    """The raster, failing the job if an image has another size."""
+    """The raster, failing the job if an image has another size, whichever columns are used."""
     fits = (F.col("width") == width) & (F.col("height") == height)
     problem = F.raise_error(
         F.concat(F.lit("incorrect image size: "), F.col("image_id").cast("string"))
-    ).cast("int")
-    return raster.withColumn("width", F.when(fits, F.col("width")).otherwise(problem))
+    ).cast("boolean")
+    return raster.where(F.when(fits, True).otherwise(problem))

@@ -5,45 +5,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marram.functions.numbers import idiv
-
-# At most this many keys are split, so the broadcast table of split keys never
-# has more rows than this. A key that is not among the 1,000 most frequent
-# holds less than a thousandth of all rows and needs no splitting.
-SPLIT_KEYS = 1000
-ROWS_PER_SPLIT = 1_000_000
+# A key with more than one part in so many of all rows is split.
+SHARES = 1000
 
 
 def lookup_join(
-    facts: DataFrame,
-    lookup: DataFrame,
-    key: str,
-    how: str = "inner",
-    rows_per_split: int = ROWS_PER_SPLIT,
+    facts: DataFrame, lookup: DataFrame, key: str, how: str = "inner", shares: int = SHARES
 ) -> DataFrame:
     """``facts`` joined with ``lookup``, which has one row per key at most.
 
     Meant for a lookup side that is itself an aggregate, where adaptive skew
-    handling cannot split the join. Keys with more than ``rows_per_split``
-    fact rows are split into that many more parts, and only their lookup rows
-    are repeated. Every row still meets its partner, so the result is that of
-    the plain join. Parts depend on a row's values alone, so a lost task can be
-    run again; a part that is large because its rows are copies of one another
-    is left to the adaptive skew join, which can split this join's left side.
+    handling cannot split the join. A key with more than a ``shares``-th of all
+    fact rows is split into parts of about that size, and only its lookup row
+    is repeated. There can be no more than ``shares`` such keys, so their table
+    is small whatever the facts, and no other key holds more than that share.
+    Every row still meets its partner, so the result is that of the plain join.
+    Parts depend on a row's values alone, so a lost task can be run again; a
+    part that is large because its rows are copies of one another is left to
+    the adaptive skew join, which can split this join's left side.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be 'inner' or 'left', not {how!r}")
-    hot = (
-        facts.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > rows_per_split)
-        .orderBy(F.desc("_rows"), key)
-        .limit(SPLIT_KEYS)
-        .select(key, (idiv("_rows", rows_per_split) + 1).alias("_parts"))
+    counts = facts.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    total = counts.agg(F.sum("_rows")).scalar()
+    hot = counts.where(F.col("_rows") * shares > total).select(
+        key, F.ceil(F.col("_rows") * F.lit(float(shares)) / total).alias("_parts")
     )
     parts = F.coalesce("_parts", F.lit(1).cast("bigint"))
     # Rows without a key meet no partner and may go anywhere.
-    fact_parts = F.when(F.col(key).isNull(), F.lit(SPLIT_KEYS).cast("bigint")).otherwise(parts)
+    fact_parts = F.when(F.col(key).isNull(), F.lit(shares).cast("bigint")).otherwise(parts)
     spread = F.pmod(F.xxhash64(*[F.col(name) for name in facts.columns]), fact_parts)
     left = facts.join(F.broadcast(hot), key, "left").select(
         *facts.columns, spread.alias("_part")

@@ -8,8 +8,9 @@ makes up most of the table. Within a tile a filter is two windows, along the
 rows and along the columns; both, and those of the next filter, reuse the
 placing by tile.
 
-The three channels travel in one integer, 20 bits apart. Sums of weighted
-channels are then sums of these integers, done for all channels at once.
+Where channels are known to be 0 to 255, the three travel in one integer, 20
+bits apart. Sums of weighted channels are then sums of these integers, done for
+all channels at once.
 """
 
 from __future__ import annotations
@@ -54,10 +55,6 @@ def _checked(kernel: Kernel) -> list[list[int]]:
     return rows
 
 
-def _fits_lanes(kernel: Kernel) -> bool:
-    return sum(abs(weight) for row in kernel for weight in row) * 255 < _LANE_OFFSET
-
-
 def _reach(kernel: Kernel) -> int:
     return len(kernel) // 2
 
@@ -80,8 +77,12 @@ def _profile(row: Sequence[int]) -> tuple[tuple[int, ...], int]:
 
 
 def _lanes(r: ColumnLike, g: ColumnLike, b: ColumnLike) -> Column:
+    """Three channels of 0 to 255 in one integer; others fail the job."""
     red, green, blue = (as_column(c).cast("bigint") for c in (r, g, b))
-    return F.shiftleft(red, 2 * _LANE_BITS) + F.shiftleft(green, _LANE_BITS) + blue
+    packed = F.shiftleft(red, 2 * _LANE_BITS) + F.shiftleft(green, _LANE_BITS) + blue
+    all_bits = red.bitwiseOR(green).bitwiseOR(blue)
+    problem = F.raise_error(F.lit("channels must be 0 to 255")).cast("bigint")
+    return F.when(all_bits.between(0, 255), packed).otherwise(problem)
 
 
 def _channels(lanes: ColumnLike) -> tuple[Column, Column, Column]:
@@ -267,7 +268,10 @@ def _raster_of(tiled: DataFrame, channels: Sequence[Column]) -> DataFrame:
 
 
 def convolve(raster: DataFrame, kernel: Kernel, edge: str = "clamp", tile: int = TILE) -> DataFrame:
-    """Weighted sums of each pixel's neighbourhood, per channel and not clamped.
+    """Weighted sums of each pixel's neighbourhood, per channel, as bigint and not clamped.
+
+    Channels may be any integers, such as the sums of another filter, so they
+    are summed each on its own.
 
     ``kernel`` is a square of integers in reading order. Beyond the image the
     nearest pixel counts, or with ``edge='reflect'`` the mirrored one; images
@@ -279,19 +283,18 @@ def convolve(raster: DataFrame, kernel: Kernel, edge: str = "clamp", tile: int =
         raster = _mirrored(raster, reach)
     elif edge != "clamp":
         raise ValueError(f"edge must be 'clamp' or 'reflect', not {edge!r}")
-    tiled = _in_tiles(raster, reach, tile, _lanes("r", "g", "b"))
-    if _fits_lanes(rows):
-        summed = _filtered(tiled, "value", {"sum": rows}, "xy")
-        sums = _channels("sum")
-    else:
-        summed = tiled.withColumns(dict(zip("rgb", _channels("value"), strict=True)))
-        for name in "rgb":
-            summed = _filtered(summed, name, {f"{name}_sum": rows}, "xy")
-        sums = tuple(F.col(f"{name}_sum") for name in "rgb")
+    channels = F.struct(*[F.col(c).cast("bigint").alias(c) for c in ("r", "g", "b")])
+    summed = _in_tiles(raster, reach, tile, channels).withColumns(
+        {c: F.col(f"value.{c}") for c in ("r", "g", "b")}
+    )
+    for name in "rgb":
+        summed = _filtered(summed, name, {f"{name}_sum": rows}, "xy")
     inside = (
         F.col("x").between(0, F.col("width") - 1) & F.col("y").between(0, F.col("height") - 1)
     )
-    return _raster_of(_at_home(summed.where(inside), tile), sums)
+    return _at_home(summed.where(inside), tile).select(
+        *_PLACE, *[F.col(f"{c}_sum").cast("bigint").alias(c) for c in ("r", "g", "b")]
+    )
 
 
 def _mirrored(raster: DataFrame, reach: int) -> DataFrame:

@@ -19,7 +19,7 @@ from marram.sources.dumps import parse_articles, parse_revisions
 
 
 def _sides(spark, sf):
-    return revisions(spark, sf, "A"), revisions(spark, sf, "R")
+    return revisions(spark, sf, returned=False), revisions(spark, sf, returned=True)
 
 
 def _parsed(spark, sf):
@@ -57,17 +57,13 @@ def _contributor_pairs(spark, sf):
 
 def _page_counts(spark, sf):
     """How often each page's contributors revised it, asked of a map for one of them."""
-    parsed = _parsed(spark, sf)
-    names = F.col("revisions.contributor")
-    counts = F.map_from_entries(
-        F.transform(
-            F.array_distinct(names),
-            lambda who: F.struct(who, F.size(F.filter(names, lambda other: other == who))),
-        )
-    )
-    return parsed.select("aid", "title", counts.alias("counts")).select(
-        "aid", "title", map_get("counts", F.lit("")).alias("n_unnamed")
+    flat = parse_revisions(page_records(spark, sf, numbered=True))
+    page = ["page_id", "aid", "title"]
+    counted = flat.groupBy(*page, "contributor").agg(F.count(F.lit(1)).cast("int").alias("n"))
+    maps = counted.groupBy(*page).agg(
+        F.map_from_entries(F.collect_list(F.struct("contributor", "n"))).alias("counts")
     )
+    return maps.select("aid", "title", map_get("counts", F.lit("")).alias("n_unnamed"))
 
 
 QUERIES = {
@@ -82,7 +78,7 @@ QUERIES = {
     "articles_min_activity_distinct": lambda s, d: articles.count_busy_articles(
         revisions(s, d), 25, 30, distinct_contributors=True
     ),
-    "articles_by_revisions": lambda s, d: articles.articles_by_revisions(edits(s, d)),
+    "articles_by_revisions": lambda s, d: articles.articles_by_revisions(edits(s, d), titles(s, d)),
     "top_articles": lambda s, d: articles.top_articles(edits(s, d), titles(s, d), 3),
     "contributors_by_revisions": lambda s, d: articles.contributors_by_revisions(revisions(s, d)),
     "top_contributors": lambda s, d: articles.top_contributors(revisions(s, d), 3),
@@ -182,14 +178,16 @@ ORACLE = {
     ),
     "articles_by_revisions": with_tables(
         "edits",
-        then="""SELECT aid, count(*) AS n_revisions FROM edits GROUP BY aid
+        then="""SELECT aid, p_name AS title, n_revisions FROM
+  (SELECT aid, count(*) AS n_revisions FROM edits GROUP BY aid) LEFT JOIN part ON aid = p_partkey
   ORDER BY n_revisions DESC, aid""",
     ),
     "top_articles": with_tables(
         "edits",
-        then="""SELECT aid, p_name AS title, n_revisions FROM
-  (SELECT aid, count(*) AS n_revisions FROM edits GROUP BY aid ORDER BY n_revisions DESC, aid LIMIT 3)
-  JOIN part ON aid = p_partkey""",
+        then="""SELECT CAST(rank AS INTEGER) AS rank, aid, p_name AS title, n_revisions FROM
+  (SELECT aid, n_revisions, row_number() OVER (ORDER BY n_revisions DESC, aid) AS rank
+   FROM (SELECT aid, count(*) AS n_revisions FROM edits GROUP BY aid))
+  LEFT JOIN part ON aid = p_partkey WHERE rank <= 3""",
     ),
     "contributors_by_revisions": with_tables(
         "revisions",

@@ -10,6 +10,7 @@ from marram.operators.stack import RasterStack, run_commands
 from marram.plans.tables import rasters, strip, with_tables
 
 _KERNEL = ((1, -2, 3), (0, 5, -1), (-4, 2, 1))
+_HEAVY = ((0, -3, 0), (2, 100, 0), (0, 0, -7))
 _THRESHOLD = 260
 _STRIP_THRESHOLD = 300
 _TILE = 48
@@ -62,6 +63,7 @@ QUERIES = {
     "raster_packed": lambda s, d: raster.packed(rasters(s, d)),
     "raster_unpacked": lambda s, d: raster.unpacked(raster.packed(rasters(s, d))),
     "raster_dims": lambda s, d: raster.dimensions(rasters(s, d)),
+    "raster_sized": lambda s, d: raster.with_dimensions(rasters(s, d).drop("width", "height")),
     "raster_strip": strip,
     "raster_blur": lambda s, d: stencil.gaussian_blur(rasters(s, d)),
     "raster_blur_nearest": lambda s, d: stencil.gaussian_blur(rasters(s, d), rounding="nearest"),
@@ -74,6 +76,9 @@ QUERIES = {
         strip(s, d), _STRIP_THRESHOLD, tile=_TILE
     ),
     "raster_convolve": lambda s, d: stencil.convolve(rasters(s, d), _KERNEL),
+    "raster_convolve_twice": lambda s, d: stencil.convolve(
+        stencil.convolve(rasters(s, d), _HEAVY), _HEAVY
+    ),
     "raster_convolve_reflect": lambda s, d: stencil.convolve(
         strip(s, d), _KERNEL, edge="reflect", tile=_TILE
     ),
@@ -94,7 +99,9 @@ _VERTICAL = ((-1, 0, 1), (-2, 0, 2), (-1, 0, 1))
 _HORIZONTAL = ((1, 2, 1), (0, 0, 0), (-1, -2, -1))
 
 
-def _sums(source: str, kernels: dict[str, tuple], edge: str = "clamp") -> str:
+def _sums(
+    source: str, kernels: dict[str, tuple], edge: str = "clamp", kind: str = "INTEGER"
+) -> str:
     """Weighted sums by an offset self-join: columns r_<name>, g_<name>, b_<name>."""
     size = len(next(iter(kernels.values())))
     weights = ", ".join(
@@ -105,7 +112,7 @@ def _sums(source: str, kernels: dict[str, tuple], edge: str = "clamp") -> str:
         for dx in range(size)
     )
     sums = ", ".join(
-        f"CAST(sum(n.{c} * p.k.w_{name}) AS INTEGER) AS {c}_{name}" for name in kernels for c in "rgb"
+        f"CAST(sum(n.{c} * p.k.w_{name}) AS {kind}) AS {c}_{name}" for name in kernels for c in "rgb"
     )
 
     def at(position: str, end: str) -> str:
@@ -187,6 +194,7 @@ FROM rasters WHERE x % 2 = 0 AND y % 2 = 0 AND x // 2 < width // 2 AND y // 2 <
     "raster_packed": _from_rasters(f"SELECT {_PLACE}, {_packed('rasters')} AS rgb FROM rasters"),
     "raster_unpacked": _from_rasters(f"SELECT {_ALL} FROM rasters"),
     "raster_dims": _from_rasters("SELECT DISTINCT image_id, width, height FROM rasters"),
+    "raster_sized": _from_rasters(f"SELECT {_ALL} FROM rasters"),
     "raster_strip": _from_rasters(f"SELECT {_ALL} FROM rasters", "strip"),
     "raster_blur": _from_rasters(f"SELECT {_ALL} FROM {_blurred('rasters')}"),
     "raster_blur_nearest": _from_rasters(
@@ -213,11 +221,16 @@ SELECT image_id, x, y, {_packed("b")} AS blurred, {_packed("e")} AS edges, {_pac
 FROM blurred b JOIN edges e USING (image_id, x, y) JOIN reduced q USING (image_id, x, y)"""
     ),
     "raster_convolve": _from_rasters(
-        f"SELECT {_PLACE}, r_s AS r, g_s AS g, b_s AS b FROM {_sums('rasters', {'s': _KERNEL})}"
+        f"SELECT {_PLACE}, r_s AS r, g_s AS g, b_s AS b FROM {_sums('rasters', {'s': _KERNEL}, kind='BIGINT')}"
+    ),
+    "raster_convolve_twice": _from_rasters(
+        f""", once AS (SELECT {_PLACE}, r_s AS r, g_s AS g, b_s AS b
+  FROM {_sums("rasters", {"s": _HEAVY}, kind="BIGINT")})
+SELECT {_PLACE}, r_s AS r, g_s AS g, b_s AS b FROM {_sums("once", {"s": _HEAVY}, kind="BIGINT")}"""
     ),
     "raster_convolve_reflect": _from_rasters(
         f"""SELECT {_PLACE}, r_s AS r, g_s AS g, b_s AS b
-FROM {_sums("rasters", {"s": _KERNEL}, "reflect")}""",
+FROM {_sums("rasters", {"s": _KERNEL}, "reflect", "BIGINT")}""",
         "strip",
     ),
     "raster_clamped": _from_rasters(

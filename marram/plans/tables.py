@@ -10,14 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marram.functions.numbers import idiv
-from marram.operators.raster import with_dimensions
 from marram.sources.tables import read_table, spread
 from marram.sources.text import table_lines
 
 STOP_WORDS = ("the", "and", "en", "de")
-PIXELS = 64
-SIDE = 8
-STRIP_ROWS = 1_000_000_000
 
 
 # Revisions: every line item is a revision of the article its part stands for.
@@ -32,11 +28,11 @@ def edits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def revisions(spark: SparkSession, sf_dir: str, flag: str | None = None) -> DataFrame:
-    """``aid, rid, contributor, ts``; with ``flag`` only line items returned so."""
+def revisions(spark: SparkSession, sf_dir: str, returned: bool | None = None) -> DataFrame:
+    """``aid, rid, contributor, ts``; with ``returned`` only line items that were, or were not."""
     items = read_table(spark, sf_dir, "lineitem")
-    if flag is not None:
-        items = items.where(F.col("l_returnflag") == flag)
+    if returned is not None:
+        items = items.where((F.col("l_returnflag") == "R") == returned)
     orders = read_table(spark, sf_dir, "orders")
     return items.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("l_partkey").alias("aid"),
@@ -55,8 +51,8 @@ def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Dump pages: every order is written out as one page of a dump.
 
 
-def page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``page``: one ``<page>`` text per order.
+def page_records(spark: SparkSession, sf_dir: str, numbered: bool = False) -> DataFrame:
+    """``page``: one ``<page>`` text per order, and with ``numbered`` its ``page_id``.
 
     An order has 0 to 4 revisions. Some pages lack their id, some revisions
     theirs; contributors are users, addresses or missing; listed order is not
@@ -100,7 +96,8 @@ def page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     keys = ("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     orders = spread(read_table(spark, sf_dir, "orders").select(*keys))
-    return orders.select(page.alias("page"))
+    number = [key.alias("page_id")] if numbered else []
+    return orders.select(*number, page.alias("page"))
 
 
 # Texts.
@@ -133,6 +130,18 @@ def files_with_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def collection_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``value, first``: each document behind a preamble, as a file cut at its header."""
+    number = F.col("doc_id").cast("string")
+    preamble = F.concat(F.lit('He said "'), number, F.lit('" once'))
+    document = F.concat(F.lit(' docno="'), number, F.lit('">\n'), F.col("text"))
+    cut = F.array(
+        F.struct(preamble.alias("value"), F.lit(True).alias("first")),
+        F.struct(document.alias("value"), F.lit(False).alias("first")),
+    )
+    return documents(spark, sf_dir).select(F.inline(cut))
+
+
 def item_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``word``: the whitespace-separated pieces of the benchmark items."""
     return read_table(spark, sf_dir, "benchmark").select(F.explode(F.split("text", " ")).alias("word"))
@@ -189,52 +198,56 @@ def plans_by_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Rasters: every embedding is an image of 8 by 8 pixels.
+# Rasters: every embedding is a square image, as 64 numbers are 8 by 8 pixels.
 
 
 def rasters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``image_id, width, height, x, y, r, g, b``."""
+    size = F.size("embedding")
     cells = read_table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("image_id"),
         "embedding",
-        F.explode(F.sequence(F.lit(0), F.lit(PIXELS - 1))).alias("p"),
+        F.ceil(F.sqrt(size)).cast("int").alias("side"),
+        F.explode(F.sequence(F.lit(0), size - 1)).alias("p"),
     )
 
-    def shade(shift: int) -> Column:
-        value = F.get("embedding", (F.col("p") + shift) % PIXELS).cast("double")
+    def shade(third: int) -> Column:
+        shift = idiv(size * third, 3).cast("int")
+        value = F.get("embedding", (F.col("p") + shift) % size).cast("double")
         return F.floor((value + 1) * 127.5).cast("int")
 
     return cells.select(
         "image_id",
-        F.lit(SIDE).alias("width"),
-        F.lit(SIDE).alias("height"),
-        (F.col("p") % SIDE).alias("x"),
-        idiv("p", SIDE).cast("int").alias("y"),
+        F.col("side").alias("width"),
+        F.col("side").alias("height"),
+        (F.col("p") % F.col("side")).alias("x"),
+        idiv("p", F.col("side")).cast("int").alias("y"),
         shade(0).alias("r"),
-        shade(21).alias("g"),
-        shade(42).alias("b"),
+        shade(1).alias("g"),
+        shade(2).alias("b"),
     )
 
 
 def strip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One large image of all embeddings below one another, 64 pixels wide.
+    """One large image of all embeddings below one another, as wide as they are long.
 
-    Every billion of embeddings start another image.
+    Its size is taken from the embeddings, before they become pixels.
     """
-    cells = read_table(spark, sf_dir, "embeddings").select(
-        "vec_id", "embedding", F.explode(F.sequence(F.lit(0), F.lit(PIXELS - 1))).alias("x")
-    )
-    value = F.get("embedding", F.col("x")).cast("double")
-    shade = F.floor((value + 1) * 127.5).cast("int")
-    pixels = cells.select(
-        idiv("vec_id", STRIP_ROWS).alias("image_id"),
+    vectors = read_table(spark, sf_dir, "embeddings")
+    width = vectors.agg(F.max(F.size("embedding"))).scalar()
+    height = vectors.agg((F.max("vec_id") + 1).cast("int")).scalar()
+    cells = vectors.select("vec_id", F.posexplode("embedding").alias("x", "value"))
+    shade = F.floor((F.col("value").cast("double") + 1) * 127.5).cast("int")
+    return cells.select(
+        F.lit(0).cast("bigint").alias("image_id"),
+        width.alias("width"),
+        height.alias("height"),
         "x",
-        (F.col("vec_id") % STRIP_ROWS).cast("int").alias("y"),
+        F.col("vec_id").cast("int").alias("y"),
         shade.alias("r"),
         (255 - shade).alias("g"),
         idiv(shade, 2).cast("int").alias("b"),
     )
-    return with_dimensions(pixels)
 
 
 def elements(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -250,7 +263,7 @@ SQL = {
     "revisions": f"""revisions AS (SELECT {_REVISION_COLUMNS}
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey)""",
     "sides": f"""a AS (SELECT {_REVISION_COLUMNS}
-    FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag = 'A'),
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag <> 'R'),
   r AS (SELECT {_REVISION_COLUMNS}
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag = 'R')""",
     "articles": """listed AS (SELECT *, unnest(range(1, o_orderkey % 5 + 1)) AS i FROM orders),
@@ -279,20 +292,22 @@ SQL = {
     ['growth', 'balanced', 'conservative', 'cash'][c_custkey % 4 + 1] AS strategy,
     CAST(5 + c_custkey % 16 AS INTEGER) AS contribution,
     CAST(60 + c_custkey % 11 AS INTEGER) AS retirement_age FROM customer)""",
-    "rasters": """cells AS (SELECT vec_id, embedding, unnest(range(0, 64)) AS p FROM embeddings),
-  rasters AS (SELECT vec_id AS image_id, 8 AS width, 8 AS height,
-    CAST(p % 8 AS INTEGER) AS x, CAST(p // 8 AS INTEGER) AS y,
+    "rasters": """cells AS (SELECT vec_id, embedding, len(embedding) AS n,
+    CAST(ceil(sqrt(len(embedding))) AS INTEGER) AS side, unnest(range(0, len(embedding))) AS p FROM embeddings),
+  rasters AS (SELECT vec_id AS image_id, side AS width, side AS height,
+    CAST(p % side AS INTEGER) AS x, CAST(p // side AS INTEGER) AS y,
     CAST(floor((CAST(embedding[p + 1] AS DOUBLE) + 1) * CAST(127.5 AS DOUBLE)) AS INTEGER) AS r,
-    CAST(floor((CAST(embedding[(p + 21) % 64 + 1] AS DOUBLE) + 1) * CAST(127.5 AS DOUBLE)) AS INTEGER) AS g,
-    CAST(floor((CAST(embedding[(p + 42) % 64 + 1] AS DOUBLE) + 1) * CAST(127.5 AS DOUBLE)) AS INTEGER) AS b
+    CAST(floor((CAST(embedding[(p + n // 3) % n + 1] AS DOUBLE) + 1) * CAST(127.5 AS DOUBLE)) AS INTEGER) AS g,
+    CAST(floor((CAST(embedding[(p + n * 2 // 3) % n + 1] AS DOUBLE) + 1) * CAST(127.5 AS DOUBLE)) AS INTEGER) AS b
     FROM cells)""",
-    "strip": """size AS (SELECT CAST(max(vec_id) + 1 AS INTEGER) AS height FROM embeddings),
-  cells AS (SELECT vec_id, embedding, unnest(range(0, 64)) AS p FROM embeddings),
+    "strip": """size AS (SELECT CAST(max(vec_id) + 1 AS INTEGER) AS height,
+    CAST(max(len(embedding)) AS INTEGER) AS width FROM embeddings),
+  cells AS (SELECT vec_id, embedding, unnest(range(0, len(embedding))) AS p FROM embeddings),
   shades AS (SELECT vec_id, CAST(p AS INTEGER) AS x,
     CAST(floor((CAST(embedding[p + 1] AS DOUBLE) + 1) * CAST(127.5 AS DOUBLE)) AS INTEGER) AS shade
     FROM cells),
-  rasters AS (SELECT vec_id // 1000000000 AS image_id, 64 AS width, height, x,
-    CAST(vec_id % 1000000000 AS INTEGER) AS y, shade AS r, 255 - shade AS g, shade // 2 AS b
+  rasters AS (SELECT CAST(0 AS BIGINT) AS image_id, width, height, x,
+    CAST(vec_id AS INTEGER) AS y, shade AS r, 255 - shade AS g, shade // 2 AS b
     FROM shades, size)""",
 }
 

@@ -8,12 +8,14 @@ from marram.functions import text
 from marram.operators import index, words
 from marram.plans.tables import (
     STOP_WORDS,
+    collection_records,
     documents,
     files_with_headers,
     item_words,
     lines,
     with_tables,
 )
+from marram.sources.text import documents_from_records
 
 
 def _stream(spark, sf):
@@ -54,6 +56,7 @@ QUERIES = {
     "words_by_letter": lambda s, d: words.words_by_first_letter(_stream(s, d)),
     "letter_set_sizes": lambda s, d: words.letter_set_sizes(_stream(s, d)),
     "text_lines": lines,
+    "collection_documents": lambda s, d: documents_from_records(collection_records(s, d)),
     "line_search": lambda s, d: words.find_lines(lines(s, d), "the", k=20),
     "line_search_matcher": lambda s, d: words.find_lines(lines(s, d), "The", _case_blind, k=20),
     "frequent_words": lambda s, d: words.sorted_by_word(words.frequent_words(documents(s, d))),
@@ -124,6 +127,8 @@ ORACLE = {
         "SELECT word[1] AS letter, count(DISTINCT word) AS n_words FROM words GROUP BY 1"
     ),
     "text_lines": _lines("SELECT doc_id, line_id, line FROM lines"),
+    "collection_documents": """SELECT CAST(0 AS BIGINT) AS doc_id, 'He said "' || doc_id || '" once' AS text FROM documents
+  UNION ALL SELECT doc_id, '<Document docno="' || doc_id || E'">\n' || text FROM documents""",
     "line_search": _lines(
         """SELECT CAST(instr(line, 'the') - 1 AS INTEGER) AS idx, doc_id, line_id, line FROM lines
   WHERE instr(line, 'the') > 0 ORDER BY idx DESC, doc_id, line_id LIMIT 20"""

@@ -13,10 +13,9 @@ RASTER_COLUMNS = ("image_id", "width", "height", "x", "y", "r", "g", "b")
 def read_images(spark: SparkSession, *paths: str) -> DataFrame:
     """Pixels of image files, ``image_id`` being the file's address.
 
-    Files that are no images are skipped; transparency is dropped.
+    A file that is no image fails the job; transparency is dropped.
     """
-    loaded = spark.read.format("image").option("dropInvalid", "true").load(list(paths))
-    return pixels_of_images(loaded)
+    return pixels_of_images(spark.read.format("image").load(list(paths)))
 
 
 def pixels_of_images(images: DataFrame) -> DataFrame:
@@ -24,9 +23,14 @@ def pixels_of_images(images: DataFrame) -> DataFrame:
 
     Each image is cut into rows before it is cut into pixels, so what a task
     holds at once is one pixel row. Bytes are blue, green, red (and alpha) per
-    pixel, or one gray byte.
+    pixel, or one gray byte. An entry without pixels, as the source gives for
+    a file that is no image, fails the job.
     """
-    fields = images.select(
+    problem = F.raise_error(F.concat(F.lit("not an image: "), F.col("image.origin")))
+    valid = F.when(
+        (F.col("image.width") > 0) & (F.col("image.height") > 0), True
+    ).otherwise(problem.cast("boolean"))
+    fields = images.where(valid).select(
         F.col("image.origin").alias("image_id"),
         F.col("image.width").alias("width"),
         F.col("image.height").alias("height"),

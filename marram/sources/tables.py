@@ -9,14 +9,15 @@ def read_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
+PARTITIONS = "spark.marram.inputPartitions"
+
+
 def spread(frame: DataFrame) -> DataFrame:
-    """Rows dealt out to all cores if the files alone keep less than half of them busy.
+    """Rows as they were read, or dealt out to as many tasks as the session asks for.
 
-    For work that costs far more than moving its input, on inputs of a few
-    files. An input with more splits, so any large one, is returned as it is
-    and not shuffled.
+    The setting ``spark.marram.inputPartitions`` is for inputs of a few files
+    that cannot be split, ahead of work that costs far more than moving them.
+    It is unset by default, and then nothing is shuffled.
     """
-    cores = frame.sparkSession.sparkContext.defaultParallelism
-    if 2 * frame.rdd.getNumPartitions() > cores:
-        return frame
-    return frame.repartition(cores)
+    wanted = frame.sparkSession.conf.get(PARTITIONS, None)
+    return frame if wanted is None else frame.repartition(int(wanted))

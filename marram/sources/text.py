@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marram.functions import fixed, text
@@ -25,30 +25,39 @@ def read_document_collection(spark: SparkSession, *paths: str) -> DataFrame:
     """Documents that follow one another in text files, cut at their header lines.
 
     Each record is one document with its header line, so the reader can split
-    files anywhere without losing track of the document: ``doc_id, text``.
+    files anywhere without losing track of the document: ``doc_id, text``. What
+    stands before a file's first header is document 0. The first record of a
+    file is told by its place: it is the first that the file's first block gave.
     """
     reader = spark.read.option("lineSep", "\n" + fixed.DOCUMENT_HEADER)
-    return documents_from_records(reader.text(list(paths)))
+    placed = reader.text(list(paths)).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("n"),
+    )
+    # A window's rows are those of one block, which the reader's settings bound.
+    earliest = F.min("n").over(Window.partitionBy("file", "block"))
+    first = (F.col("block") == 0) & (F.col("n") == earliest)
+    return documents_from_records(placed.select("value", first.alias("first")))
 
 
 def documents_from_records(records: DataFrame) -> DataFrame:
     """Documents from records ``value`` cut in front of their header lines.
 
-    The cut takes the header's opening away from all but a file's first
-    record. A record is text before any header, document 0, if it starts with
-    another tag or has no quoted number in its first line.
+    ``first`` tells a file's first record, from which the cut took nothing
+    away: it is text before any header, document 0, unless it starts with one.
+    All others lack the header's opening, which is put back. A header without
+    an integer between its first two quotes fails the job.
     """
     header = fixed.DOCUMENT_HEADER
-    quoted_id = F.regexp_extract("value", r'^[^"\r\n]*"([+-]?\d+)"', 1)
-    complete = F.col("value").startswith(header)
-    preamble = ~complete & (F.col("value").startswith("<") | (quoted_id == ""))
-    return records.select(
-        F.when(preamble, F.lit(0).cast("bigint"))
-        .otherwise(quoted_id.cast("bigint"))
+    whole = F.when(F.col("first"), F.col("value")).otherwise(F.concat(F.lit(header), "value"))
+    head = F.regexp_extract("text", r"^[^\r\n]*", 0)
+    return records.select(whole.alias("text")).select(
+        F.when(F.col("text").startswith(header), text.header_document_id(head))
+        .otherwise(F.lit(0).cast("bigint"))
         .alias("doc_id"),
-        F.when(complete | preamble, F.col("value"))
-        .otherwise(F.concat(F.lit(header), "value"))
-        .alias("text"),
+        "text",
     )
 
 

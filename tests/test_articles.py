@@ -214,9 +214,12 @@ def test_ties_are_broken_by_key(spark):
 def test_top_articles_look_up_titles(spark):
     rows = flat(spark, [(a, i, "x", "2013-01-01") for a in range(5) for i in range(a)])
     titles = spark.createDataFrame([(a, f"T{a}") for a in range(9)], "aid bigint, title string")
-    found = sorted(map(tuple, articles.top_articles(rows, titles, 2).collect()))
-    assert found == [(3, "T3", 3), (4, "T4", 4)]
-    assert "BroadcastExchange" in plan_of(articles.top_articles(rows, titles, 2))
+    found = list(map(tuple, articles.top_articles(rows, titles, 2).collect()))
+    assert found == [(1, 4, "T4", 4), (2, 3, "T3", 3)]
+    untitled = list(map(tuple, articles.top_articles(rows, titles.where("aid <> 4"), 2).collect()))
+    assert untitled == [(1, 4, None, 4), (2, 3, "T3", 3)]
+    listed = articles.articles_by_revisions(rows, titles.where("aid <> 3")).collect()
+    assert list(map(tuple, listed)) == [(4, "T4", 4), (3, None, 3), (2, "T2", 2), (1, "T1", 1)]
 
 
 def test_contributors_may_be_estimated(spark):

@@ -103,6 +103,22 @@ def test_a_header_without_id_fails(spark, tmp_path):
         collection(spark, tmp_path, "<Document>\nx\n").collect()
 
 
+def test_a_header_with_another_id_fails(spark, tmp_path):
+    with pytest.raises(PySparkException):
+        collection(spark, tmp_path, '<Document id="1">\nx\n<Document id="abc">\ny\n').collect()
+
+
+def test_the_first_record_is_told_by_its_place(spark, tmp_path):
+    texts = ['He said "42" once\n<Document id="7">\nx', '<Document id="8">\ny\n<Document id="9">\nz', ' id="5">\nplain']
+    for at, content in enumerate(texts):
+        (tmp_path / f"{at}.txt").write_text(content)
+    found = rows(read_document_collection(spark, str(tmp_path)))
+    assert found == sorted(
+        [(0, 'He said "42" once'), (7, '<Document id="7">\nx'), (8, '<Document id="8">\ny'),
+         (9, '<Document id="9">\nz'), (0, ' id="5">\nplain')]
+    )
+
+
 def test_header_words_are_indexed_too(spark, tmp_path):
     frame = document_lines(collection(spark, tmp_path))
     header = index.occurrences(frame).where("doc_id = 18 and line_id = 0").orderBy("pos")
@@ -116,7 +132,7 @@ def test_documents_survive_any_split(spark, tmp_path):
     try:
         spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
         split = read_document_collection(spark, str(tmp_path / "docs.txt"))
-        assert split.rdd.getNumPartitions() > 8
+        assert spark.read.text(str(tmp_path / "docs.txt")).rdd.getNumPartitions() > 8
         assert rows(document_lines(split)) == rows(document_lines(frame))
         assert split.count() == 300
     finally:

@@ -1,6 +1,7 @@
 import math
 
 import pytest
+from conftest import plan_of
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
@@ -130,8 +131,8 @@ def test_drawn_plans_repeat_and_stay_in_range(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-@pytest.mark.parametrize("rows_per_split", [10, 100, 10_000])
-def test_lookup_join_gives_the_plain_join(spark, how, rows_per_split):
+@pytest.mark.parametrize("shares", [300, 30, 1])
+def test_lookup_join_gives_the_plain_join(spark, how, shares):
     key = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 50 == 1, None).otherwise(
         (F.col("id") % 40).cast("string")
     )
@@ -139,7 +140,7 @@ def test_lookup_join_gives_the_plain_join(spark, how, rows_per_split):
     lookup = spark.createDataFrame(
         [("hot", 1), ("1", 2), ("2", 3), ("unused", 4)], "k string, v int"
     )
-    found = lookup_join(facts, lookup, "k", how, rows_per_split)
+    found = lookup_join(facts, lookup, "k", how, shares)
     expected = facts.join(lookup, "k", how).select(*found.columns)
     assert found.exceptAll(expected).count() == 0
     assert expected.exceptAll(found).count() == 0
@@ -157,7 +158,7 @@ def test_lookup_join_splits_the_hot_key(spark):
     try:
         for name, value in settings.items():
             spark.conf.set(name, value)
-        found = lookup_join(facts, lookup, "k", rows_per_split=100)
+        found = lookup_join(facts, lookup, "k", shares=30)
         parts = found.groupBy(F.spark_partition_id()).count().collect()
         assert len(parts) > 4
         assert max(r["count"] for r in parts) < 2000
@@ -168,6 +169,17 @@ def test_lookup_join_splits_the_hot_key(spark):
         lookup_join(facts, lookup, "k", "outer")
 
 
+def test_lookup_join_splits_every_hot_key(spark):
+    """More than a thousand keys hold more than the share that one task should have."""
+    facts = spark.range(60_000).select((F.col("id") % 1500).cast("string").alias("k"), "id")
+    lookup = facts.groupBy("k").agg(F.max("id").alias("v"))
+    found = lookup_join(facts, lookup, "k", shares=3000)
+    assert "Limit" not in plan_of(found)
+    assert found.agg(F.count(F.lit(1)), F.sum("v")).first() == facts.join(lookup, "k").agg(
+        F.count(F.lit(1)), F.sum("v")
+    ).first()
+
+
 def test_elementwise_chain(spark):
     found = elementwise.chain(spark.range(5).withColumnRenamed("id", "value")).orderBy("value")
     assert [r.result for r in found.collect()] == [1, 5, 17, 37, 65]

@@ -200,6 +200,34 @@ def test_sizes(spark):
     assert raster.require_size(frame.where("image_id = 0"), 17, 13).count() == 13 * 17
     with pytest.raises(PySparkException, match="incorrect image size"):
         raster.require_size(frame, 17, 13).collect()
+    with pytest.raises(PySparkException, match="incorrect image size"):
+        raster.require_size(frame, 9, 9).agg({"r": "sum"}).collect()
+
+
+def test_a_mask_without_a_pixel_under_it_fails(spark):
+    frame = frame_of(spark, SPECIAL["random"])
+    with pytest.raises(PySparkException, match="no pixel under the mask"):
+        raster.merge_mask(frame, frame.where("x > 0")).agg({"r": "sum"}).collect()
+
+
+def test_sums_may_be_filtered_again(spark):
+    kernel = [[0, 0, 0], [0, 1000, 0], [0, 0, -1]]
+    frame = frame_of(spark, SPECIAL["random"])
+    once = stencil.convolve(frame, kernel)
+    twice = pixels_of(stencil.convolve(once, kernel, tile=5))
+    plain = SPECIAL["random"].astype(int)
+    for _ in range(2):
+        edge = np.pad(plain, ((0, 1), (0, 1), (0, 0)), mode="edge")
+        plain = 1000 * plain - edge[1:, 1:]
+    assert (twice == plain).all()
+    with pytest.raises(PySparkException, match="channels must be 0 to 255"):
+        stencil.gaussian_blur(once).collect()
+
+
+def test_a_file_that_is_no_image_fails(spark, tmp_path):
+    (tmp_path / "x.png").write_text("not an image")
+    with pytest.raises(PySparkException, match="not an image"):
+        read_images(spark, str(tmp_path)).agg({"r": "sum"}).collect()
 
 
 def test_point_operators_do_not_shuffle(spark):
@@ -379,7 +407,6 @@ def test_images_are_read_as_pixels(spark, tmp_path):
     png(tmp_path / "colour.png", rows, 2)
     png(tmp_path / "clear.png", [[(*pixel, 255) for pixel in row] for row in rows], 6)
     png(tmp_path / "gray.png", [[(10,), (200,)]], 0)
-    (tmp_path / "broken.png").write_bytes(b"no image")
     frame = read_images(spark, str(tmp_path))
     found = {}
     for row in frame.collect():
