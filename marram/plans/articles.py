@@ -15,7 +15,7 @@ from marram.plans.tables import (
     web_pages,
     with_tables,
 )
-from marram.sources.dumps import parse_articles, parse_revisions
+from marram.sources.dumps import page_totals, parse_articles, parse_revisions
 
 
 def _sides(spark, sf):
@@ -127,7 +127,8 @@ QUERIES = {
     "article_contributor_pairs": _contributor_pairs,
     "article_text": lambda s, d: articles.article_text(_parsed(s, d)),
     "article_page_counts": _page_counts,
-    "article_page_totals": lambda s, d: articles.totals_of_articles(_parsed(s, d)),
+    "article_page_totals": lambda s, d: page_totals(page_records(s, d)),
+    "article_totals_nested": lambda s, d: articles.totals_of_articles(_parsed(s, d)),
     "article_page_years": lambda s, d: articles.years_of_articles(_parsed(s, d)),
     "article_page_first_years": lambda s, d: articles.years_of_articles(
         _parsed(s, d), pick="earliest", distinct=True
@@ -302,6 +303,10 @@ ORACLE = {
         "articles",
         then="SELECT count(DISTINCT o_orderkey) AS n_articles, count(*) AS n_revisions FROM flat",
     ),
+    "article_totals_nested": with_tables(
+        "articles",
+        then="SELECT count(DISTINCT o_orderkey) AS n_articles, count(*) AS n_revisions FROM flat",
+    ),
     "article_page_years": with_tables(
         "articles",
         then="""SELECT aid, CAST(year(last(ts ORDER BY ord)) AS INTEGER) AS year

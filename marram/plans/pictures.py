@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from marram.functions import colour
 from marram.operators import raster, stencil
 from marram.operators.stack import RasterStack, run_commands
-from marram.plans.tables import rasters, strip, with_tables
+from marram.plans.tables import file_names, images, rasters, strip, with_tables
+from marram.sinks.rasters import cartoon_name, edited_name
+from marram.sources.images import pixels_of_images
 
 _KERNEL = ((1, -2, 3), (0, 5, -1), (-4, 2, 1))
 _HEAVY = ((0, -3, 0), (2, 100, 0), (0, 0, -7))
@@ -63,6 +65,10 @@ QUERIES = {
     "raster_packed": lambda s, d: raster.packed(rasters(s, d)),
     "raster_unpacked": lambda s, d: raster.unpacked(raster.packed(rasters(s, d))),
     "raster_dims": lambda s, d: raster.dimensions(rasters(s, d)),
+    "image_pixels": lambda s, d: pixels_of_images(images(s, d)),
+    "output_names": lambda s, d: file_names(s, d).select(
+        "name", cartoon_name("name").alias("cartoon"), edited_name("name").alias("edited")
+    ),
     "raster_sized": lambda s, d: raster.with_dimensions(rasters(s, d).drop("width", "height")),
     "raster_strip": strip,
     "raster_blur": lambda s, d: stencil.gaussian_blur(rasters(s, d)),
@@ -194,6 +200,16 @@ FROM rasters WHERE x % 2 = 0 AND y % 2 = 0 AND x // 2 < width // 2 AND y // 2 <
     "raster_packed": _from_rasters(f"SELECT {_PLACE}, {_packed('rasters')} AS rgb FROM rasters"),
     "raster_unpacked": _from_rasters(f"SELECT {_ALL} FROM rasters"),
     "raster_dims": _from_rasters("SELECT DISTINCT image_id, width, height FROM rasters"),
+    "image_pixels": """WITH sized AS (SELECT vec_id, embedding, len(embedding) AS n,
+    unnest(range(0, 2 * len(embedding))) AS p FROM embeddings),
+  shades AS (SELECT vec_id, n, p, CAST(floor((CAST(embedding[CASE WHEN p < n THEN p + 1 ELSE 2 * n - p END] AS DOUBLE)
+    + 1) * CAST(127.5 AS DOUBLE)) AS INTEGER) AS v FROM sized)
+SELECT 'vec/' || vec_id AS image_id, CAST(n AS INTEGER) AS width, 2 AS height, CAST(p % n AS INTEGER) AS x,
+  CAST(p // n AS INTEGER) AS y, v AS r, 255 - v AS g, v // 2 AS b FROM shades""",
+    "output_names": """WITH names AS (SELECT p_name || ['.JPG', '.png', '.jpg', '.tar.gif', ''][p_partkey % 5 + 1] AS name FROM part)
+SELECT name, CASE WHEN contains(name, '.') THEN regexp_extract(name, '^(.+)\.[^.]*$', 1) || '_cartoon'
+    || lower(regexp_extract(name, '(\.[^.]*)$', 1)) END AS cartoon,
+  CASE WHEN name LIKE '%.png' OR name LIKE '%.jpg' THEN name[:-5] || '_edited' || name[-4:] END AS edited FROM names""",
     "raster_sized": _from_rasters(f"SELECT {_ALL} FROM rasters"),
     "raster_strip": _from_rasters(f"SELECT {_ALL} FROM rasters", "strip"),
     "raster_blur": _from_rasters(f"SELECT {_ALL} FROM {_blurred('rasters')}"),

@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 from marram.operators import elementwise, projection
 from marram.plans.tables import (
     elements,
+    person_lines,
     persons,
     plans,
     plans_by_order,
     shared_names,
     with_tables,
 )
+from marram.sources.people import persons_from_lines
 
 _SHOWN = (
     "name",
@@ -51,6 +53,7 @@ QUERIES = {
     "person_lookup": lambda s, d: projection.find_person(persons(s, d), "Customer#000000042"),
     "person_lookup_shared": lambda s, d: projection.find_person(shared_names(s, d), "BUILDING"),
     "persons_first_by_name": lambda s, d: projection.first_by_name(shared_names(s, d)),
+    "persons_parsed": lambda s, d: persons_from_lines(person_lines(s, d)),
     "drawn_plans": lambda s, d: projection.draw_plans(persons(s, d), seed=7),
     "elementwise_chain": lambda s, d: elementwise.chain(elements(s, d)),
     "elementwise_chain_int32": lambda s, d: elementwise.chain(
@@ -100,6 +103,11 @@ def _wrapped(value: str) -> str:
 
 
 ORACLE = {
+    "persons_parsed": with_tables(
+        "persons",
+        then="""SELECT name, gender, birth_year, CAST(c_custkey AS BIGINT) AS source_order
+  FROM persons JOIN customer ON name = c_name""",
+    ),
     "retirement_projection": with_tables("persons", "plans", then="")
     + ", "
     + _projected("plans")

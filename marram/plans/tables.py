@@ -172,6 +172,13 @@ def plans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def person_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``value, source_order``: every customer as a line of a persons file."""
+    people = persons(spark, sf_dir)
+    fields = [F.col(name).cast("string") for name in ("name", "gender", "birth_year")]
+    return people.select(F.concat_ws(",", *fields, F.lit("more")).alias("value"), "source_order")
+
+
 def shared_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Persons of whom many share a name: customers named by their segment."""
     key = F.col("c_custkey")
@@ -228,6 +235,41 @@ def rasters(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``image``: every embedding as an image of two rows, the second one mirrored.
+
+    The layout is that of Spark's image source, with three bytes per pixel.
+    """
+    shades = F.transform("embedding", lambda v: F.floor((v.cast("double") + 1) * 127.5).cast("int"))
+
+    def byte(value: Column) -> Column:
+        return F.lpad(F.hex(value), 2, "0")
+
+    def row(values: Column) -> Column:
+        pixel = lambda v: F.concat(byte(idiv(v, 2)), byte(255 - v), byte(v))
+        return F.array_join(F.transform(values, pixel), "")
+
+    return read_table(spark, sf_dir, "embeddings").select(
+        F.struct(
+            F.concat(F.lit("vec/"), F.col("vec_id").cast("string")).alias("origin"),
+            F.lit(2).alias("height"),
+            F.size("embedding").alias("width"),
+            F.lit(3).alias("nChannels"),
+            F.lit(16).alias("mode"),
+            F.unhex(F.concat(row(shades), row(F.reverse(shades)))).alias("data"),
+        ).alias("image")
+    )
+
+
+def file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``name``: every part's type as a picture's file name, some without a known ending."""
+    ending = F.element_at(
+        F.array(*[F.lit(e) for e in (".JPG", ".png", ".jpg", ".tar.gif", "")]),
+        (F.col("p_partkey") % 5 + 1).cast("int"),
+    )
+    return read_table(spark, sf_dir, "part").select(F.concat("p_name", ending).alias("name"))
+
+
 def strip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One large image of all embeddings below one another, as wide as they are long.
 

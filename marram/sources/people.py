@@ -15,14 +15,21 @@ def read_persons(spark: SparkSession, *paths: str) -> DataFrame:
     block the reader cut it into, and by the row's place in the task that
     read the block.
     """
+    place = F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    lines = spark.read.text(list(paths)).select("value", place.alias("source_order"))
+    return persons_from_lines(lines)
+
+
+def persons_from_lines(lines: DataFrame) -> DataFrame:
+    """The same from rows ``value, source_order``."""
     fields = F.split("value", ",")
-    return spark.read.text(list(paths)).select(
+    return lines.select(
         fields[0].alias("name"),
         fields[1].alias("gender"),
         fields[2].cast("int").alias("birth_year"),
-        F.struct(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("row"),
-        ).alias("source_order"),
+        "source_order",
     )
