@@ -19,6 +19,8 @@ CLUSTERED = 1_000
 # Words whose class and count every task holds, so many at most; all other
 # words are looked up by a join.
 HELD = 200_000
+# A word seen less often is never held: such words show how new ones behave.
+HELD_FROM = 3
 CLASSES = 32
 # Weight of the class's own share in the smoothing of transitions.
 PRIOR = 5.0
@@ -160,13 +162,34 @@ class Model:
         return F.log10((c + 0.5) / F.lit(self.rest_tokens + 0.5 * (self.rest_words + 1)))
 
 
+def _most_frequent(counts: DataFrame, most: int) -> pa.Table:
+    """Words with counts from some level on, at most ``most``, the most frequent first.
+
+    Words of fewer than ``HELD_FROM`` occurrences are left out.
+
+    Levels are an eighth of a power of two apart. How many words each has tells
+    the lowest one that fits, so no task sorts the vocabulary.
+    """
+    counts = counts.where(F.col("c") >= HELD_FROM)
+    level = F.floor(F.log2("c") * 8)
+    sizes = counts.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("n")).toArrow()
+    least, total = None, 0
+    for at, n in sorted(zip(sizes["level"].to_pylist(), sizes["n"].to_pylist(), strict=True), reverse=True):
+        total += n
+        if total > most:
+            break
+        least = at
+    chosen = counts.where(F.lit(False) if least is None else level >= least)
+    return chosen.select("word", "c").toArrow().sort_by([("c", "descending"), ("word", "ascending")])
+
+
 def train(docs: DataFrame, text_col: str = "text", clustered: int = CLUSTERED, held: int = HELD, classes: int = CLASSES) -> tuple[Model, DataFrame]:
     """The model and the counts of all words of ``docs``.
 
     Counts are taken over all texts and grow with them. The ``clustered`` most
     frequent words are put in classes by exchange, on the counts of their
     pairs; each of the other ``held`` ones joins the class that its neighbours
-    fit best; words beyond have one class of their own, as has the end. Both
+    fit best; words beyond and rare ones have one class of their own, as has the end. Both
     numbers bound what the driver and the tasks hold.
     """
     spark = docs.sparkSession
@@ -178,7 +201,7 @@ def train(docs: DataFrame, text_col: str = "text", clustered: int = CLUSTERED, h
         F.count(F.lit(1)).alias("v"),
         F.coalesce(F.sum(F.when(is_end, F.col("c"))), F.lit(0)).alias("ends"),
     ).first()
-    top = counts.where(~is_end).orderBy(F.desc("c"), "word").limit(held).toArrow()
+    top = _most_frequent(counts.where(~is_end), held)
     words, c = top["word"].to_pylist(), top["c"].to_numpy().astype(np.int64)
     place = {bytes(word): at for at, word in enumerate(words)}
     movable = min(clustered, len(words))
