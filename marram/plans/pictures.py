@@ -206,7 +206,7 @@ FROM rasters WHERE x % 2 = 0 AND y % 2 = 0 AND x // 2 < width // 2 AND y // 2 <
     + 1) * CAST(127.5 AS DOUBLE)) AS INTEGER) AS v FROM sized)
 SELECT 'vec/' || vec_id AS image_id, CAST(n AS INTEGER) AS width, 2 AS height, CAST(p % n AS INTEGER) AS x,
   CAST(p // n AS INTEGER) AS y, v AS r, 255 - v AS g, v // 2 AS b FROM shades""",
-    "output_names": """WITH names AS (SELECT p_name || ['.JPG', '.png', '.jpg', '.tar.gif', ''][p_partkey % 5 + 1] AS name FROM part)
+    "output_names": r"""WITH names AS (SELECT p_name || ['.JPG', '.png', '.jpg', '.tar.gif', ''][p_partkey % 5 + 1] AS name FROM part)
 SELECT name, CASE WHEN contains(name, '.') THEN regexp_extract(name, '^(.+)\.[^.]*$', 1) || '_cartoon'
     || lower(regexp_extract(name, '(\.[^.]*)$', 1)) END AS cartoon,
   CASE WHEN name LIKE '%.png' OR name LIKE '%.jpg' THEN name[:-5] || '_edited' || name[-4:] END AS edited FROM names""",
