@@ -165,14 +165,14 @@ def contamination(
     item_id_col: str = "item_id",
     item_text_col: str = "text",
     length: int = WINDOW,
-    share: float = 0.05,
+    one_in: int = 20,
 ) -> DataFrame:
     """How much of each document is benchmark text.
 
     One row for every row of ``docs``: the id under its own name, ``n_words``,
     ``n_hit`` (words inside any occurrence of an item's window), ``items`` (ids
     of the items with occurring windows, as sorted text) and ``contaminated``
-    (words are hit, and at least ``share`` of all).
+    (words are hit, and at least one in ``one_in``).
 
     A null or empty text has no words and is clean; so is every document if
     there are no items or none has a word. Rows of one id are judged each by
@@ -197,5 +197,5 @@ def contamination(
         "n_words",
         n_hit.alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
-        ((n_hit > 0) & (n_hit >= F.lit(share) * F.col("n_words"))).alias("contaminated"),
+        ((n_hit > 0) & (n_hit * one_in >= F.col("n_words"))).alias("contaminated"),
     )

@@ -183,7 +183,13 @@ def _most_frequent(counts: DataFrame, most: int) -> pa.Table:
     return chosen.select("word", "c").toArrow().sort_by([("c", "descending"), ("word", "ascending")])
 
 
-def train(docs: DataFrame, text_col: str = "text", clustered: int = CLUSTERED, held: int = HELD, classes: int = CLASSES) -> tuple[Model, DataFrame]:
+def train(
+    docs: DataFrame,
+    text_col: str = "text",
+    clustered: int = CLUSTERED,
+    held: int = HELD,
+    classes: int = CLASSES,
+) -> tuple[Model, DataFrame]:
     """The model and the counts of all words of ``docs``.
 
     Counts are taken over all texts and grow with them. The ``clustered`` most
@@ -240,7 +246,9 @@ def train(docs: DataFrame, text_col: str = "text", clustered: int = CLUSTERED, h
     return model, counts
 
 
-def _class_counter(texts: DataFrame, place: dict[bytes, int], member: np.ndarray, rest: int, end: int, code) -> DataFrame:
+def _class_counter(
+    texts: DataFrame, place: dict[bytes, int], member: np.ndarray, rest: int, end: int, code
+) -> DataFrame:
     """Counts of ``code(words, classes)`` over all texts, words by place (-1: none), ends around."""
     held = texts.sparkSession.sparkContext.broadcast((place, np.append(member, rest)))
 
@@ -337,7 +345,10 @@ def score(
         F.xxhash64(text_col).alias("same"),
         F.col(text_col).cast("binary").alias("text"),
     )
-    schema = f"doc {rows.schema['doc'].dataType.simpleString()}, same long, word binary, n long, n_tokens long, n_known long, base double, score double"
+    kind = rows.schema["doc"].dataType.simpleString()
+    names = ["doc", "same", "word", "n", "n_tokens", "n_known", "base", "score"]
+    kinds = [kind, "long", "binary", "long", "long", "long", "double", "double"]
+    schema = ", ".join(f"{name} {kind}" for name, kind in zip(names, kinds, strict=True))
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(**held.value)
@@ -366,7 +377,7 @@ def score(
             columns = [batch["doc"].take(place), batch["same"].take(place), pa.array(word, pa.binary())]
             columns += [pa.array(x, pa.int64()) for x in (n, length, known)]
             columns += [pa.array(x, pa.float64()) for x in (base, value)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc", "same", "word", "n", "n_tokens", "n_known", "base", "score"])
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     each = stored(rows.mapInArrow(parts, schema), "scored")
     c = F.coalesce("c", F.lit(0))
@@ -382,8 +393,8 @@ def score(
     local = each.where("word IS NULL").select(
         "doc", "same", F.lit(1).alias("copies"), "n_tokens", "n_known", "base", "score"
     )
-    names = ["copies", "n_tokens", "n_known", "base", "score"]
-    summed = local.unionByName(rare).groupBy("doc", "same").agg(*[F.sum(x).alias(x) for x in names])
+    parts_of = ["copies", *names[4:]]
+    summed = local.unionByName(rare).groupBy("doc", "same").agg(*[F.sum(x).alias(x) for x in parts_of])
     each_row = summed.withColumn("_", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     return each_row.select(
         F.col("doc").alias(id_col),

@@ -181,7 +181,11 @@ def train(
         .orderBy(draw, "_id")
         .limit(most)
     )
-    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"), F.col(chars_col).cast("double").alias("n"))
+    texts = docs.select(
+        F.col(id_col).alias("_id"),
+        F.col(text_col).alias("text"),
+        F.col(chars_col).cast("double").alias("n"),
+    )
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         slots: dict[bytes, int] = {}

@@ -136,15 +136,23 @@ def spans_by_blob(findings: DataFrame, rules: Sequence[Rule] = RULES) -> DataFra
     place = F.array_position(kinds, F.col("rule")).cast("int") - 1
     listed = findings.where(place >= 0).select(
         "blob",
-        F.struct("start", place.alias("place"), "end", F.split_part("rule", F.lit("@"), F.lit(1)).alias("kind")).alias("span"),
+        F.struct(
+            "start",
+            place.alias("place"),
+            "end",
+            F.split_part("rule", F.lit("@"), F.lit(1)).alias("kind"),
+        ).alias("span"),
     )
     return listed.groupBy("blob").agg(F.array_sort(F.collect_list("span")).alias("spans"))
 
 
 def joined(spans: Column) -> Column:
     """``kind:start:end`` of spans, joined by commas."""
-    one = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
-    return F.array_join(one, ",")
+
+    def one(span: Column) -> Column:
+        return F.concat_ws(":", span["kind"], span["start"].cast("string"), span["end"].cast("string"))
+
+    return F.array_join(F.transform(spans, one), ",")
 
 
 def attach(
@@ -169,6 +177,10 @@ def attach(
 
 def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
     """``text`` with the union of its spans replaced by ``mark``; null stays null."""
+
+    def between(start: Column, end: Column) -> Column:
+        return F.substr(text, (start + 1).cast("int"), (end - start).cast("int"))
+
     done = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("out"))
     step = F.aggregate(
         spans,
@@ -180,7 +192,7 @@ def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
                 .otherwise(
                     F.array_append(
                         a["out"],
-                        F.concat(F.substr(text, (a["at"] + 1).cast("int"), (s["start"] - a["at"]).cast("int")), F.lit(mark)),
+                        F.concat(between(a["at"], s["start"]), F.lit(mark)),
                     )
                 )
                 .alias("out"),

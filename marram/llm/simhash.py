@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import combinations, islice
 
 import numpy as np
 import pandas as pd
@@ -37,9 +37,7 @@ def fingerprint(text: bytes | None, size: int = SHINGLE) -> int:
     shingles = map(b" ".join, zip(*shifted, strict=False))
     total = len(shifted[-1])
     for _ in range(0, total, _HASHES_AT_ONCE):
-        part = [xxhash.xxh64_intdigest(s, SEED) for s, _ in zip(shingles, range(min(total, _HASHES_AT_ONCE)), strict=False)]
-        if not part:
-            break
+        part = [xxhash.xxh64_intdigest(s, SEED) for s in islice(shingles, _HASHES_AT_ONCE)]
         bits = np.unpackbits(np.array(part, ">u8").view(np.uint8)).reshape(-1, 64)
         ones += bits.sum(axis=0, dtype=np.int64)
     return int.from_bytes(np.packbits(2 * ones > total).tobytes(), "big")
@@ -100,7 +98,8 @@ def keys_of(prints: np.ndarray, tables: tuple[np.ndarray, np.ndarray]) -> tuple[
     With at most two errors, one of three segments has none, and the next one
     has at most two: a key is the first as it is and a codeword near the second.
     """
-    parts = [(prints.view(np.uint64) >> np.uint64(shift)).astype(np.int64) & ((1 << bits) - 1) for shift, bits in SEGMENTS]
+    values = prints.view(np.uint64)
+    parts = [(values >> np.uint64(s)).astype(np.int64) & ((1 << bits) - 1) for s, bits in SEGMENTS]
     places, keys = [], []
     for at, exact in enumerate(parts):
         near = codeword_indices(parts[(at + 1) % len(parts)], tables)

@@ -56,8 +56,11 @@ def runs(parts: list[tuple[int, int, list[str]]], least: int = SENTENCES, words:
 
 def run_table(docs: DataFrame, id_col: str, text_col: str, least: int, words: int) -> DataFrame:
     """All runs of all texts, stored: 128-bit hash ``h``, ``g``, ``doc``, ``same``, ``first``, ``last``."""
-    rows = docs.select(F.col(id_col).alias("doc"), F.xxhash64(text_col).alias("same"), F.col(text_col).alias("text"))
-    schema = f"h long, g long, doc {rows.schema['doc'].dataType.simpleString()}, same long, first int, last int"
+    rows = docs.select(
+        F.col(id_col).alias("doc"), F.xxhash64(text_col).alias("same"), F.col(text_col).alias("text")
+    )
+    kind = rows.schema["doc"].dataType.simpleString()
+    schema = f"h long, g long, doc {kind}, same long, first int, last int"
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

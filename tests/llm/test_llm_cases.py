@@ -387,6 +387,13 @@ def test_words_within_two_bits_share_a_codeword():
         assert {x for x in a if x >= 0} & {x for x in b if x >= 0}
 
 
+def test_long_texts_are_hashed_in_pieces(monkeypatch):
+    text = " ".join(f"w{i * i % 91}" for i in range(400)).encode()
+    whole = simhash.fingerprint(text)
+    monkeypatch.setattr(simhash, "_HASHES_AT_ONCE", 7)
+    assert simhash.fingerprint(text) == whole
+
+
 @pytest.mark.parametrize("block", [3, 1024])
 def test_links_against_all_pairs(spark, block):
     draw = random.Random(8)
