@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marram.functions import fixed, markup
+from marram.operators.skew import SHARES, with_parts
 
 
 def _row_count() -> Column:
@@ -279,9 +280,16 @@ def contributor_year_lookup(by_year: DataFrame, year: int, contributor: str) ->
 # Two datasets ---------------------------------------------------------------
 
 
-def partition_by_contributor(revisions: DataFrame, partitions: int) -> DataFrame:
-    """Rows placed so that a contributor's revisions share a partition."""
-    return revisions.repartition(partitions, "contributor")
+def partition_by_contributor(
+    revisions: DataFrame, partitions: int, shares: int = SHARES
+) -> DataFrame:
+    """Rows with ``part``, placed so that rows of one contributor and part share a partition.
+
+    A contributor has one part, or several if more than a ``shares``-th of all
+    revisions are theirs, so that no partition has to hold all of these.
+    """
+    parted = with_parts(revisions, "contributor", F.col("rid"), shares)
+    return parted.repartition(partitions, "contributor", "part")
 
 
 def cogroup_rows(left: DataFrame, right: DataFrame) -> DataFrame:

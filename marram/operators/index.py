@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Observation, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from marram.functions import fixed, text
+from marram.operators.skew import SHARES, with_parts
 
 LINES_PER_BLOCK = 100_000
 BLOCKS_PER_GROUP = 1_000
@@ -152,13 +153,17 @@ def with_bucket(rows: DataFrame, buckets: int = fixed.INDEX_BUCKETS) -> DataFram
     return rows.withColumn("bucket", text.length_bucket("word", buckets))
 
 
-def place_by_bucket(rows: DataFrame, buckets: int = fixed.INDEX_BUCKETS) -> DataFrame:
-    """Rows moved so that partition i holds length range i.
+def place_by_bucket(
+    rows: DataFrame, buckets: int = fixed.INDEX_BUCKETS, shares: int = SHARES
+) -> DataFrame:
+    """Rows with ``bucket`` and ``part``, placed by both.
 
-    Ranges differ much in size and one range is one task; for large outputs
-    ``write_index_tree`` keeps the ranges apart without that.
+    Ranges differ much in size, so one with more than a ``shares``-th of all
+    rows is dealt out to parts by a hash of the word.
     """
-    return rows.repartitionById(buckets, text.length_bucket("word", buckets))
+    number = F.conv(F.substring(F.md5("word"), 1, 8), 16, 10).cast("bigint")
+    parted = with_parts(with_bucket(rows, buckets), "bucket", number, shares)
+    return parted.repartition("bucket", "part")
 
 
 def tree_rows(rows: DataFrame, buckets: int = fixed.INDEX_BUCKETS) -> DataFrame:

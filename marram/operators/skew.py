@@ -2,13 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A key with more than one part in so many of all rows is split.
 SHARES = 1000
 
 
+def hot_keys(facts: DataFrame, key: str, shares: int = SHARES) -> DataFrame:
+    """Keys with more than a ``shares``-th of all rows, and in how many ``_parts`` to split them.
+
+    There can be no more than ``shares`` of them.
+    """
+    counts = facts.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    total = counts.agg(F.sum("_rows")).scalar()
+    return counts.where(F.col("_rows") * shares > total).select(
+        key, F.ceil(F.col("_rows") * F.lit(float(shares)) / total).alias("_parts")
+    )
+
+
+def with_parts(facts: DataFrame, key: str, number: Column, shares: int = SHARES) -> DataFrame:
+    """``facts`` with ``part``: rows of a frequent key are dealt out to parts by ``number``.
+
+    Placed or grouped by key and part, rows of one key stay in few places, and
+    none of these holds much more than a ``shares``-th of all rows.
+    """
+    hot = F.broadcast(hot_keys(facts, key, shares))
+    parts = F.coalesce("_parts", F.lit(1).cast("bigint"))
+    return facts.join(hot, key, "left").select(
+        *facts.columns, F.pmod(number, parts).alias("part")
+    )
+
+
 def lookup_join(
     facts: DataFrame, lookup: DataFrame, key: str, how: str = "inner", shares: int = SHARES
 ) -> DataFrame:
@@ -26,11 +51,7 @@ def lookup_join(
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be 'inner' or 'left', not {how!r}")
-    counts = facts.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    total = counts.agg(F.sum("_rows")).scalar()
-    hot = counts.where(F.col("_rows") * shares > total).select(
-        key, F.ceil(F.col("_rows") * F.lit(float(shares)) / total).alias("_parts")
-    )
+    hot = hot_keys(facts, key, shares)
     parts = F.coalesce("_parts", F.lit(1).cast("bigint"))
     # Rows without a key meet no partner and may go anywhere.
     fact_parts = F.when(F.col(key).isNull(), F.lit(shares).cast("bigint")).otherwise(parts)

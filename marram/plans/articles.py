@@ -27,12 +27,9 @@ def _parsed(spark, sf):
 
 
 def _partitions_per_contributor(spark, sf):
-    placed = articles.partition_by_contributor(revisions(spark, sf), 16)
-    return (
-        placed.withColumn("place", F.spark_partition_id())
-        .groupBy("contributor")
-        .agg(F.count_distinct("place").alias("n_partitions"), F.count(F.lit(1)).alias("n_revisions"))
-    )
+    """How the contributors' revisions are dealt out, in parts of at most a 5,000th of all."""
+    placed = articles.partition_by_contributor(revisions(spark, sf), 16, shares=5000)
+    return placed.groupBy("contributor", "part").agg(F.count(F.lit(1)).alias("n_revisions"))
 
 
 def _accessors(spark, sf):
@@ -265,8 +262,10 @@ ORACLE = {
     ),
     "contributor_partitions": with_tables(
         "revisions",
-        then="""SELECT contributor, CAST(1 AS BIGINT) AS n_partitions, count(*) AS n_revisions
-  FROM revisions GROUP BY 1""",
+        then="""SELECT contributor, part, count(*) AS n_revisions FROM
+  (SELECT contributor, rid % CASE WHEN n * 5000 > total THEN CAST(ceil(n * CAST(5000 AS DOUBLE) / total) AS BIGINT)
+    ELSE 1 END AS part FROM (SELECT *, count(*) OVER (PARTITION BY contributor) AS n, count(*) OVER () AS total
+    FROM revisions)) GROUP BY 1, 2""",
     ),
     "article_parse": with_tables(
         "articles",

@@ -35,8 +35,8 @@ def _case_blind(line, target):
 
 
 def _placed(spark, sf):
-    rows = index.place_by_bucket(_index_words(spark, sf), 8)
-    return rows.select("word", F.spark_partition_id().alias("place"))
+    """Words with their length range and part of it, in parts of about a fiftieth of all."""
+    return index.place_by_bucket(_index_words(spark, sf), 8, shares=50)
 
 
 def _counters(spark, sf):
@@ -168,7 +168,12 @@ ORACLE = {
   WHEN {_PALINDROME} THEN 'palindrome' END AS kind FROM totals) WHERE kind IS NOT NULL GROUP BY 1"""
     ),
     "index_partitions": _index(f"SELECT word, {_BUCKET} AS bucket FROM totals"),
-    "index_placement": _index(f"SELECT word, {_BUCKET} AS place FROM totals"),
+    "index_placement": _index(
+        f"""SELECT word, bucket, CAST('0x' || md5(word)[1:8] AS BIGINT) %
+  CASE WHEN n * 50 > total THEN CAST(ceil(n * CAST(50 AS DOUBLE) / total) AS BIGINT) ELSE 1 END AS part
+  FROM (SELECT *, count(*) OVER (PARTITION BY bucket) AS n, count(*) OVER () AS total
+    FROM (SELECT word, {_BUCKET} AS bucket FROM totals))"""
+    ),
     "index_tree": _index(
         rf"""SELECT word, doc_id, line_id, text, {_BUCKET} AS bucket,
   CAST(length(word) AS INTEGER) AS length FROM (

@@ -302,7 +302,12 @@ def test_flat_parse_extracts_once(spark, tmp_path):
 
 def test_partitioning_by_contributor(spark):
     rows = flat(spark, [(1, i, f"c{i % 5}", "2013-01-01") for i in range(50)])
-    placed = articles.partition_by_contributor(rows, 2)
+    placed = articles.partition_by_contributor(rows, 2, shares=5)
     assert placed.rdd.getNumPartitions() == 2
-    spread = placed.select("contributor", F.spark_partition_id().alias("p")).distinct()
+    spread = placed.select("contributor", "part", F.spark_partition_id().alias("p")).distinct()
     assert spread.count() == 5
+    many = rows.unionByName(flat(spark, [(1, i, "busy", "2013-01-01") for i in range(950)]))
+    parts = articles.partition_by_contributor(many, 4, shares=20).groupBy("contributor", "part").count()
+    sizes = {(r.contributor, r.part): r["count"] for r in parts.collect()}
+    assert sum(name == "busy" for name, _ in sizes) == 19
+    assert max(sizes.values()) == 50 and sum(sizes.values()) == 1000
