@@ -11,6 +11,8 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marram.llm.common import stored
+
 ORDERS = (2, 3, 4)
 UNKNOWN = "und"
 # Bound of the training sample: so many documents of a language at most.
@@ -97,12 +99,15 @@ def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, most: int
     known = docs.where(F.col(lang_col).isNotNull()).select(
         F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), draw.alias("draw")
     )
+    sizes = stored(known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
+    # About twice as many as wanted pass a first cut, so that only these are ranked.
+    place = F.col("draw") / 2.0**64 + 0.5
+    few = known.select("lang", "draw").join(sizes, "lang").where(place * F.col("n") < 2 * most + 100)
     first = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
-    cuts = (
-        known.select("lang", "draw").withColumn("n", first).where(F.col("n") <= most)
-        .groupBy("lang").agg(F.max("draw").alias("cut"))
-    )
-    return known.join(cuts, "lang").where("draw <= cut").select("text", "lang")
+    ranked = few.withColumn("rank", first).where(F.col("rank") <= most)
+    cuts = ranked.groupBy("lang").agg(F.max("draw").alias("cut"))
+    # Stored, its size is known, and texts need not move to meet it.
+    return known.join(stored(cuts, "cuts"), "lang").where("draw <= cut").select("text", "lang")
 
 
 def train(
