@@ -8,7 +8,7 @@ from itertools import combinations, islice
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marram.llm.common import by_runs, components, in_blocks, local_links, stored
@@ -175,11 +175,17 @@ def hex_digits(print_col: str) -> Column:
 
 
 def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without near-duplicates: of each group the row with the smallest id, of equal rows one."""
-    kept = docs.columns
-    printed = stored(with_fingerprints(docs, text_col, "_fp"), "printed")
-    found = groups(printed, id_col, "_fp").select(
-        F.col("fp").alias("_fp"), F.col("root").alias("_root"), F.col("first_id").alias("_first")
-    )
-    first = printed.join(found, "_fp").where(F.col(id_col).eqNullSafe(F.col("_first")))
-    return first.dropDuplicates(["_root"]).select(*[F.col(f"`{name}`") for name in kept])
+    """``docs`` without near-duplicates: of each group the row with the smallest id, of equal rows one.
+
+    Groups are settled over ids and hashes of texts; texts move once, to meet
+    the rows that stay.
+    """
+    key = F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("same"))
+    keyed = docs.withColumn("_key", key)
+    slim = keyed.select("_key", F.col(text_col).alias("text"))
+    prints = stored(with_fingerprints(slim, "text", "fp").select("_key", "_key.id", "fp"), "prints")
+    found = prints.join(groups(prints, "id"), "fp").where(F.col("id").eqNullSafe(F.col("first_id")))
+    stay = stored(found.groupBy("root").agg(F.min("_key").alias("_key")).select("_key"), "stay")
+    one = F.row_number().over(Window.partitionBy("_key").orderBy("_key"))
+    kept = keyed.join(stay, "_key").withColumn("_row", one).where("_row = 1")
+    return kept.select(*docs.columns)
