@@ -48,8 +48,9 @@ def _terms(phrases: DataFrame, index: DataFrame) -> DataFrame:
     """Terms of each phrase with offset and rank, the rarest first; phrases with an unknown term are left out."""
     split = phrases.select("phrase", "size", F.posexplode(F.split("phrase", " ")).alias("offset", "word"))
     terms = split.select("phrase", "size", "offset", F.xxhash64("word").alias("term"))
-    wanted = terms.select("term").distinct()
-    counts = index.groupBy("term").agg(F.count(F.lit(1)).alias("n")).join(wanted, "term", "left_semi")
+    # Stored, its size is known, and postings need not move to meet it.
+    wanted = stored(terms.select("term").distinct(), "wanted")
+    counts = index.join(wanted, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n"))
     by_rarity = Window.partitionBy("phrase").orderBy("n", "offset")
     known = terms.join(counts, "term").withColumn("rank", F.row_number().over(by_rarity))
     whole = F.count(F.lit(1)).over(Window.partitionBy("phrase")) == F.col("size")
