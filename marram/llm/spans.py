@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
@@ -15,29 +16,65 @@ from marram.llm.common import stored
 
 # A run has so many sentences and so many words at least.
 SENTENCES, WORDS = 3, 20
-# A sentence of more words is cut into pieces of so many.
-LONGEST = 16
+# Of so many words in a row inside a sentence, one at least starts a piece.
+WINDOW = 8
 # Sentences, in the wide sense, end at one of these marks before white space, or with the line.
-_SENTENCE = re.compile(r"[^\n]*?(?:[.!?;:,]+(?=\s|\Z)\s*|\n+|\Z)")
-_WORD = re.compile(r"\S+\s*")
+_MARK = re.compile(r"[.!?;:,](?=\s|\Z)\s*|\n+")
+# White space by code point; there is none beyond the last.
+_WHITE = np.array([chr(code).isspace() for code in range(0x3001)] + [False])
+_MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
+
+
+class _Hashes(dict):
+    """Hashes of words, kept for so many words at once."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= 1 << 17:
+            self.clear()
+        self[word] = value = xxhash.xxh3_64_intdigest(word)
+        return value
+
+
+_HASHES = _Hashes()
+
+
+def _starts(words: list[str], sentence: np.ndarray) -> np.ndarray:
+    """Words, by place, that have the smallest hash of some ``WINDOW`` words in a row of one sentence.
+
+    A hash is that of the word and the next one of its sentence; of equal ones
+    the last counts. So only the words nearby decide, wherever a sentence
+    starts, and no piece is longer than a window.
+    """
+    if len(words) < WINDOW:
+        return np.zeros(0, np.int64)
+    own = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+    after = np.append(np.where(sentence[1:] == sentence[:-1], own[1:], np.uint64(0)), np.uint64(0))
+    value = own * _MIX[0] + after * _MIX[1]
+    value = (value ^ value >> np.uint64(29)) * _MIX[2]
+    value ^= value >> np.uint64(32)
+    back = np.lib.stride_tricks.sliding_window_view(value, WINDOW)[:, ::-1].argmin(axis=1)
+    whole = (sentence[: len(back)] == sentence[WINDOW - 1 :]).nonzero()[0]
+    return np.unique(whole + WINDOW - 1 - back[whole])
 
 
 def sentences(text: str) -> list[tuple[int, int, list[str]]]:
-    """Sentences of a text in order: start, end, lowered words. They cover the text without gaps."""
-    found = []
-    for match in _SENTENCE.finditer(text):
-        start, end = match.span()
-        if start == end:
-            continue
-        words = text[start:end].lower().split()
-        if len(words) <= LONGEST:
-            found.append((start, end, words))
-            continue
-        places = [m.start() for m in _WORD.finditer(text, start, end)][::LONGEST]
-        places[0] = start
-        for at, (a, b) in enumerate(zip(places, [*places[1:], end], strict=True)):
-            found.append((a, b, words[at * LONGEST : (at + 1) * LONGEST]))
-    return found
+    """Sentences of a text and pieces of longer ones in order: start, end, lowered words.
+
+    They cover the text without gaps.
+    """
+    ends = [0, *(m.end() for m in _MARK.finditer(text)), len(text)]
+    starts = np.unique(np.array(ends, np.int64))[:-1]
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    word = ~_WHITE[np.minimum(codes, len(_WHITE) - 1)]
+    places = (word & ~np.append(False, word[:-1])).nonzero()[0]
+    words = text.lower().split()
+    sentence = np.searchsorted(starts, places, "right")
+    cut = _starts(words, sentence)
+    inside = cut[(cut > 0) & (sentence[cut] == sentence[cut - 1])]
+    bounds = np.union1d(starts, places[inside])
+    at = [*np.searchsorted(places, bounds).tolist(), len(words)]
+    bounds = [*bounds.tolist(), len(text)]
+    return [(a, b, words[i:j]) for a, b, i, j in zip(bounds, bounds[1:], at, at[1:], strict=False)]
 
 
 def runs(parts: list[tuple[int, int, list[str]]], least: int = SENTENCES, words: int = WORDS) -> Iterator[tuple[int, int]]:
@@ -72,7 +109,8 @@ def run_table(docs: DataFrame, id_col: str, text_col: str, least: int, words: in
                     at.append(row)
                     firsts.append(first)
                     lasts.append(last)
-                    digests.append(xxhash.xxh3_128_digest("\n".join(joined[first : last + 1])))
+                    run = " ".join(filter(None, joined[first : last + 1]))
+                    digests.append(xxhash.xxh3_128_digest(run))
             pair = pa.Array.from_buffers(pa.int64(), 2 * len(digests), [None, pa.py_buffer(b"".join(digests))])
             even = pa.array(range(0, 2 * len(digests), 2), pa.int64())
             odd = pa.array(range(1, 2 * len(digests), 2), pa.int64())
@@ -90,12 +128,12 @@ def repeated_runs(runs_of_all: DataFrame) -> DataFrame:
     """Runs that stand elsewhere before: ``doc``, ``same``, ``first``, ``last``.
 
     The first of equal runs is that of the smallest document id, then text
-    hash, then place. Counting shuffles two numbers per run; only runs that
-    repeat are looked at again.
+    hash, then place. Counting shuffles one half of a hash and a count per run;
+    only runs whose half repeats are looked at again, by the whole hash.
     """
     key = ["h", "g"]
-    again = stored(runs_of_all.groupBy(*key).count().where("count > 1").select(*key), "again")
-    repeated = stored(runs_of_all.join(again, key, "left_semi"), "repeated")
+    again = stored(runs_of_all.groupBy("h").count().where("count > 1").select("h"), "again")
+    repeated = stored(runs_of_all.join(again, "h", "left_semi"), "repeated")
     place = F.struct("doc", "same", "first")
     origins = stored(repeated.groupBy(*key).agg(F.min(place).alias("origin")), "origins")
     return repeated.join(origins, key).where(place != F.col("origin")).select("doc", "same", "first", "last")
@@ -112,7 +150,10 @@ def without_repeats(
 
     Every run of ``least`` consecutive sentences or more with ``words`` words
     or more is compared with all others, in upper or lower case and with any
-    white space. Sentences covered by a run that is not the first of its kind
+    white space; pieces of long sentences count as sentences. As no piece has
+    more than eight words, 20 words always are three pieces, and a passage of
+    50 words repeated within other sentences, with marks or without, shares a
+    run at least; up to 15 words at either of its ends can stay. Sentences covered by a run that is not the first of its kind
     go; ``removed`` lists what went as ``start:end`` in code points of the old
     text. The first occurrence of a run stays unless another run takes it.
 

@@ -331,6 +331,30 @@ def test_sentences_cover_the_text():
         assert [w for _, _, words in parts for w in words] == text.lower().split()
 
 
+def test_passages_of_fifty_words_share_a_run_at_every_offset():
+    draw = np.random.default_rng(3)
+    marks = np.array(["", ".", ",", " \u0964"])
+    for odds in ([1, 0, 0, 0], [0.95, 0.02, 0.02, 0.01], [0.8, 0.1, 0.1, 0]):
+        for kinds in (1000, 30, 1):
+            passage = " ".join(f"w{i}{m}" for i, m in zip(draw.integers(0, kinds, 50), draw.choice(marks, 50, p=odds)))
+            found = []
+            for offset in range(17):
+                own = " ".join(f"own{offset}x{i}" for i in range(offset))
+                parts = spans.sentences(f"{own} {passage} end{offset} " + own)
+                joined = [" ".join(words) for _, _, words in parts]
+                found.append({" ".join(joined[a : b + 1]) for a, b in spans.runs(parts)})
+                assert max(len(words) for _, _, words in parts) <= 8
+            assert set.intersection(*found)
+
+
+def test_a_passage_without_marks_goes_wherever_it_stands(spark):
+    passage = " ".join(f"item{i}" for i in range(51))
+    texts = [" ".join([*(f"own{n}x{i}" for i in range(n)), passage]) for n in range(17)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    n = [r.n_removed for r in spans.without_repeats(docs).orderBy("doc_id").collect()]
+    assert n[0] == 0 and min(n[1:]) > 2
+
+
 # Language model
 
 
