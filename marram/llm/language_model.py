@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -60,7 +61,7 @@ def _counted_pairs(codes: list[np.ndarray]) -> pd.DataFrame:
     return pd.DataFrame({"code": code, "n": n})
 
 
-def exchange(pairs: np.ndarray, movable: int, classes: int, rounds: int = 12) -> np.ndarray:
+def exchange(pairs: np.ndarray, movable: int, classes: int, rounds: int | None = None) -> np.ndarray:
     """Class of each word by the exchange algorithm.
 
     ``pairs[i, j]`` counts word j after word i. The first ``movable`` words,
@@ -80,7 +81,9 @@ def exchange(pairs: np.ndarray, movable: int, classes: int, rounds: int = 12) ->
     def gain(x: np.ndarray) -> np.ndarray:
         return np.where(x > 0, x * np.log(np.maximum(x, 1e-300)), 0)
 
-    for _ in range(rounds):
+    # Sums of this size are rounded; a gain below that is none.
+    least = 1e-9 + 1e-12 * np.abs(gain(table)).sum()
+    for _ in count() if rounds is None else range(rounds):
         moved = 0
         for word in range(movable):
             old = member[word]
@@ -105,7 +108,7 @@ def exchange(pairs: np.ndarray, movable: int, classes: int, rounds: int = 12) ->
             score -= gain(rows[:classes] + size_out) - gain(rows[:classes])
             score -= gain(columns[:classes] + size_in) - gain(columns[:classes])
             new = int(score.argmax())
-            if score[new] <= score[old] + 1e-9:
+            if score[new] <= score[old] + least:
                 new = old
             table[new] += after
             table[:, new] += before
@@ -135,6 +138,8 @@ class Model:
     n_words: int
     rest_tokens: int
     rest_words: int
+    # Whether tasks hold every word that has a class.
+    whole: bool
 
     @property
     def rest(self) -> int:
@@ -202,12 +207,17 @@ def train(
     texts = docs.select(F.col(text_col).cast("binary").alias("text"))
     counts = word_counts(texts)
     is_end = F.octet_length("word") == 0
+    classed = ~is_end & (F.col("c") >= HELD_FROM)
     sums = counts.agg(
         F.coalesce(F.sum("c"), F.lit(0)).alias("n"),
         F.count(F.lit(1)).alias("v"),
         F.coalesce(F.sum(F.when(is_end, F.col("c"))), F.lit(0)).alias("ends"),
+        F.coalesce(F.sum(F.when(classed, F.col("c"))), F.lit(0)).alias("classed_tokens"),
+        F.count(F.when(classed, 1)).alias("classed_words"),
     ).first()
     top = _most_frequent(counts.where(~is_end), held)
+    if top.num_rows < min(clustered, sums.classed_words):
+        top = counts.where(classed).orderBy(F.desc("c"), "word").limit(clustered).toArrow()
     words, c = top["word"].to_pylist(), top["c"].to_numpy().astype(np.int64)
     place = {bytes(word): at for at, word in enumerate(words)}
     movable = min(clustered, len(words))
@@ -236,13 +246,22 @@ def train(
     member[:movable] = first[:movable]
     if len(words) > movable:
         member[movable:] = _fitted(texts, place, member, matrix, first, movable, classes)
-    rest_tokens = sums.n - sums.ends - int(c.sum())
-    rest_words = sums.v - len(words) - bool(sums.ends)
+    rest_tokens = sums.n - sums.ends - sums.classed_tokens
+    rest_words = sums.v - sums.classed_words - bool(sums.ends)
     class_counts = np.append(np.bincount(member, c, classes)[:classes], [rest_tokens, sums.ends])
+    whole = len(words) == sums.classed_words
+    none = F.lit(None).cast("long")
+    if whole:
+        counts = counts.withColumn("class", none)
+    else:
+        others = _fitted_others(texts, place, matrix, first, movable, classes)
+        counts = stored(counts.join(others, "word", "left"), "word_classes")
+        for at, n in counts.where("class IS NOT NULL").groupBy("class").agg(F.sum("c")).collect():
+            class_counts[at] += n
     model = Model(
-        place, c, member, np.zeros((classes + 2,) * 2), class_counts, sums.n, sums.v, rest_tokens, rest_words
+        place, c, member, np.zeros((classes + 2,) * 2), class_counts, sums.n, sums.v, rest_tokens, rest_words, whole
     )
-    model.transitions = _transitions(texts, model)
+    model.transitions = _transitions(texts, model, counts)
     return model, counts
 
 
@@ -277,11 +296,6 @@ def _fitted(texts, place, member, matrix, first, movable: int, classes: int) ->
     class's size.
     """
     wide = classes + 2
-    one = np.eye(wide)[np.append(first[:movable], [classes, classes + 1])]
-    table = one.T @ matrix.reshape(movable + 2, movable + 2) @ one + 0.1
-    before = np.log(table / table.sum(axis=0))[:, :classes]  # given the class, what stands before
-    after = np.log(table / table.sum(axis=1, keepdims=True))[:classes].T  # and what after
-    seen = np.log(table.sum(axis=0)[:classes] / table.sum())
 
     def sides(ids: np.ndarray, around: np.ndarray) -> np.ndarray:
         at = (ids >= movable).nonzero()[0]
@@ -289,7 +303,57 @@ def _fitted(texts, place, member, matrix, first, movable: int, classes: int) ->
         return np.concatenate([word + around[at], word + wide + around[at + 2]])
 
     counted = _class_counter(texts, place, member, classes, classes + 1, sides)
-    both = texts.sparkSession.sparkContext.broadcast((np.concatenate([before, after]), seen))
+    sided = counted.select(
+        F.expr(f"code div {2 * wide}").alias("word"), (F.col("code") % (2 * wide)).alias("side"), "n"
+    )
+    chosen = _chosen(sided, "long", matrix, first, movable, classes).toArrow()
+    out = np.full(len(place) - movable, 0, np.int64)
+    out[chosen["word"].to_numpy()] = chosen["class"].to_numpy()
+    return out
+
+
+def _fitted_others(texts, place, matrix, first, movable: int, classes: int) -> DataFrame:
+    """``word`` and ``class`` of the words with a class that tasks do not hold, fitted alike."""
+    wide = classes + 2
+    around = np.append(first[:movable], np.full(len(place) - movable + 1, classes))
+    held = texts.sparkSession.sparkContext.broadcast((place, around))
+
+    def sides(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        (find, of), seen = (held.value[0].get, held.value[1]), Counter()
+        for batch in batches:
+            for text in batch["text"]:
+                found = tokens(text)
+                ids = np.array([find(t, -1) for t in found], np.int64)
+                path = np.concatenate([[classes + 1], of[ids], [classes + 1]])
+                for i in (ids < 0).nonzero()[0].tolist():
+                    seen[found[i], int(path[i])] += 1
+                    seen[found[i], wide + int(path[i + 2])] += 1
+                if len(seen) > HELD:
+                    yield _frame(seen, ["word", "side"])
+                    seen.clear()
+        yield _frame(seen, ["word", "side"])
+
+    counted = texts.mapInPandas(sides, "word binary, side long, n long")
+    sided = counted.groupBy("word", "side").agg(F.sum("n").alias("n"))
+    # Each occurrence has two sides.
+    return _chosen(sided, "binary", matrix, first, movable, classes, 2 * HELD_FROM)
+
+
+def _frame(seen: Counter, names: list[str]) -> pd.DataFrame:
+    columns = zip(*seen, strict=True) if seen else [()] * len(names)
+    return pd.DataFrame(dict(zip(names, columns, strict=True)) | {"n": list(seen.values())})
+
+
+def _chosen(sided: DataFrame, kind: str, matrix, first, movable: int, classes: int, least: int = 0) -> DataFrame:
+    """``word`` and its best ``class``, by counts ``n`` of its sides, of words with a sum of ``least`` or more."""
+    wide = classes + 2
+    one = np.eye(wide)[np.append(first[:movable], [classes, classes + 1])]
+    table = one.T @ matrix.reshape(movable + 2, movable + 2) @ one + 0.1
+    before = np.log(table / table.sum(axis=0))[:, :classes]  # given the class, what stands before
+    after = np.log(table / table.sum(axis=1, keepdims=True))[:classes].T  # and what after
+    seen = np.log(table.sum(axis=0)[:classes] / table.sum())
+
+    both = sided.sparkSession.sparkContext.broadcast((np.concatenate([before, after]), seen))
 
     def choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         logs, prior = both.value
@@ -298,22 +362,15 @@ def _fitted(texts, place, member, matrix, first, movable: int, classes: int) ->
                 (np.asarray(n, float) @ logs[np.asarray(side, np.int64)] + prior).argmax()
                 for side, n in zip(batch["side"], batch["n"], strict=True)
             ]
-            yield pd.DataFrame({"word": batch["word"], "best": best})
+            yield pd.DataFrame({"word": batch["word"], "class": best})
 
-    sided = counted.select(
-        F.expr(f"code div {2 * wide}").alias("word"), (F.col("code") % (2 * wide)).alias("side"), "n"
-    )
     # A word has one row per side at most, so its list is bounded by twice the classes.
-    listed = sided.groupBy("word").agg(F.collect_list(F.struct("side", "n")).alias("s"))
-    chosen = (
-        listed.select("word", "s.side", "s.n").mapInPandas(choose, "word long, best long").toArrow()
-    )
-    out = np.full(len(place) - movable, 0, np.int64)
-    out[chosen["word"].to_numpy()] = chosen["best"].to_numpy()
-    return out
+    listed = sided.groupBy("word").agg(F.collect_list(F.struct("side", "n")).alias("s"), F.sum("n").alias("all"))
+    listed = listed.where(F.col("all") >= least)
+    return listed.select("word", "s.side", "s.n").mapInPandas(choose, f"word {kind}, class long")
 
 
-def _transitions(texts: DataFrame, model: Model) -> np.ndarray:
+def _transitions(texts: DataFrame, model: Model, counts: DataFrame) -> np.ndarray:
     wide = len(model.class_counts)
 
     def bigrams(_: np.ndarray, around: np.ndarray) -> np.ndarray:
@@ -322,7 +379,68 @@ def _transitions(texts: DataFrame, model: Model) -> np.ndarray:
     found = _class_counter(texts, model.place, model.member, wide - 2, wide - 1, bigrams).toArrow()
     table = np.zeros(wide * wide)
     table[found["code"].to_numpy()] = found["n"].to_numpy()
-    return table.reshape(wide, wide)
+    table = table.reshape(wide, wide)
+    if not model.whole:
+        keys = ["l", "r", "lc", "rc"]
+        moved = _moved_pairs(texts, model, counts, []).groupBy(*keys).agg(F.sum("n").alias("n")).toArrow().to_pandas()
+        left, right, lc, rc, n = (moved[name].to_numpy(np.int64) for name in [*keys, "n"])
+        np.add.at(table, (left, right), -n)
+        np.add.at(table, (lc, rc), n)
+    return table
+
+
+def _moved_pairs(rows: DataFrame, model: Model, counts: DataFrame, keys: list[str]) -> DataFrame:
+    """Pairs of words whose classes tasks do not know: ``keys``, ``l``, ``r``, ``lc``, ``rc``, ``n``.
+
+    ``l`` and ``r`` are the classes that tasks take, those of unknown words
+    being the rest; ``lc`` and ``rc`` those of the table of all words. Pairs
+    of three kinds are joined apart, so that no join has a null key.
+    """
+    wide, rest = len(model.class_counts), model.rest
+    held = rows.sparkSession.sparkContext.broadcast((model.place, np.append(model.member, rest)))
+    kinds = {name: rows.schema[name].dataType.simpleString() for name in keys}
+    types = {"l": pa.int64(), "r": pa.int64(), "lw": pa.binary(), "rw": pa.binary(), "n": pa.int64()}
+    names = list(types)[:-1]
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find, of = held.value[0].get, held.value[1]
+        for batch in batches:
+            at, parts, seen = [], [], Counter()
+            for row, text in enumerate(batch["text"].to_pylist()):
+                found = tokens(text)
+                ids = np.array([0, *(find(t, -1) for t in found), 0], np.int64)
+                path = np.concatenate([[wide - 1], of[ids[1:-1]], [wide - 1]]).tolist()
+                for i in ((ids[:-1] < 0) | (ids[1:] < 0)).nonzero()[0].tolist():
+                    left = found[i - 1] if ids[i] < 0 else None
+                    right = found[i] if ids[i + 1] < 0 else None
+                    seen[path[i], path[i + 1], left, right] += 1
+                if keys or len(seen) > HELD:
+                    at += [row] * len(seen)
+                    parts.append(_frame(seen, names))
+                    seen.clear()
+            at += [0] * len(seen)
+            out = pd.concat([*parts, _frame(seen, names)], ignore_index=True)
+            place = pa.array(at, pa.int64())
+            columns = [batch[name].take(place) for name in keys]
+            columns += [pa.array(out[name].tolist(), kind) for name, kind in types.items()]
+            yield pa.RecordBatch.from_arrays(columns, [*keys, *types])
+
+    fields = kinds | {"l": "long", "r": "long", "lw": "binary", "rw": "binary", "n": "long"}
+    schema = ", ".join(f"{name} {kind}" for name, kind in fields.items())
+    all_pairs = rows.select(*keys, "text").mapInArrow(pairs, schema)
+    if not keys:
+        all_pairs = all_pairs.groupBy(*names).agg(F.sum("n").alias("n"))
+    all_pairs = stored(all_pairs, "pairs")
+    known = counts.where("class IS NOT NULL")
+    of_left = known.select(F.col("word").alias("lw"), F.col("class").alias("lk"))
+    of_right = known.select(F.col("word").alias("rw"), F.col("class").alias("rk"))
+    nothing = F.lit(None).cast("long")
+    columns = [*keys, "l", "r", F.coalesce("lk", "l").alias("lc"), F.coalesce("rk", "r").alias("rc"), "n"]
+    one = all_pairs.where("rw IS NULL").join(of_left, "lw").withColumn("rk", nothing)
+    other = all_pairs.where("lw IS NULL").join(of_right, "rw").withColumn("lk", nothing)
+    both = all_pairs.where("lw IS NOT NULL AND rw IS NOT NULL")
+    both = both.join(of_left, "lw", "left").join(of_right, "rw", "left")
+    return one.select(*columns).unionByName(other.select(*columns)).unionByName(both.select(*columns))
 
 
 def score(
@@ -381,6 +499,7 @@ def score(
 
     each = stored(rows.mapInArrow(parts, schema), "scored")
     c = F.coalesce("c", F.lit(0))
+    within = F.element_at(F.lit([float(n) for n in model.class_counts]), (F.col("class") + 1).cast("int"))
     rare = each.where("word IS NOT NULL").join(counts, "word", "left").select(
         "doc",
         "same",
@@ -388,13 +507,27 @@ def score(
         "n_tokens",
         F.when(c > 0, F.col("n")).otherwise(0).alias("n_known"),
         (F.col("n") * model.base_of(c)).alias("base"),
-        (F.col("n") * model.emission_of(c)).alias("score"),
+        (F.col("n") * F.coalesce(F.log10(c / F.nullif(within, F.lit(0.0))), model.emission_of(c))).alias("score"),
     )
     local = each.where("word IS NULL").select(
         "doc", "same", F.lit(1).alias("copies"), "n_tokens", "n_known", "base", "score"
     )
     parts_of = ["copies", *names[4:]]
-    summed = local.unionByName(rare).groupBy("doc", "same").agg(*[F.sum(x).alias(x) for x in parts_of])
+    parts_all = local.unionByName(rare)
+    if not model.whole:
+        logs = F.lit(model.transition_log.ravel().tolist())
+        wide = len(model.class_counts)
+        new, old = (F.element_at(logs, (F.col(a) * wide + F.col(b) + 1).cast("int")) for a, b in ("lc rc".split(), "lr"))
+        parts_all = parts_all.unionByName(
+            _moved_pairs(rows, model, counts, ["doc", "same"]).select(
+                "doc",
+                "same",
+                *[F.lit(0).alias(x) for x in ("copies", "n_tokens", "n_known")],
+                F.lit(0.0).alias("base"),
+                (F.col("n") * (new - old)).alias("score"),
+            )
+        )
+    summed = parts_all.groupBy("doc", "same").agg(*[F.sum(x).alias(x) for x in parts_of])
     each_row = summed.withColumn("_", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     return each_row.select(
         F.col("doc").alias(id_col),

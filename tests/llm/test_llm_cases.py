@@ -398,6 +398,29 @@ def test_language_model_of_odd_rows(spark, held):
     assert all(r.n_known == 0 for r in language_model.score(docs, empty, none).collect())
 
 
+def test_words_outside_the_held_ones_have_the_same_classes(spark):
+    draw = np.random.default_rng(5)
+    words = np.array([f"w{i}" for i in range(60)])
+    texts = [" ".join(words[(draw.zipf(1.3, 40) - 1) % 60]) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate([*texts, texts[0], "", "new1 new2 w59"])), "doc_id long, text string")
+    found = []
+    for held in (5, 20, 1000):
+        model, counts = language_model.train(docs, clustered=10, held=held, classes=4)
+        rows = language_model.score(docs, model, counts).orderBy("doc_id").collect()
+        found.append([r.score for r in rows])
+        assert model.whole == (held == 1000)
+        assert model.transitions.sum() == model.n_tokens
+        assert [r.n_known == r.n_tokens for r in rows] == [True] * docs.count()
+    assert found[0] == pytest.approx(found[2]) and found[1] == pytest.approx(found[2])
+
+
+def test_exchange_goes_on_until_no_word_moves():
+    pairs = np.random.default_rng(2).poisson(0.3, (302, 302)).astype(float)
+    member = language_model.exchange(pairs, 300, 8)
+    assert (member == language_model.exchange(pairs, 300, 8, 500)).all()
+    assert (member != language_model.exchange(pairs, 300, 8, 12)).any()
+
+
 # SimHash
 
 
