@@ -13,6 +13,7 @@ from marram.llm import (
     language_model,
     mixing,
     quality,
+    ranking,
     secrets,
     simhash,
     spans,
@@ -154,6 +155,10 @@ def op10_secrets(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op13_ranking(spark: SparkSession, sf: str) -> DataFrame:
+    return ranking.top_documents(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_quality": op2_quality,
@@ -165,10 +170,12 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_mixing": op9_mixing,
     "op10_secrets": op10_secrets,
+    "op13_ranking": op13_ranking,
 }
 
 _LOWERED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = "regexp_extract_all(" + _LOWERED + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_TERMS = "regexp_extract_all(" + _LOWERED + r", '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
 _CONTROL = "replace(replace(replace({}, '\\', '\\\\'), '</turn>', '<\\/turn>'), '<turn', '<\\turn')"
 
 
@@ -254,4 +261,23 @@ ORACLE = {
            coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
     FROM docs LEFT JOIN g ON docs.doc_id = g.doc_id
     """,
+    "op13_ranking": f"""
+    WITH dw AS (SELECT doc_id, row_number() OVER () AS r, {_TERMS.format("coalesce(text, '')")} AS w FROM documents),
+    size AS (SELECT r, doc_id, len(w)::HUGEINT AS n FROM dw WHERE len(w) > 0),
+    total AS (SELECT count(*)::HUGEINT AS docs, sum(n)::HUGEINT AS terms FROM size),
+    asked AS (SELECT DISTINCT item_id, coalesce(text, '') AS text FROM benchmark),
+    iw AS (SELECT item_id, text, unnest({_TERMS.format("text")}) AS term FROM asked),
+    it AS (SELECT item_id, text, term, count(*) AS k FROM iw GROUP BY ALL),
+    tf AS (SELECT r, term, count(*)::HUGEINT AS tf FROM (SELECT r, unnest(w) AS term FROM dw)
+           WHERE term IN (SELECT term FROM it) GROUP BY ALL),
+    wt AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::HUGEINT AS w
+           FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), total),
+    imp AS (SELECT r, doc_id, term, (1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // terms)) AS v
+            FROM tf JOIN size USING (r), total),
+    sc AS (SELECT item_id, text, r, doc_id, sum(k * w * v)::BIGINT AS score
+           FROM it JOIN wt USING (term) JOIN imp USING (term) GROUP BY ALL),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank
+               FROM sc WHERE score > 0)
+    SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= {ranking.TOP}
+    """,
 }
