@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marram.llm import (
+    alignment,
     caps,
     chat,
     contamination,
@@ -23,6 +27,8 @@ from marram.sources.tables import read_table
 
 # Conversations are logged as deltas of at most so many characters.
 DELTA_CHARS = 200
+# Where the driver finds the vocabulary files of public tokenizers.
+TOKENIZERS = Path(os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers"))
 
 
 def op1_decontamination(spark: SparkSession, sf: str) -> DataFrame:
@@ -155,6 +161,11 @@ def op10_secrets(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op11_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    a, b = ((TOKENIZERS / name).read_bytes() for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.alignment(read_table(spark, sf, "documents"), a, b)
+
+
 def op13_ranking(spark: SparkSession, sf: str) -> DataFrame:
     return ranking.top_documents(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark"))
 
@@ -170,6 +181,7 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_mixing": op9_mixing,
     "op10_secrets": op10_secrets,
+    "op11_alignment": op11_alignment,
     "op13_ranking": op13_ranking,
 }
 
