@@ -16,6 +16,7 @@ from marram.llm import (
     language,
     language_model,
     mixing,
+    parsing,
     quality,
     ranking,
     secrets,
@@ -166,6 +167,10 @@ def op11_alignment(spark: SparkSession, sf: str) -> DataFrame:
     return alignment.alignment(read_table(spark, sf, "documents"), a, b)
 
 
+def op12_suffixes(spark: SparkSession, sf: str) -> DataFrame:
+    return parsing.without_repeats(read_table(spark, sf, "documents")).drop("removed")
+
+
 def op13_ranking(spark: SparkSession, sf: str) -> DataFrame:
     return ranking.top_documents(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark"))
 
@@ -182,6 +187,7 @@ QUERIES = {
     "op9_mixing": op9_mixing,
     "op10_secrets": op10_secrets,
     "op11_alignment": op11_alignment,
+    "op12_suffixes": op12_suffixes,
     "op13_ranking": op13_ranking,
 }
 
