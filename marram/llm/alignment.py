@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
-from collections import Counter
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,10 @@ AT_ONCE = 1 << 18
 REMEMBERED = 1_000_000
 # The most frequent id pairs, which every task holds; all others meet the counts in a join.
 HELD = 1 << 20
+# A group of more links is counted, not listed.
+LISTED = 256
+# Fixed: how byte-level tokenizers split a text before they merge.
+SPLIT = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _SAFE_CUT = re.compile(r"(?<=\w) (?=\w)")
 
 # Encodes texts without special tokens; bytes of each token by id.
@@ -35,17 +40,31 @@ def byte_alphabet() -> dict[str, int]:
 
 
 def byte_level(content: bytes) -> Encoder:
-    """Encoder of a byte-level tokenizer's JSON file."""
+    """Encoder of a byte-level tokenizer's JSON file.
+
+    Where its merges are numbered in their order behind the 256 bytes, as is
+    usual, the faster library encodes by the same merges; ids are the same.
+    """
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
+    alphabet, plan = byte_alphabet(), json.loads(content)
+    vocabulary, merges = plan["model"]["vocab"], plan["model"]["merges"]
+    special = {token["content"]: token["id"] for token in plan["added_tokens"]}
+    table = [b""] * (max([*vocabulary.values(), *special.values()]) + 1)
+    for token, at in {**special, **vocabulary}.items():
+        table[at] = bytes(alphabet[c] for c in token)
+    pairs = (m.split(" ") if isinstance(m, str) else m for m in merges)
+    in_order = all(vocabulary["".join(pair)] == 0x100 + at for at, pair in enumerate(pairs))
+    split = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+    if in_order and plan["normalizer"] is None and split.items() <= plan["pre_tokenizer"].items():
+        from tiktoken import Encoding
+
+        ranks = {table[at]: at for at in range(0x100 + len(merges))}
+        encode_one = Encoding("merges", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        return lambda texts: list(map(encode_one, texts)), table
     tokenizer = Tokenizer.from_str(content.decode())
     tokenizer.encode_special_tokens = True
-    alphabet = byte_alphabet()
-    vocabulary = tokenizer.get_vocab()
-    table = [b""] * (max(vocabulary.values()) + 1)
-    for token, at in vocabulary.items():
-        table[at] = bytes(alphabet[c] for c in token)
 
     def encode(texts: list[str]) -> list[list[int]]:
         return [found.ids for found in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -89,97 +108,123 @@ class Aligner:
 
     def __init__(self, a_bytes: list[bytes], b_bytes: list[bytes], remembered: int = REMEMBERED) -> None:
         self.a_bytes, self.b_bytes = a_bytes, b_bytes
-        self.a_sizes = np.array([len(t) for t in a_bytes], np.int64)
-        self.b_sizes = np.array([len(t) for t in b_bytes], np.int64)
+        self.a_sizes, self.b_sizes = (np.array([len(t) for t in table], np.int64) for table in (a_bytes, b_bytes))
+        names = [str(at) for table in (a_bytes, b_bytes) for at in range(len(table))]
+        self.inner, self.last_a, self.last_b = (np.array([x + mark for x in names], object) for mark in ",|;")
         self.remembered = remembered
         self.forget()
 
     def forget(self) -> None:
-        self.memo: dict[tuple, int] = {}
+        # By a window's ids, first those of a, then those of b behind them: its place in what follows.
+        self.memo: dict[bytes, int] = {}
         self.texts: list[str] = []
-        self.pairs: list[np.ndarray] = []
-        self.times: list[np.ndarray] = []
-        self.groups: list[int] = []
+        self.groups = np.zeros(0, np.int64)
+        # Where its links begin, and of all links id pair and times.
+        self.starts = np.zeros(1, np.int64)
+        self.codes, self.times = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.size = 0
 
-    def windows(self, whole: bytes, a: list[int], b: list[int]) -> list[int] | None:
-        """Windows of one piece in order, by their place in the memo; None if tokens do not give back ``whole``."""
-        if b"".join([self.a_bytes[x] for x in a]) != whole or b"".join([self.b_bytes[x] for x in b]) != whole:
-            return None
-        a_ends, b_ends = self.a_sizes[a].cumsum(), self.b_sizes[b].cumsum()
+    def gives_back(self, whole: bytes, a: list[int], b: list[int]) -> bool:
+        return all(
+            b"".join([table[x] for x in ids]) == whole for table, ids in ((self.a_bytes, a), (self.b_bytes, b))
+        )
+
+    def windows(self, wholes: list[bytes], a: list[list[int]], b: list[list[int]]) -> list[np.ndarray]:
+        """Windows of pieces that both sides give back, in order, by their place in the memo.
+
+        Every piece starts with a space, so pieces one behind the other are
+        cut at their ends like one piece.
+        """
+        if not wholes:
+            return []
+        whole = np.frombuffer(b"".join(wholes), np.uint8)
+        left, right = (np.fromiter(chain.from_iterable(ids), np.int32) for ids in (a, b))
+        a_ends, b_ends = self.a_sizes[left].cumsum(), self.b_sizes[right].cumsum()
         # Offsets where both sides end a token before one that starts with a space.
-        anchor = np.zeros(len(whole) + 1, np.int8)
-        anchor[:-1] = np.frombuffer(whole, np.uint8) == 0x20
-        anchor[-1] = 1
-        anchor[a_ends] += 2
-        shared = anchor[b_ends] == 3
-        anchor[b_ends] += 4
-        # A token without bytes ends where the one before it does: the last of them counts.
-        a_cuts = _last(a_ends, anchor[a_ends] == 7)
-        b_cuts = _last(b_ends, shared)
-        a, b, found = tuple(a), tuple(b), []
-        memo, i, j = self.memo, 0, 0
-        for k, m in zip(a_cuts, b_cuts, strict=True):
-            key = (a[i:k], b[j:m])
-            at = memo.get(key)
-            if at is None:
-                at = self._add(key)
-            found.append(at)
-            i, j = k, m
-        return found
-
-    def _add(self, key: tuple[tuple[int, ...], tuple[int, ...]]) -> int:
-        a, b = key
-        wide, code = len(self.b_bytes), Counter()
-        texts, i, j, a_end, b_end = [], 0, 0, 0, 0
-        first_a = first_b = 0
-        while i < len(a) or j < len(b):
-            if j == len(b) or (i < len(a) and a_end <= b_end):
-                a_end += len(self.a_bytes[a[i]])
-                i += 1
-            else:
-                b_end += len(self.b_bytes[b[j]])
-                j += 1
-            if a_end == b_end and i > first_a and j > first_b:
-                left, right = a[first_a:i], b[first_b:j]
-                texts.append(f"{','.join(map(str, left))}|{','.join(map(str, right))}")
-                if len(left) * len(right) < 16:
-                    code.update([x * wide + y for x in left for y in right])
-                else:
-                    for x, n in Counter(left).items():
-                        for y, m in Counter(right).items():
-                            code[x * wide + y] += n * m
-                first_a, first_b = i, j
-        self.size += len(a) + len(b)
-        self.memo[key] = at = len(self.texts)
-        self.texts.append(";".join(texts))
-        self.groups.append(len(texts))
-        self.pairs.append(np.fromiter(code.keys(), np.int64, len(code)))
-        self.times.append(np.fromiter(code.values(), np.int64, len(code)))
-        return at
-
-    def counted(self, windows: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        space = np.append(whole == 0x20, True)
+        a_cuts, b_cuts = _shared(a_ends, b_ends, space)
+        row = _interleaved(left, right + np.int32(len(self.a_bytes)), a_cuts, b_cuts)
+        ids, ends = row.tobytes(), ((a_cuts + b_cuts) * row.itemsize).tolist()
+        keys = [ids[start:end] for start, end in zip([0, *ends], ends, strict=False)]
+        new = [key for key in dict.fromkeys(keys) if key not in self.memo]
+        if new:
+            self._learn(new)
+        places = np.array(list(map(self.memo.__getitem__, keys)), np.int64)
+        behind = np.cumsum([len(each) for each in wholes])
+        return np.split(places, np.searchsorted(a_ends[a_cuts - 1], behind, "right")[:-1])
+
+    def _learn(self, keys: list[bytes]) -> None:
+        """Aligns windows one behind the other: both sides of each have the same bytes."""
+        ids = np.frombuffer(b"".join(keys), np.int32)
+        left, right = ids[ids < len(self.a_bytes)], ids[ids >= len(self.a_bytes)]
+        a, b = left.astype(np.int64), right.astype(np.int64) - len(self.a_bytes)
+        a_ends, b_ends = _shared(self.a_sizes[a].cumsum(), self.b_sizes[b].cumsum())
+        first, second = self.inner[left], self.inner[right]
+        first[a_ends - 1], second[b_ends - 1] = self.last_a[left[a_ends - 1]], self.last_b[right[b_ends - 1]]
+        texts = _interleaved(first, second, a_ends, b_ends).tolist()
+        ends = np.cumsum([len(key) // ids.itemsize for key in keys])
+        spans = list(zip([0, *ends.tolist()], ends.tolist(), strict=False))
+        n = len(self.texts)
+        self.memo.update(zip(keys, range(n, n + len(keys)), strict=True))
+        self.texts += ["".join(texts[start:end])[:-1] for start, end in spans]
+        # A window ends with a group.
+        behind = np.searchsorted(a_ends + b_ends, ends, "right")
+        self.groups = np.append(self.groups, np.diff(behind, prepend=0))
+        codes, times, group = self._links(a, b, a_ends, b_ends)
+        self.starts = np.append(self.starts, self.starts[-1] + np.searchsorted(group, behind))
+        self.codes, self.times = np.append(self.codes, codes), np.append(self.times, times)
+        self.size += len(ids)
+
+    def _links(self, a, b, a_ends, b_ends) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Id pairs of all links, times and group, by group; those of large groups counted first."""
+        wide = len(self.b_bytes)
+        a_first, b_first = np.append(0, a_ends[:-1]), np.append(0, b_ends[:-1])
+        n_a, n_b = a_ends - a_first, b_ends - b_first
+        listed = np.where(n_a * n_b <= LISTED, n_a * n_b, 0)
+        group = np.repeat(np.arange(len(listed)), listed)
+        nth = np.arange(len(group)) - np.repeat(listed.cumsum() - listed, listed)
+        x, y = a[a_first[group] + nth // n_b[group]], b[b_first[group] + nth % n_b[group]]
+        parts = [(x * wide + y, np.ones(len(group), np.int64), group)]
+        for at in (listed == 0).nonzero()[0].tolist():
+            x, n = np.unique(a[a_first[at] : a_ends[at]], return_counts=True)
+            y, m = np.unique(b[b_first[at] : b_ends[at]], return_counts=True)
+            codes = (x[:, None] * wide + y).ravel()
+            parts.append((codes, np.outer(n, m).ravel(), np.full(len(codes), at)))
+        if len(parts) == 1:
+            return parts[0]
+        codes, times, group = (np.concatenate(column) for column in zip(*parts, strict=True))
+        order = group.argsort(kind="stable")
+        return codes[order], times[order], group[order]
+
+    def counted(self, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Distinct id pairs of the windows, as ``a * (size of b) + b``, and how often each is linked."""
-        if not windows:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        place, n = np.unique(np.array(windows), return_counts=True)
-        place = place.tolist()
-        pairs = np.concatenate([self.pairs[at] for at in place])
-        times = np.concatenate([self.times[at] for at in place]) * np.repeat(n, [len(self.pairs[at]) for at in place])
-        return _summed(pairs, times)
+        sizes = self.starts[windows + 1] - self.starts[windows]
+        at = np.arange(sizes.sum()) + np.repeat(self.starts[windows] - sizes.cumsum() + sizes, sizes)
+        codes, times = self.codes[at], self.times[at]
+        order = codes.argsort(kind="stable")
+        codes = codes[order]
+        starts = np.append(True, codes[1:] != codes[:-1])[: len(codes)].nonzero()[0]
+        return codes[starts], np.add.reduceat(times[order], starts) if len(starts) else times
 
 
-def _last(ends: np.ndarray, chosen: np.ndarray) -> list[int]:
-    """Places behind the chosen ends, of equal ends the last."""
-    last = np.append(ends[1:] != ends[:-1], True)
-    return ((chosen & last).nonzero()[0] + 1).tolist()
+def _shared(a_ends: np.ndarray, b_ends: np.ndarray, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of tokens of either side before each offset where both end one.
+
+    Of tokens that end at one offset the last counts: a token may have no bytes.
+    """
+    mark = np.zeros(int(a_ends[-1]) + 1, np.int8)
+    mark[a_ends] += 1
+    mark[b_ends] += 2
+    both = mark == 3 if wanted is None else (mark == 3) & wanted
+    return tuple((both[ends] & np.append(ends[1:] != ends[:-1], True)).nonzero()[0] + 1 for ends in (a_ends, b_ends))
 
 
-def _summed(codes: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = codes.argsort(kind="stable")
-    codes, times = codes[order], times[order]
-    starts = np.append(True, codes[1:] != codes[:-1]).nonzero()[0]
-    return codes[starts], np.add.reduceat(times, starts)
+def _interleaved(a: np.ndarray, b: np.ndarray, a_ends: np.ndarray, b_ends: np.ndarray) -> np.ndarray:
+    """Both sides in one row: part by part, first that of ``a``, then that of ``b``."""
+    row = np.empty(len(a) + len(b), a.dtype)
+    row[np.arange(len(a)) + np.repeat(np.append(0, b_ends[:-1]), np.diff(a_ends, prepend=0))] = a
+    row[np.arange(len(b)) + np.repeat(a_ends, np.diff(b_ends, prepend=0))] = b
+    return row
 
 
 def align(
@@ -230,37 +275,34 @@ def align(
                 yield made(aligner, a_encode, b_encode, batch, waiting)
 
     def made(aligner, a_encode, b_encode, batch, waiting) -> pa.RecordBatch:
-        out, pairs, times, ends = [], [], [], [0]
-        encoded = _encoded(a_encode, b_encode, [part for *_, parts in waiting for part in parts], at_once)
+        if aligner.size > aligner.remembered:
+            aligner.forget()
+        parts = [part for *_, parts in waiting for part in parts]
+        found = []
+        for some, a, b in _encoded(a_encode, b_encode, parts, at_once):
+            wholes = [b" " + part.encode() for part in some]
+            good = [aligner.gives_back(*each) for each in zip(wholes, a, b, strict=True)]
+            windows = iter(aligner.windows(*([x for x, ok in zip(of, good, strict=True) if ok] for of in (wholes, a, b))))
+            found += [(len(x), len(y), next(windows) if ok else None) for x, y, ok in zip(a, b, good, strict=True)]
+        out, pairs, times, ends, found = [], [], [], [0], iter(found)
         for _, raw, parts in waiting:
-            if aligner.size > aligner.remembered:
-                aligner.forget()
-            whole, n_a, n_b, windows = True, 0, 0, []
-            for part in parts:
-                a, b = next(encoded)
-                found = aligner.windows(b" " + part.encode(), a, b) if whole else None
-                whole = whole and found is not None
-                windows += found or []
-                n_a, n_b = n_a + len(a), n_b + len(b)
-            # Bytes that are no text were replaced.
-            whole = whole and bool(parts) and (len(parts) > 1 or parts[0].encode() == raw)
-            if whole and len(parts) > 1:
-                whole = " ".join(parts).encode() == raw
-            if not whole:
-                n_a, n_b, windows = 0, 0, []
-            text = ";".join([aligner.texts[at] for at in windows])
+            mine = [next(found) for _ in parts]
+            # Bytes that are no text were replaced: they do not come back.
+            whole = bool(parts) and all(w is not None for *_, w in mine) and " ".join(parts).encode() == raw
+            n_a, n_b = (sum(each[side] for each in mine) if whole else 0 for side in (0, 1))
+            windows = np.concatenate([w for *_, w in mine]) if whole else np.zeros(0, np.int64)
+            text = ";".join([aligner.texts[at] for at in windows.tolist()])
             code, n = aligner.counted(windows)
-            n_groups = sum([aligner.groups[at] for at in windows])
             digest = hashlib.sha256(text.encode()).hexdigest() if whole else ""
-            out.append((n_a, n_b, n_groups, int(n.sum()), digest, text))
+            out.append((n_a, n_b, int(aligner.groups[windows].sum()), int(n.sum()), digest, text))
             pairs.append(code)
             times.append(n)
             ends.append(ends[-1] + len(code))
         place = pa.array([at for at, *_ in waiting], pa.int64())
         offsets = pa.array(ends, pa.int32())
         lists = [
-            pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(parts), kind))
-            for parts, kind in ((pairs, pair_type), (times, pa.int32()))
+            pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(each), kind))
+            for each, kind in ((pairs, pair_type), (times, pa.int32()))
         ]
         n_a, n_b, n_groups, n_links, digest, text = (list(column) for column in zip(*out, strict=True))
         columns = [batch["row"].take(place), batch["doc"].take(place)]
@@ -272,14 +314,16 @@ def align(
     return stored(rows.mapInArrow(run, schema), "aligned")
 
 
-def _encoded(a_encode, b_encode, parts: list[str], at_once: int) -> Iterator[tuple[list[int], list[int]]]:
-    """Ids of both sides of each part, encoded so many characters at once."""
+def _encoded(
+    a_encode, b_encode, parts: list[str], at_once: int
+) -> Iterator[tuple[list[str], list[list[int]], list[list[int]]]]:
+    """Parts with the ids of both sides, encoded so many characters at once."""
     start, size = 0, 0
     for at, part in enumerate(parts):
         size += len(part)
         if size > at_once or at == len(parts) - 1:
             some = parts[start : at + 1]
-            yield from zip(a_encode([" " + part for part in some]), b_encode(some), strict=True)
+            yield some, a_encode([" " + part for part in some]), b_encode(some)
             start, size = at + 1, 0
 
 

@@ -79,6 +79,30 @@ def test_alignment_against_brute_force(spark, encoders, held):
     assert [tuple(r)[1:] for r in found] == expected(encoders, texts)
 
 
+def test_both_byte_level_libraries_agree(encoders):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_str(A.decode())
+    tokenizer.encode_special_tokens = True
+    texts = [" " + (text or "") for text in ODD]
+    assert encoders[0][0](texts) == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    other = alignment.byte_level(A.replace(b'"normalizer":null', b'"normalizer":{"type":"NFC"}').replace(b'"normalizer": null', b'"normalizer": {"type":"NFC"}'))
+    assert other[1] == encoders[0][1]
+
+
+def test_large_groups_are_counted(encoders, monkeypatch):
+    listed = alignment.Aligner(encoders[0][1], encoders[1][1])
+    counted = alignment.Aligner(encoders[0][1], encoders[1][1])
+    for text in filter(None, ODD):
+        whole, a, b = (" " + text).encode(), encoders[0][0]([" " + text])[0], encoders[1][0]([text])[0]
+        if listed.gives_back(whole, a, b):
+            found = []
+            for limit, aligner in ((256, listed), (1, counted)):
+                monkeypatch.setattr(alignment, "LISTED", limit)
+                found.append(aligner.counted(aligner.windows([whole], [a], [b])[0]))
+            assert all((x == y).all() for x, y in zip(*found, strict=True))
+
+
 def test_memo_that_forgets_and_texts_cut_in_pieces(spark, encoders):
     draw = random.Random(3)
     words = ["the", "überall", "x9", "don't", "naïve", "--", "日本", "over-the-top", "\n", " "]
