@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
@@ -25,3 +27,21 @@ def build_session(master: str | None = None, **conf: str) -> SparkSession:
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def work_dir(spark: SparkSession) -> str:
+    """The folder for stored tables that the driver and all executors see.
+
+    That of ``spark.checkpoint.dir``; where it is unset, a folder in the
+    warehouse on a cluster and a temporary one in a local session.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder is None:
+        master = spark.sparkContext.master
+        if master.startswith("local") and not master.startswith("local-"):
+            folder = tempfile.mkdtemp(prefix="marram-")
+        else:
+            folder = spark.conf.get("spark.sql.warehouse.dir") + "/_work"
+        spark.sparkContext.setCheckpointDir(folder)
+        folder = spark.sparkContext.getCheckpointDir()
+    return folder

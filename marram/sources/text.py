@@ -16,6 +16,39 @@ def read_lines(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.text(list(paths)).withColumnRenamed("value", "line")
 
 
+def read_numbered_lines(spark: SparkSession, *paths: str) -> DataFrame:
+    """One row per line: ``file, line_no, line``, lines of a file counted from 1 without gaps.
+
+    Files may be split anywhere. A block's lines are numbered among
+    themselves, blocks are counted, and the sums of the counts of a file's
+    earlier blocks are added. Only a block's lines meet in one task, which the
+    reader's settings bound, and one row per block takes part in the sums.
+    Empty lines count, an empty file has none.
+    """
+    placed = spark.read.text(list(paths)).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"),
+        F.col("value").alias("line"),
+    )
+    # A task reads a block in order, so numbers grow along it.
+    in_block = placed.withColumn("n", F.row_number().over(Window.partitionBy("file", "block").orderBy("at")))
+    counts = placed.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n_lines"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("file", "block", F.coalesce(F.sum("n_lines").over(before), F.lit(0)).alias("offset"))
+    return in_block.join(offsets, ["file", "block"]).select(
+        "file", (F.col("offset") + F.col("n")).alias("line_no"), "line"
+    )
+
+
+def numbered_table_lines(numbered: DataFrame) -> DataFrame:
+    """Numbered lines of files as those of documents, ``doc_id, line_id, line``: the file is the document.
+
+    So line search, longest words and the index keep the order of the files.
+    """
+    return numbered.select(F.col("file").alias("doc_id"), F.col("line_no").alias("line_id"), "line")
+
+
 def read_word_list(spark: SparkSession, path: str) -> DataFrame:
     """One row per distinct line: ``word``."""
     return read_lines(spark, path).select(F.col("line").alias("word")).distinct()

@@ -285,9 +285,9 @@ def test_scans_read_only_what_is_asked(spark):
     plan = plan_of(articles.article_totals(tables.edits(spark, SF)))
     assert "ReadSchema: struct<l_partkey:bigint>" in plan
     lookup = articles.contributor_year_lookup(
-        articles.keyed_by_year(tables.revisions(spark, SF, "A")), 1998, "7"
+        articles.keyed_by_year(tables.revisions(spark, SF, True)), 1998, "7"
     )
-    assert "EqualTo(l_returnflag,A)" in plan_of(lookup)
+    assert "EqualTo(l_returnflag,R)" in plan_of(lookup)
 
 
 def test_flat_parse_extracts_once(spark, tmp_path):
