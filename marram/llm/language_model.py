@@ -10,6 +10,7 @@ from itertools import count
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,8 +19,11 @@ from marram.llm.common import stored
 # The most frequent words, clustered by exchange; so many at most.
 CLUSTERED = 1_000
 # Words whose class and count every task holds, so many at most; all other
-# words are looked up by a join.
-HELD = 200_000
+# words are looked up by a join. The most frequent are held as they are, the
+# others by 64 bits of hash.
+HELD, NAMED = 1 << 22, 100_000
+# Entries that a task counts before it passes them on.
+COUNTED = 200_000
 # A word seen less often is never held: such words show how new ones behave.
 HELD_FROM = 3
 CLASSES = 32
@@ -27,7 +31,9 @@ CLASSES = 32
 PRIOR = 5.0
 # The end of a text as a word: no token is empty.
 END = b""
-_PAIRS_AT_ONCE = 4_000_000
+_PAIRS_AT_ONCE = 2_000_000
+# Documents whose rows are made in one go.
+_ROWS_AT_ONCE = 128
 
 
 def tokens(text: bytes | None) -> list[bytes]:
@@ -35,6 +41,18 @@ def tokens(text: bytes | None) -> list[bytes]:
     return (text or b"").lower().split()
 
 
+def ids_of(words: list[bytes], place: dict[bytes, int], further: np.ndarray) -> np.ndarray:
+    """Ids of words: places in ``place``, then those of their hashes in the sorted ``further``; -1 for others."""
+    find = place.get
+    ids = np.array([find(word, -1) for word in words], np.int64)
+    if len(further):
+        missed = (ids < 0).nonzero()[0]
+        hashes = np.fromiter((xxhash.xxh3_64_intdigest(words[at]) for at in missed.tolist()), np.uint64, len(missed))
+        at = np.minimum(np.searchsorted(further, hashes), len(further) - 1)
+        ids[missed] = np.where(further[at] == hashes, len(place) + at, -1)
+    return ids
+
+
 def word_counts(texts: DataFrame) -> DataFrame:
     """``word`` (bytes) and count ``c`` over ``text``, ends included, stored."""
 
@@ -44,7 +62,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
             for text in batch["text"]:
                 seen.update(tokens(text))
                 seen[END] += 1
-                if len(seen) > HELD:
+                if len(seen) > COUNTED:
                     yield frame(seen)
                     seen.clear()
         yield frame(seen)
@@ -130,6 +148,7 @@ class Model:
     """What tasks hold: classes and counts of the most frequent words, and the class bigrams."""
 
     place: dict[bytes, int]
+    further: np.ndarray
     counts: np.ndarray
     member: np.ndarray
     transitions: np.ndarray
@@ -218,9 +237,15 @@ def train(
     top = _most_frequent(counts.where(~is_end), held)
     if top.num_rows < min(clustered, sums.classed_words):
         top = counts.where(classed).orderBy(F.desc("c"), "word").limit(clustered).toArrow()
-    words, c = top["word"].to_pylist(), top["c"].to_numpy().astype(np.int64)
-    place = {bytes(word): at for at, word in enumerate(words)}
-    movable = min(clustered, len(words))
+    c = top["c"].to_numpy().astype(np.int64)
+    n_words, movable = len(c), min(clustered, len(c))
+    named = max(NAMED, movable)
+    place = {word: at for at, word in enumerate(top["word"].slice(0, named).to_pylist())}
+    hashes = (xxhash.xxh3_64_intdigest(word.as_buffer()) for word in top["word"].slice(named))
+    further = np.fromiter(hashes, np.uint64, max(0, n_words - named))
+    order = further.argsort()
+    further, c[named:] = further[order], c[named:][order]
+    del top
     rest, end = movable, movable + 1
     known = spark.sparkContext.broadcast(dict(list(place.items())[:movable]))
 
@@ -242,40 +267,40 @@ def train(
     matrix = np.zeros((end + 1) ** 2)
     matrix[table["code"].to_numpy()] = table["n"].to_numpy()
     first = exchange(matrix.reshape(end + 1, end + 1), movable, classes)
-    member = np.full(len(words), classes, np.int64)
+    member = np.full(n_words, classes, np.int16)
     member[:movable] = first[:movable]
-    if len(words) > movable:
-        member[movable:] = _fitted(texts, place, member, matrix, first, movable, classes)
+    if n_words > movable:
+        member[movable:] = _fitted(texts, place, further, member, matrix, first, movable, classes)
     rest_tokens = sums.n - sums.ends - sums.classed_tokens
     rest_words = sums.v - sums.classed_words - bool(sums.ends)
     class_counts = np.append(np.bincount(member, c, classes)[:classes], [rest_tokens, sums.ends])
-    whole = len(words) == sums.classed_words
+    whole = n_words == sums.classed_words
     none = F.lit(None).cast("long")
     if whole:
         counts = counts.withColumn("class", none)
     else:
-        others = _fitted_others(texts, place, matrix, first, movable, classes)
+        others = _fitted_others(texts, place, further, matrix, first, movable, classes)
         counts = stored(counts.join(others, "word", "left"), "word_classes")
         for at, n in counts.where("class IS NOT NULL").groupBy("class").agg(F.sum("c")).collect():
             class_counts[at] += n
     model = Model(
-        place, c, member, np.zeros((classes + 2,) * 2), class_counts, sums.n, sums.v, rest_tokens, rest_words, whole
+        place, further, c, member, np.zeros((classes + 2,) * 2), class_counts, sums.n, sums.v, rest_tokens, rest_words, whole
     )
     model.transitions = _transitions(texts, model, counts)
     return model, counts
 
 
 def _class_counter(
-    texts: DataFrame, place: dict[bytes, int], member: np.ndarray, rest: int, end: int, code
+    texts: DataFrame, place: dict[bytes, int], further: np.ndarray, member: np.ndarray, rest: int, end: int, code
 ) -> DataFrame:
     """Counts of ``code(words, classes)`` over all texts, words by place (-1: none), ends around."""
-    held = texts.sparkSession.sparkContext.broadcast((place, np.append(member, rest)))
+    held = texts.sparkSession.sparkContext.broadcast((place, further, np.append(member, np.int16(rest))))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        (find, of), codes, n = (held.value[0].get, held.value[1]), [], 0
+        (place, further, of), codes, n = held.value, [], 0
         for batch in batches:
             for text in batch["text"]:
-                ids = np.array([find(t, -1) for t in tokens(text)], np.int64)
+                ids = ids_of(tokens(text), place, further)
                 found = code(ids, np.concatenate([[end], of[ids], [end]]))
                 codes.append(found)
                 n += len(found)
@@ -288,7 +313,7 @@ def _class_counter(
     return texts.mapInPandas(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
 
 
-def _fitted(texts, place, member, matrix, first, movable: int, classes: int) -> np.ndarray:
+def _fitted(texts, place, further, member, matrix, first, movable: int, classes: int) -> np.ndarray:
     """Classes of the words behind the clustered ones, by the classes before and after them.
 
     A word goes to the class under which its neighbours are likeliest: the sum
@@ -302,33 +327,33 @@ def _fitted(texts, place, member, matrix, first, movable: int, classes: int) ->
         word = (ids[at] - movable) * (2 * wide)
         return np.concatenate([word + around[at], word + wide + around[at + 2]])
 
-    counted = _class_counter(texts, place, member, classes, classes + 1, sides)
+    counted = _class_counter(texts, place, further, member, classes, classes + 1, sides)
     sided = counted.select(
         F.expr(f"code div {2 * wide}").alias("word"), (F.col("code") % (2 * wide)).alias("side"), "n"
     )
     chosen = _chosen(sided, "long", matrix, first, movable, classes).toArrow()
-    out = np.full(len(place) - movable, 0, np.int64)
+    out = np.full(len(member) - movable, 0, np.int16)
     out[chosen["word"].to_numpy()] = chosen["class"].to_numpy()
     return out
 
 
-def _fitted_others(texts, place, matrix, first, movable: int, classes: int) -> DataFrame:
+def _fitted_others(texts, place, further, matrix, first, movable: int, classes: int) -> DataFrame:
     """``word`` and ``class`` of the words with a class that tasks do not hold, fitted alike."""
     wide = classes + 2
-    around = np.append(first[:movable], np.full(len(place) - movable + 1, classes))
-    held = texts.sparkSession.sparkContext.broadcast((place, around))
+    around = np.append(first[:movable], np.full(len(place) + len(further) - movable + 1, classes)).astype(np.int16)
+    held = texts.sparkSession.sparkContext.broadcast((place, further, around))
 
     def sides(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        (find, of), seen = (held.value[0].get, held.value[1]), Counter()
+        (place, further, of), seen = held.value, Counter()
         for batch in batches:
             for text in batch["text"]:
                 found = tokens(text)
-                ids = np.array([find(t, -1) for t in found], np.int64)
+                ids = ids_of(found, place, further)
                 path = np.concatenate([[classes + 1], of[ids], [classes + 1]])
                 for i in (ids < 0).nonzero()[0].tolist():
                     seen[found[i], int(path[i])] += 1
                     seen[found[i], wide + int(path[i + 2])] += 1
-                if len(seen) > HELD:
+                if len(seen) > COUNTED:
                     yield _frame(seen, ["word", "side"])
                     seen.clear()
         yield _frame(seen, ["word", "side"])
@@ -374,9 +399,9 @@ def _transitions(texts: DataFrame, model: Model, counts: DataFrame) -> np.ndarra
     wide = len(model.class_counts)
 
     def bigrams(_: np.ndarray, around: np.ndarray) -> np.ndarray:
-        return around[:-1] * wide + around[1:]
+        return around[:-1].astype(np.int64) * wide + around[1:]
 
-    found = _class_counter(texts, model.place, model.member, wide - 2, wide - 1, bigrams).toArrow()
+    found = _class_counter(texts, model.place, model.further, model.member, wide - 2, wide - 1, bigrams).toArrow()
     table = np.zeros(wide * wide)
     table[found["code"].to_numpy()] = found["n"].to_numpy()
     table = table.reshape(wide, wide)
@@ -397,33 +422,40 @@ def _moved_pairs(rows: DataFrame, model: Model, counts: DataFrame, keys: list[st
     of three kinds are joined apart, so that no join has a null key.
     """
     wide, rest = len(model.class_counts), model.rest
-    held = rows.sparkSession.sparkContext.broadcast((model.place, np.append(model.member, rest)))
+    held = rows.sparkSession.sparkContext.broadcast((model.place, model.further, np.append(model.member, np.int16(rest))))
     kinds = {name: rows.schema[name].dataType.simpleString() for name in keys}
     types = {"l": pa.int64(), "r": pa.int64(), "lw": pa.binary(), "rw": pa.binary(), "n": pa.int64()}
     names = list(types)[:-1]
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find, of = held.value[0].get, held.value[1]
+        place, further, of = held.value
+        seen: Counter[tuple] = Counter()
         for batch in batches:
-            at, parts, seen = [], [], Counter()
-            for row, text in enumerate(batch["text"].to_pylist()):
-                found = tokens(text)
-                ids = np.array([0, *(find(t, -1) for t in found), 0], np.int64)
-                path = np.concatenate([[wide - 1], of[ids[1:-1]], [wide - 1]]).tolist()
-                for i in ((ids[:-1] < 0) | (ids[1:] < 0)).nonzero()[0].tolist():
-                    left = found[i - 1] if ids[i] < 0 else None
-                    right = found[i] if ids[i + 1] < 0 else None
-                    seen[path[i], path[i + 1], left, right] += 1
-                if keys or len(seen) > HELD:
-                    at += [row] * len(seen)
-                    parts.append(_frame(seen, names))
-                    seen.clear()
-            at += [0] * len(seen)
-            out = pd.concat([*parts, _frame(seen, names)], ignore_index=True)
-            place = pa.array(at, pa.int64())
-            columns = [batch[name].take(place) for name in keys]
-            columns += [pa.array(out[name].tolist(), kind) for name, kind in types.items()]
-            yield pa.RecordBatch.from_arrays(columns, [*keys, *types])
+            for start in range(0, batch.num_rows, _ROWS_AT_ONCE):
+                part, at, out = batch.slice(start, _ROWS_AT_ONCE), [], []
+                for row, text in enumerate(part["text"].to_pylist()):
+                    found = tokens(text)
+                    ids = np.concatenate([[0], ids_of(found, place, further), [0]])
+                    path = np.concatenate([[wide - 1], of[ids[1:-1]], [wide - 1]]).tolist()
+                    for i in ((ids[:-1] < 0) | (ids[1:] < 0)).nonzero()[0].tolist():
+                        left = found[i - 1] if ids[i] < 0 else None
+                        right = found[i] if ids[i + 1] < 0 else None
+                        seen[path[i], path[i + 1], left, right] += 1
+                    if keys or len(seen) > COUNTED:
+                        at += [row] * len(seen)
+                        out += [(*pair, n) for pair, n in seen.items()]
+                        seen.clear()
+                if out:
+                    yield made(part, at, out)
+        if seen:
+            yield made(part, [0] * len(seen), [(*pair, n) for pair, n in seen.items()])
+
+    def made(part: pa.RecordBatch, at: list[int], out: list[tuple]) -> pa.RecordBatch:
+        place = pa.array(at, pa.int64())
+        columns = [part[name].take(place) for name in keys]
+        values = zip(*out, strict=True)
+        columns += [pa.array(column, kind) for column, kind in zip(values, types.values(), strict=True)]
+        return pa.RecordBatch.from_arrays(columns, [*keys, *types])
 
     fields = kinds | {"l": "long", "r": "long", "lw": "binary", "rw": "binary", "n": "long"}
     schema = ", ".join(f"{name} {kind}" for name, kind in fields.items())
@@ -470,36 +502,41 @@ def score(
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(**held.value)
-        find, rest, end = model.place.get, model.rest, model.rest + 1
+        rest, end = model.rest, model.rest + 1
         base_log = np.append(model.base_log, 0.0)
         emission_log = np.append(model.emission_log, 0.0)
-        of, transition_log = np.append(model.member, rest), model.transition_log
+        of, transition_log = np.append(model.member, np.int16(rest)), model.transition_log
         end_count = model.class_counts[end]
         end_base = np.log10((end_count + 0.5) / (model.n_tokens + 0.5 * (model.n_words + 1)))
-        for batch in batches:
-            at, word, n, length, known, base, value = [], [], [], [], [], [], []
-            for row, text in enumerate(batch["text"].to_pylist()):
-                found = tokens(text)
-                ids = np.array([find(t, -1) for t in found], np.int64)
-                path = np.concatenate([[end], of[ids], [end]])
-                rare = Counter(found[i] for i in (ids < 0).nonzero()[0])
-                at += [row] * (1 + len(rare))
-                word += [None, *rare.keys()]
-                n += [0, *rare.values()]
-                blank = [0] * len(rare)
-                length += [len(found) + 1, *blank]
-                known += [int((ids >= 0).sum()) + bool(end_count), *blank]
-                base += [base_log[ids].sum() + end_base, *blank]
-                value += [emission_log[ids].sum() + transition_log[path[:-1], path[1:]].sum(), *blank]
-            place = pa.array(at, pa.int64())
-            columns = [batch["doc"].take(place), batch["same"].take(place), pa.array(word, pa.binary())]
-            columns += [pa.array(x, pa.int64()) for x in (n, length, known)]
-            columns += [pa.array(x, pa.float64()) for x in (base, value)]
-            yield pa.RecordBatch.from_arrays(columns, names)
+        for whole in batches:
+            for start in range(0, whole.num_rows, _ROWS_AT_ONCE):
+                batch = whole.slice(start, _ROWS_AT_ONCE)
+                at, word, n, length, known, base, value = [], [], [], [], [], [], []
+                for row, text in enumerate(batch["text"].to_pylist()):
+                    found = tokens(text)
+                    ids = ids_of(found, model.place, model.further)
+                    path = np.concatenate([[end], of[ids], [end]])
+                    rare = Counter([found[i] for i in (ids < 0).nonzero()[0].tolist()])
+                    at += [row] * (1 + len(rare))
+                    word += [None, *rare.keys()]
+                    n += [0, *rare.values()]
+                    blank = [0] * len(rare)
+                    length += [len(found) + 1, *blank]
+                    known += [int((ids >= 0).sum()) + bool(end_count), *blank]
+                    base += [base_log[ids].sum() + end_base, *blank]
+                    value += [emission_log[ids].sum() + transition_log[path[:-1], path[1:]].sum(), *blank]
+                place = pa.array(at, pa.int64())
+                columns = [batch["doc"].take(place), batch["same"].take(place), pa.array(word, pa.binary())]
+                columns += [pa.array(x, pa.int64()) for x in (n, length, known)]
+                columns += [pa.array(x, pa.float64()) for x in (base, value)]
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     each = stored(rows.mapInArrow(parts, schema), "scored")
     c = F.coalesce("c", F.lit(0))
-    within = F.element_at(F.lit([float(n) for n in model.class_counts]), (F.col("class") + 1).cast("int"))
+    # Asked with a null for a place, the lookup would give the last class.
+    place = F.coalesce("class", F.lit(0)) + 1
+    within = F.element_at(F.lit([float(n) for n in model.class_counts]), place.cast("int"))
+    emission = F.when(F.col("class").isNotNull(), F.log10(c / within)).otherwise(model.emission_of(c))
     rare = each.where("word IS NOT NULL").join(counts, "word", "left").select(
         "doc",
         "same",
@@ -507,7 +544,7 @@ def score(
         "n_tokens",
         F.when(c > 0, F.col("n")).otherwise(0).alias("n_known"),
         (F.col("n") * model.base_of(c)).alias("base"),
-        (F.col("n") * F.coalesce(F.log10(c / F.nullif(within, F.lit(0.0))), model.emission_of(c))).alias("score"),
+        (F.col("n") * emission).alias("score"),
     )
     local = each.where("word IS NULL").select(
         "doc", "same", F.lit(1).alias("copies"), "n_tokens", "n_known", "base", "score"
