@@ -15,7 +15,13 @@ from marram.plans.tables import (
     web_pages,
     with_tables,
 )
-from marram.sources.dumps import page_totals, parse_articles, parse_revisions
+from marram.sources.dumps import (
+    page_totals,
+    page_trees,
+    parse_articles,
+    parse_revisions,
+    revisions_of_trees,
+)
 
 
 def _sides(spark, sf):
@@ -119,6 +125,7 @@ QUERIES = {
     "contributor_partitions": _partitions_per_contributor,
     # Pages of a dump
     "article_parse": lambda s, d: parse_revisions(page_records(s, d)),
+    "article_parse_tree": lambda s, d: revisions_of_trees(page_trees(page_records(s, d))),
     "article_parse_nested": lambda s, d: articles.flatten(_parsed(s, d)),
     "article_accessors": _accessors,
     "article_contributor_pairs": _contributor_pairs,
@@ -149,6 +156,11 @@ QUERIES = {
 }
 
 ORACLE = {
+    "article_parse_tree": with_tables(
+        "articles",
+        then="""SELECT CASE WHEN o_orderkey % 11 = 0 THEN -1 ELSE o_orderkey END AS aid,
+  title, CAST(ord AS INTEGER) AS ord, rid, contributor, ts FROM flat""",
+    ),
     "article_totals": with_tables(
         "edits", then="SELECT count(DISTINCT aid) AS n_articles, count(*) AS n_revisions FROM edits"
     ),

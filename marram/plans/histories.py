@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from marram.operators import articles, index, ordered, placed, words
+from marram.operators import articles, distinct, index, ordered, placed, words
 from marram.plans.tables import documents, lines, revisions, with_tables
 from marram.session import work_dir
 from marram.sources.text import numbered_table_lines, read_numbered_lines
@@ -47,7 +47,59 @@ _REVERTED_TWICE = ordered.Automaton(
 )
 
 
+def _year_spans(years):
+    """All spans of the years of a table: ``first, last``, a row for each two of them."""
+    one = years.select("year").distinct()
+    first, last = one.select(F.col("year").alias("first")), one.select(F.col("year").alias("last"))
+    return F.broadcast(first.join(last, F.col("first") <= F.col("last")))
+
+
+def _in_spans(by_year):
+    return by_year.join(_year_spans(by_year), F.col("year").between(F.col("first"), F.col("last")))
+
+
+def _span_contributors(spark, sf):
+    """Distinct contributors of every span of years, from the years' bitmaps."""
+    rows = revisions(spark, sf)
+    bitmaps = distinct.year_bitmaps(rows, distinct.contributor_numbers(rows))
+    merged = distinct.merged_bitmaps(_in_spans(bitmaps), "first", "last")
+    return distinct.counted_bitmaps(merged, "first", "last")
+
+
+def _common_by_bitmaps(spark, sf):
+    left, right = revisions(spark, sf, returned=False), revisions(spark, sf, returned=True)
+    numbers = distinct.contributor_numbers(left, right)
+    sides = (distinct.merged_bitmaps(distinct.year_bitmaps(side, numbers)) for side in (left, right))
+    return distinct.counted_bitmaps(distinct.common_bitmaps(*sides))
+
+
+def _estimates(spark, sf):
+    """Of every span of years whether the years' sketches, merged, give its contributors within the error."""
+    exact = _span_contributors(spark, sf)
+    sketches = _in_spans(distinct.year_sketches(revisions(spark, sf)))
+    told = distinct.merged_sketches(sketches, "first", "last").withColumn("estimate", distinct.estimate())
+    off = F.abs(F.col("estimate") - F.col("n_contributors"))
+    return exact.join(told, ["first", "last"]).select(
+        "first", "last", "n_contributors", (off <= F.col("n_contributors") * distinct.error()).alias("within_error")
+    )
+
+
+def _common_estimate(spark, sf):
+    """Whether sketches of both sides give the contributors in both within the error of the larger side."""
+    sides = [revisions(spark, sf, returned=kind) for kind in (False, True)]
+    sketches = [distinct.merged_sketches(distinct.year_sketches(side)) for side in sides]
+    told = distinct.common_estimate(*sketches).withColumnRenamed("n_contributors", "told")
+    larger = sketches[0].unionAll(sketches[1]).agg(F.max(distinct.estimate()).alias("larger"))
+    both = _common_by_bitmaps(spark, sf).join(told, F.lit(True)).join(larger, F.lit(True))
+    off = F.abs(F.col("told") - F.col("n_contributors"))
+    return both.select("n_contributors", (off <= F.col("larger") * distinct.error()).alias("within_error"))
+
+
 QUERIES = {
+    "span_contributors": _span_contributors,
+    "common_contributors": _common_by_bitmaps,
+    "span_contributor_estimates": _estimates,
+    "common_contributor_estimate": _common_estimate,
     "placed_lookup": lambda s, d: placed.lookup(_placed_sides(s, d)[0], "7"),
     "placed_cogroup_sizes": lambda s, d: placed.cogroup_sizes(*_placed_sides(s, d)),
     "placed_activity": _placed_activity,
@@ -100,7 +152,17 @@ def _reverted(side: str) -> str:
     GROUP BY contributor HAVING min(n) FILTER (second) < max(n) FILTER (NOT revert)"""
 
 
+_SPANS = """SELECT f.year AS first, l.year AS last, (SELECT count(DISTINCT contributor) FROM revisions
+    WHERE year(ts) BETWEEN f.year AND l.year) AS n_contributors
+  FROM (SELECT DISTINCT CAST(year(ts) AS INTEGER) AS year FROM revisions) f
+  JOIN (SELECT DISTINCT CAST(year(ts) AS INTEGER) AS year FROM revisions) l ON f.year <= l.year"""
+_COMMON = "SELECT count(*) AS n_contributors FROM (SELECT contributor FROM a INTERSECT SELECT contributor FROM r)"
+
 ORACLE = {
+    "span_contributors": with_tables("revisions", then=_SPANS),
+    "common_contributors": with_tables("sides", then=_COMMON),
+    "span_contributor_estimates": with_tables("revisions", then=f"SELECT *, true AS within_error FROM ({_SPANS})"),
+    "common_contributor_estimate": with_tables("sides", then=f"SELECT *, true AS within_error FROM ({_COMMON})"),
     "placed_lookup": with_tables("sides", then="SELECT aid, rid, contributor, ts FROM a WHERE contributor = '7'"),
     "placed_cogroup_sizes": with_tables(
         "sides",

@@ -87,3 +87,65 @@ def read_articles(spark: SparkSession, *paths: str, on_bad_ts: str = "fail") ->
 def read_revisions(spark: SparkSession, *paths: str, on_bad_ts: str = "fail") -> DataFrame:
     """Flat revisions of a dump."""
     return parse_revisions(read_page_records(spark, *paths), on_bad_ts=on_bad_ts)
+
+
+# Markup as a tree -----------------------------------------------------------
+
+_PAGE_TREE = (
+    "title string, id string, revision array<struct<id string, timestamp string, "
+    "contributor struct<username string, ip string>>>, corrupt string"
+)
+_XML_OPTIONS = {"rowTag": "page", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "corrupt"}
+
+
+def read_page_trees(spark: SparkSession, *paths: str) -> DataFrame:
+    """Pages of a dump, read as XML: ``title, id, revision, corrupt``.
+
+    A page that is no well-formed XML has its text in ``corrupt`` and leaves
+    the others as they are. Entities and character data sections are resolved,
+    and white space around a text goes. Pages are cut by their end tags, so
+    that files split between them; Spark's reader of XML files would take each
+    file in one task, and fail with its first malformed page.
+    """
+    records = read_page_records(spark, *paths)
+    # What stands before a page, such as the dump's head, is none of it.
+    cut = records.select(F.regexp_extract("page", r"(?s)<page[\s>].*", 0).alias("page"))
+    return page_trees(cut.where(F.col("page") != ""))
+
+
+def page_trees(pages: DataFrame, page_column: str = "page") -> DataFrame:
+    """The same from a column of page texts; other columns are kept in front."""
+    others = [name for name in pages.columns if name != page_column]
+    tree = F.from_xml(F.col(page_column), _PAGE_TREE, _XML_OPTIONS)
+    return pages.select(*others, tree.alias("tree")).select(*others, "tree.*")
+
+
+def revisions_of_trees(trees: DataFrame, on_bad_ts: str = "fail") -> DataFrame:
+    """Flat revisions ``aid, title, ord, rid, contributor, ts`` of pages that could be read.
+
+    They are those of ``parse_revisions`` where elements stand where they
+    belong, but for what patterns cannot tell: entities are resolved; an
+    element must have the very name; and a page without an id of its own has
+    the default, not the id of its first revision. Of elements that should
+    stand once, the last counts.
+    """
+    read = trees.where(F.col("corrupt").isNull()).select(
+        markup.id_or_default(F.coalesce("id", F.lit(""))).alias("aid"),
+        F.coalesce("title", F.lit("")).alias("title"),
+        F.posexplode_outer("revision").alias("ord", "r"),
+    )
+    user, address = F.col("r.contributor.username"), F.col("r.contributor.ip")
+    contributor = F.when(F.coalesce(user, F.lit("")) != "", user).otherwise(F.coalesce(address, F.lit("")))
+    return read.where(F.col("ord").isNotNull()).select(
+        "aid",
+        "title",
+        "ord",
+        markup.id_or_default(F.coalesce("r.id", F.lit(""))).alias("rid"),
+        contributor.alias("contributor"),
+        markup.utc_instant(F.coalesce("r.timestamp", F.lit("")), on_bad_ts).alias("ts"),
+    )
+
+
+def corrupt_pages(trees: DataFrame) -> DataFrame:
+    """``corrupt``: the texts of pages that could not be read."""
+    return trees.where(F.col("corrupt").isNotNull()).select("corrupt")
