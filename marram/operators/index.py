@@ -107,6 +107,12 @@ def word_totals(rows: DataFrame) -> DataFrame:
     return rows.groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def token_totals(lines: DataFrame, stop_words: Sequence[str] = ()) -> DataFrame:
+    """``word, n`` straight from lines: what ``word_totals`` gives, without sorting lines into postings."""
+    words = lines.select(F.explode(text.index_tokens("line", stop_words)).alias("word"))
+    return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+
+
 def distinct_words(rows: DataFrame) -> DataFrame:
     return rows.select("word").distinct()
 

@@ -181,41 +181,42 @@ def _weighted(terms: Iterable[tuple[Column, int]]) -> Column:
 def _filtered(
     tiled: DataFrame, value: str, kernels: dict[str, Kernel], axes: str = "xy"
 ) -> DataFrame:
-    """Adds one column of weighted sums per kernel to a tiled table.
+    """Adds one column of weighted sums of ``value`` per kernel to a tiled table."""
+    return _all_filtered(tiled, {name: (value, kernel) for name, kernel in kernels.items()}, axes)
 
-    ``axes`` is the order of the two passes. Rows of the kernels that are
-    multiples of one another are summed once.
+
+def _all_filtered(
+    tiled: DataFrame, kernels: dict[str, tuple[str, Kernel]], axes: str = "xy"
+) -> DataFrame:
+    """Adds one column of weighted sums per name: of which column, and by which kernel.
+
+    ``axes`` is the order of the two passes, each a sort for all columns
+    together. Rows of the kernels that are multiples of one another are summed
+    once.
     """
     kept = tiled.columns
-    oriented = {
-        name: kernel if axes == "xy" else _transposed(kernel) for name, kernel in kernels.items()
-    }
-    profiles: dict[tuple[int, ...], str] = {}
+    profiles: dict[tuple[str, tuple[int, ...]], str] = {}
     plan: dict[str, list[tuple[int, str, int]]] = {}
-    for name, kernel in oriented.items():
+    for name, (value, kernel) in kernels.items():
         plan[name] = []
-        for place, row in enumerate(kernel):
+        for place, row in enumerate(kernel if axes == "xy" else _transposed(kernel)):
             profile, factor = _profile(row)
             if factor:
-                column = profiles.setdefault(profile, f"{value}_row{len(profiles)}")
+                column = profiles.setdefault((value, profile), f"{value}_row{len(profiles)}")
                 plan[name].append((place - _reach(kernel), column, factor))
 
-    first_steps = {
-        place - len(profile) // 2
-        for profile in profiles
-        for place, weight in enumerate(profile)
-        if weight
-    }
-    stepped = _with_steps(tiled, axes[0], {value: first_steps})
+    def terms_of(profile: tuple[int, ...]) -> list[tuple[int, int]]:
+        return [(place - len(profile) // 2, weight) for place, weight in enumerate(profile) if weight]
+
+    first_steps: dict[str, set[int]] = {}
+    for value, profile in profiles:
+        first_steps.setdefault(value, set()).update(step for step, _ in terms_of(profile))
+    stepped = _with_steps(tiled, axes[0], first_steps)
     sums = stepped.select(
         *kept,
         *[
-            _weighted(
-                (_step(value, place - len(profile) // 2), weight)
-                for place, weight in enumerate(profile)
-                if weight
-            ).alias(column)
-            for profile, column in profiles.items()
+            _weighted((_step(value, step), weight) for step, weight in terms_of(profile)).alias(column)
+            for (value, profile), column in profiles.items()
         ],
     )
     second_steps: dict[str, set[int]] = {}
@@ -287,8 +288,7 @@ def convolve(raster: DataFrame, kernel: Kernel, edge: str = "clamp", tile: int =
     summed = _in_tiles(raster, reach, tile, channels).withColumns(
         {c: F.col(f"value.{c}") for c in ("r", "g", "b")}
     )
-    for name in "rgb":
-        summed = _filtered(summed, name, {f"{name}_sum": rows}, "xy")
+    summed = _all_filtered(summed, {f"{name}_sum": (name, rows) for name in "rgb"})
     inside = (
         F.col("x").between(0, F.col("width") - 1) & F.col("y").between(0, F.col("height") - 1)
     )

@@ -68,7 +68,8 @@ QUERIES = {
     ),
     "index_stop_table": lambda s, d: index.occurrences_without(lines(s, d), item_words(s, d)),
     "index_doc_lines": lambda s, d: index.document_counts(_postings(s, d)),
-    "index_totals": lambda s, d: index.word_totals(_postings(s, d)),
+    "index_totals": lambda s, d: index.token_totals(lines(s, d), STOP_WORDS),
+    "index_totals_of_postings": lambda s, d: index.word_totals(_postings(s, d)),
     "index_number_words": lambda s, d: index.number_words(_index_words(s, d)),
     "index_palindromes": lambda s, d: index.palindromes(_index_words(s, d)),
     "index_counters": _counters,
@@ -156,6 +157,7 @@ ORACLE = {
     ),
     "index_doc_lines": _index("SELECT word, doc_id, n_lines, n FROM doc_lines"),
     "index_totals": _index("SELECT word, n FROM totals"),
+    "index_totals_of_postings": _index("SELECT word, n FROM totals"),
     "index_number_words": _index(
         f"""SELECT word[1] AS first_digit, count(*) AS n_words FROM totals
   WHERE {_NUMBER} GROUP BY 1"""

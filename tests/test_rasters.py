@@ -451,3 +451,10 @@ def test_layers_are_written(spark, tmp_path):
     edited = str(tmp_path / "edited")
     write_layers({"edited": raster.sepia(frame)}, edited)
     assert (pixels_of(spark.read.parquet(edited)) == pixels_of(raster.sepia(frame))).all()
+
+
+def test_all_channels_are_filtered_in_two_sorts(spark):
+    raster = tables.rasters(spark, "/root/testdata/sf0.001")
+    plan = plan_of(stencil.convolve(raster, [[1, 2, 1], [0, 3, 0], [1, 2, 1]]))
+    assert plan.count("Sort [") == 2
+    assert plan.count("+- Window [") + plan.count(":- Window [") == 2
