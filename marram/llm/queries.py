@@ -74,20 +74,50 @@ def op4_embeddings(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def conversation_events(conversations: DataFrame) -> DataFrame:
-    """Each row of a conversation as a message and deltas, numbered through the conversation."""
+    """The log from which a fold gives back the rows of conversations, numbered through each conversation.
+
+    A row is written as a message and deltas. Of every three, by hash, one is
+    written in its last form at once; one first as a draft that is regenerated
+    before the next turn; and one as a draft that is edited after the last
+    turn. One more turn at the end is written and deleted.
+    """
     more = conversations.sparkSession.createDataFrame(
         [(-7, n, role, "\\### Assistant: </turn> ok") for n, role in enumerate(("user", "assistant"))],
         "conv_id long, turn long, role string, text string",
     )
     rows = conversations.select("conv_id", "turn", "role", "text").unionByName(more)
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
-    numbered = rows.withColumn("turn", F.row_number().over(order).cast("bigint"))
-    parts = F.sequence(F.lit(0), F.floor(F.char_length(F.coalesce("text", F.lit(""))) / DELTA_CHARS).cast("int"))
-    return numbered.withColumn("part", F.explode(parts)).select(
+    numbered = rows.withColumns(
+        {
+            "turn": F.row_number().over(order).cast("bigint"),
+            "turns": F.count(F.lit(1)).over(Window.partitionBy("conv_id")),
+        }
+    )
+    turn, turns, text = F.col("turn"), F.col("turns"), F.coalesce("text", F.lit(""))
+    draft = F.concat(F.reverse(text), F.lit(" draft"))
+
+    def version(of, at, kind: str, written):
+        return F.struct(of.alias("turn"), at.alias("at"), F.lit(kind).alias("kind"), written.alias("text"))
+
+    first, again, late = 2 * turn, 2 * turn + 1, 2 * (turns + turn)
+    style = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(3))
+    versions = (
+        F.when(style == 0, F.array(version(turn, first, "message", text)))
+        .when(style == 1, F.array(version(turn, first, "message", draft), version(turn, again, "regenerate", text)))
+        .otherwise(F.array(version(turn, first, "message", draft), version(turn, late, "edit", text)))
+    )
+    end = 4 * turns + 2
+    withdrawn = F.array(
+        version(turns + 1, end, "message", F.lit("withdrawn")), version(turns + 1, end + 1, "delete", F.lit(""))
+    )
+    versions = F.when(turn == 1, F.concat(versions, withdrawn)).otherwise(versions)
+    written = numbered.select("conv_id", "role", F.explode(versions).alias("v")).select("conv_id", "role", "v.*")
+    parts = F.sequence(F.lit(0), F.floor(F.char_length("text") / DELTA_CHARS).cast("int"))
+    return written.withColumn("part", F.explode(parts)).select(
         "conv_id",
         "turn",
-        F.col("part").alias("seq"),
-        F.when(F.col("part") == 0, "message").otherwise("delta").alias("kind"),
+        (F.shiftleft("at", 32) + F.col("part")).alias("seq"),
+        F.when(F.col("part") == 0, F.col("kind")).otherwise("delta").alias("kind"),
         "role",
         F.substr("text", F.col("part") * DELTA_CHARS + 1, F.lit(DELTA_CHARS)).alias("text"),
     )
