@@ -55,6 +55,12 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def whole_row(frame: DataFrame, *without: str) -> Column:
+    """All columns of ``frame`` but those named, as one struct, so that no working column can clash with them."""
+    names = frame.drop(*without).columns
+    return F.struct(*[F.col("`" + name.replace("`", "``") + "`") for name in names])
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z lowered, all else as it is; a text of ASCII alone takes the fast way."""
     plain = F.octet_length(text) == F.char_length(text)

@@ -82,12 +82,14 @@ class Filters:
             return None
         return np.clip((counts - total * self.false_rate) / (1 - self.false_rate) / total, 0, 1)
 
-    def predict(self, text: str | None) -> tuple[str, float]:
+    def predict(self, text: str | None) -> tuple[str, float, float]:
+        """Language, score and the language's own share."""
         shares = self.shares(text) if self.languages else None
         if shares is None:
-            return UNKNOWN, 0.0
+            return UNKNOWN, 0.0, 0.0
         best = int(shares.argmax())
-        return self.languages[best], float(shares[best] ** 2 / shares.sum()) if shares[best] else 0.0
+        share = float(shares[best])
+        return self.languages[best], float(shares[best] ** 2 / shares.sum()) if share else 0.0, share
 
 
 def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, most: int) -> DataFrame:
@@ -168,25 +170,28 @@ def train(
 
 
 def with_language(docs: DataFrame, filters: Filters, text_col: str = "text", name: str = "language") -> DataFrame:
-    """``docs`` with a struct ``name`` of ``lang`` and ``score`` for each whole text.
+    """``docs`` with a struct ``name`` of ``lang``, ``score`` and ``share`` for each whole text.
 
     ``lang`` is one of the learned languages, or ``und`` if the text is null or
     has no letter. ``score``, from 0 to 1, is the share of the text's n-grams
-    that the language has, times its part among the shares of all languages. A
-    tie goes to the first language by name; other columns have no influence.
+    that the language has, times its part among the shares of all languages;
+    ``share`` is that first share alone, which does not fall with the number of
+    languages learned. A tie goes to the first language by name; other columns
+    have no influence and stay, but for one called ``name``, which is replaced.
+    An empty table gives no rows.
     """
     held = docs.sparkSession.sparkContext.broadcast(vars(filters))
 
-    @F.pandas_udf("lang string, score double")
+    @F.pandas_udf("lang string, score double, share double")
     def predict(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         filters = Filters(**held.value)
         for batch in texts:
             found = [filters.predict(text) for text in batch]
-            yield pd.DataFrame(found, columns=["lang", "score"])
+            yield pd.DataFrame(found, columns=["lang", "score", "share"])
 
     return docs.withColumn(name, predict(F.col(text_col).cast("string")))
 
 
 def accepted(language: Column, least: float) -> Column:
-    """Whether a prediction names a language with a score of ``least`` or more."""
-    return (language["lang"] != UNKNOWN) & (language["score"] >= least)
+    """Whether a prediction names a language that has a share of ``least`` or more of the text's n-grams."""
+    return (language["lang"] != UNKNOWN) & (language["share"] >= least)

@@ -7,11 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marram.llm.common import stored
+from marram.llm.common import stored, whole_row
 
 # Bits of the hash-random key that buckets use, and of one level of buckets.
 KEY_BITS = 60
 LEVEL_BITS = 10
+RESULTS = ("source_size", "target", "taken")
 
 
 def draw(doc_id: Column) -> Column:
@@ -150,13 +151,11 @@ def mix(
     last; a null or negative size is 0 and takes 0; a null id is drawn as an
     empty one; rows of one id, source and size share what falls to them
     evenly, rounded down; an empty table gives no rows. Columns of ``docs``
-    named like a result are replaced; all others stay.
+    named like a result are replaced; all others stay, whatever their names.
     """
-    results = ["source_size", "target", "taken"]
-    names = {name: F.col(name) for name in docs.columns if name not in results}
     size = F.greatest(F.coalesce(F.col(size_col).cast("bigint"), F.lit(0)), F.lit(0))
     plain = docs.select(
-        *names.values(), _place(F.col(source_col)).alias("_s"), draw(F.col(id_col)).alias("_h"),
+        whole_row(docs, *RESULTS).alias("row"), _place(F.col(source_col)).alias("_s"), draw(F.col(id_col)).alias("_h"),
         size.alias("_z"),
     )
     slim = stored(
@@ -189,7 +188,7 @@ def mix(
         .otherwise(0)
     )
     return plain.join(plan, "_s").select(
-        *names.values(),
+        "row.*",
         "source_size",
         "target",
         (F.col("_epochs") * F.col("_z") + extra).cast("bigint").alias("taken"),

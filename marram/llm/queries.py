@@ -177,7 +177,11 @@ def op9_mixing(spark: SparkSession, sf: str) -> DataFrame:
 
 def op10_secrets(spark: SparkSession, sf: str) -> DataFrame:
     docs = read_table(spark, sf, "documents").select("doc_id", "text")
-    findings, _ = secrets.scan(docs)
+    # The table comes in two parts, as a history grows: what the ledger of the
+    # first part holds is not scanned again, its findings are taken over.
+    later = remainder(F.col("doc_id")) == 0
+    findings, scanned = secrets.scan(docs.where(~later))
+    findings, _ = secrets.scan(docs.where(later), scanned=stored(scanned, "ledger"), findings=findings)
     found = secrets.attach(docs, findings)
 
     def counted(kind: str):

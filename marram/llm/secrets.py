@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marram.llm.common import stored
+from marram.llm.common import stored, whole_row
 
 
 @dataclass(frozen=True)
@@ -165,14 +165,14 @@ def attach(
     """Every row of ``versions`` with the spans of its content, an empty array if it has none.
 
     Copies of one content, however many, each get its spans. A column of
-    ``versions`` that is called as the result is replaced.
+    ``versions`` that is called as the result is replaced; all others stay as
+    they are, whatever their names. An empty table gives no rows.
     """
-    summary = stored(spans_by_blob(findings, rules).toDF("_blob", name), "spans")
-    named = versions.drop(name).withColumn("_blob", blob_id(F.col(text_col)))
+    summary = stored(spans_by_blob(findings, rules), "spans")
+    row = whole_row(versions, name).alias("row")
+    named = versions.select(row, blob_id(F.col(text_col)).alias("blob"))
     none = F.array().cast("array<struct<start:bigint,place:int,end:bigint,kind:string>>")
-    return (
-        named.join(summary, "_blob", "left").drop("_blob").withColumn(name, F.coalesce(name, none))
-    )
+    return named.join(summary, "blob", "left").select("row.*", F.coalesce("spans", none).alias(name))
 
 
 def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:

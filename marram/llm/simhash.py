@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marram.llm.common import by_runs, components, in_blocks, local_links, stored
+from marram.llm.common import by_runs, components, in_blocks, local_links, stored, whole_row
 
 SEED = 42
 SHINGLE = 3
@@ -179,13 +179,17 @@ def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     Groups are settled over ids and hashes of texts; texts move once, to meet
     the rows that stay.
+
+    Null and empty texts have fingerprint 0 and are one group. A null id is
+    kept only where a group has no other. All columns stay as they are, whatever
+    their names; an empty table gives no rows.
     """
     key = F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("same"))
-    keyed = docs.withColumn("_key", key)
-    slim = keyed.select("_key", F.col(text_col).alias("text"))
-    prints = stored(with_fingerprints(slim, "text", "fp").select("_key", "_key.id", "fp"), "prints")
+    keyed = docs.select(whole_row(docs).alias("row"), key.alias("key"), F.col(text_col).alias("text"))
+    slim = keyed.select("key", "text")
+    prints = stored(with_fingerprints(slim, "text", "fp").select("key", "key.id", "fp"), "prints")
     found = prints.join(groups(prints, "id"), "fp").where(F.col("id").eqNullSafe(F.col("first_id")))
-    stay = stored(found.groupBy("root").agg(F.min("_key").alias("_key")).select("_key"), "stay")
-    one = F.row_number().over(Window.partitionBy("_key").orderBy("_key"))
-    kept = keyed.join(stay, "_key").withColumn("_row", one).where("_row = 1")
-    return kept.select(*docs.columns)
+    stay = stored(found.groupBy("root").agg(F.min("key").alias("key")).select("key"), "stay")
+    one = F.row_number().over(Window.partitionBy("key").orderBy("key"))
+    kept = keyed.select("row", "key").join(stay, "key").withColumn("at", one).where("at = 1")
+    return kept.select("row.*")
