@@ -27,6 +27,10 @@ from marram.functions.numbers import idiv
 from marram.operators.raster import RASTER_COLUMNS
 
 TILE = 256
+# Steps up to this length fall back to the next shorter one beyond the border,
+# longer ones to the row's last pixel; equal weights over more than twice as
+# many pixels are running sums.
+NEAR = 4
 
 Kernel = Sequence[Sequence[int]]
 
@@ -143,26 +147,41 @@ def _along(axis: str) -> WindowSpec:
     return Window.partitionBy("image_id", "tile", across).orderBy(axis)
 
 
+def _whole(axis: str) -> WindowSpec:
+    return _along(axis).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+
 def _with_steps(tiled: DataFrame, axis: str, steps: dict[str, set[int]]) -> DataFrame:
     """Adds ``<column>@<step>``, the column's value so many pixels further along.
 
     Beyond the image the nearest pixel counts: a step that finds nothing
-    falls back to the next shorter one.
+    falls back to the next shorter one, a long one to ``<column>@end<sign>``,
+    the last pixel that the tile has in this direction. So the number of
+    columns grows with the reach and not with its square.
     """
     window = _along(axis)
-    reached = {
-        f"{column}@{sign * length}": (F.lead if sign > 0 else F.lag)(column, length).over(window)
-        for column, wanted in steps.items()
-        for sign in (-1, 1)
-        for length in range(1, max((sign * step for step in wanted), default=0) + 1)
-    }
+    reached = {}
+    for column, wanted in steps.items():
+        for sign, step, end in ((-1, F.lag, F.first), (1, F.lead, F.last)):
+            lengths = {sign * length for length in wanted if sign * length > 0}
+            if max(lengths, default=0) > NEAR:
+                reached[f"{column}@end{sign}"] = end(column).over(_whole(axis))
+            else:
+                lengths = range(1, max(lengths, default=0) + 1)
+            for length in lengths:
+                reached[f"{column}@{sign * length}"] = step(column, length).over(window)
     if reached:
         tiled = tiled.select("*", *[found.alias(name) for name, found in reached.items()])
     return tiled
 
 
-def _step(column: str, step: int) -> Column:
+def _step(column: str, step: int, wanted: set[int]) -> Column:
+    """``column`` at ``step``, where ``wanted`` are all steps that were asked for."""
+    if step == 0:
+        return F.col(column)
     sign = 1 if step > 0 else -1
+    if max(sign * each for each in wanted) > NEAR:
+        return F.coalesce(F.col(f"`{column}@{step}`"), F.col(f"`{column}@end{sign}`"))
     nearer = [F.col(f"`{column}@{length * sign}`") for length in range(abs(step), 0, -1)]
     return F.coalesce(*nearer, F.col(column))
 
@@ -215,7 +234,9 @@ def _all_filtered(
     sums = stepped.select(
         *kept,
         *[
-            _weighted((_step(value, step), weight) for step, weight in terms_of(profile)).alias(column)
+            _weighted(
+                (_step(value, step, first_steps[value]), weight) for step, weight in terms_of(profile)
+            ).alias(column)
             for (value, profile), column in profiles.items()
         ],
     )
@@ -227,12 +248,48 @@ def _all_filtered(
     return stepped.select(
         *kept,
         *[
-            _weighted((_step(column, step), factor) for step, column, factor in terms).alias(name)
+            _weighted(
+                (_step(column, step, second_steps[column]), factor) for step, column, factor in terms
+            ).alias(name)
             for name, terms in plan.items()
         ],
     )
 
 
+def _box_pass(tiled: DataFrame, axis: str, columns: Sequence[str], before: int, after: int) -> DataFrame:
+    """``columns`` replaced by their sums from ``before`` pixels back to ``after`` pixels on.
+
+    A sum is the difference of two running sums, whatever its length. Beyond
+    the border the nearest pixel counts, as often as the sum reaches over it.
+    """
+    along, whole = _along(axis), _whole(axis)
+    running = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    kept = [name for name in tiled.columns if name not in columns]
+    ends = [F.first(axis).over(whole).alias("low@"), F.last(axis).over(whole).alias("high@")]
+    found = [
+        function(column).over(window).alias(f"{column}@{name}")
+        for column in columns
+        for name, function, window in (
+            ("run", F.sum, running), ("all", F.sum, whole), ("first", F.first, whole), ("last", F.last, whole)
+        )
+    ]
+    summed = tiled.select(*kept, *ends, *found)
+    reached = [
+        step(f"{column}@run", length).over(along).alias(f"{column}@{name}")
+        for column in columns
+        for name, step, length in (("upper", F.lead, after), ("lower", F.lag, before + 1))
+    ]
+    over = F.col(axis) + after - F.col("high@")
+    under = F.col("low@") - F.col(axis) + before
+
+    def total(column: str) -> Column:
+        upper = F.coalesce(f"{column}@upper", F.col(f"{column}@all") + over * F.col(f"{column}@last"))
+        lower = F.coalesce(f"{column}@lower", -under * F.col(f"{column}@first"))
+        return (upper - lower).alias(column)
+
+    return summed.select("*", *reached).select(*kept, *[total(column) for column in columns])
+
+
 def _blurred(tiled: DataFrame, value: str, rounding: str = "trunc") -> DataFrame:
     """Adds ``blurred``, the blurred ``value``, both as integers of three channels."""
     summed = _filtered(tiled, value, {"sum": _checked(fixed.GAUSSIAN)}, "xy")
@@ -277,24 +334,54 @@ def convolve(raster: DataFrame, kernel: Kernel, edge: str = "clamp", tile: int =
     ``kernel`` is a square of integers in reading order. Beyond the image the
     nearest pixel counts, or with ``edge='reflect'`` the mirrored one; images
     must then be at least as wide and high as the kernel reaches.
+
+    Rows of the kernel that are multiples of one another are summed once, so
+    one that is a column times a row costs two passes of its length. A large
+    one of equal weights is ``box_sums``, at the same cost for any size.
     """
     rows = _checked(kernel)
-    reach = _reach(rows)
+    weights = {weight for row in rows for weight in row}
+    if len(rows) > 2 * NEAR and len(weights) == 1:
+        sums, factor = box_sums(raster, len(rows), edge, tile), F.lit(weights.pop())
+        return sums.select(*_PLACE, *[(F.col(c) * factor).cast("bigint").alias(c) for c in "rgb"])
+    summed = _channels_in_tiles(raster, _reach(rows), edge, tile)
+    summed = _all_filtered(summed, {f"{name}_sum": (name, rows) for name in "rgb"})
+    return _sums_at_home(summed, [f"{name}_sum" for name in "rgb"], tile)
+
+
+def box_sums(raster: DataFrame, size: int, edge: str = "clamp", tile: int = TILE) -> DataFrame:
+    """Sums of the ``size`` by ``size`` pixels around each, per channel, as ``convolve`` with ones gives them.
+
+    Running sums inside the tiles, along the rows and then along the columns:
+    two numbers of each are enough for a sum, so work and plan are the same for
+    any size, but for the pixels near borders that neighbouring tiles get too.
+    """
+    if size < 1:
+        raise ValueError(f"size must be at least 1, not {size}")
+    before, after = size // 2, size - 1 - size // 2
+    summed = _channels_in_tiles(raster, before, edge, tile)
+    for axis in "xy":
+        summed = _box_pass(summed, axis, ["r", "g", "b"], before, after)
+    return _sums_at_home(summed, ["r", "g", "b"], tile)
+
+
+def _channels_in_tiles(raster: DataFrame, reach: int, edge: str, tile: int) -> DataFrame:
+    """Pixels in their tiles, with each channel in a column of its own."""
     if edge == "reflect":
         raster = _mirrored(raster, reach)
     elif edge != "clamp":
         raise ValueError(f"edge must be 'clamp' or 'reflect', not {edge!r}")
     channels = F.struct(*[F.col(c).cast("bigint").alias(c) for c in ("r", "g", "b")])
-    summed = _in_tiles(raster, reach, tile, channels).withColumns(
-        {c: F.col(f"value.{c}") for c in ("r", "g", "b")}
-    )
-    summed = _all_filtered(summed, {f"{name}_sum": (name, rows) for name in "rgb"})
+    return _in_tiles(raster, reach, tile, channels).withColumns({c: F.col(f"value.{c}") for c in "rgb"})
+
+
+def _sums_at_home(summed: DataFrame, columns: Sequence[str], tile: int) -> DataFrame:
+    """Sums of the image's own pixels, each from the tile it belongs to."""
     inside = (
         F.col("x").between(0, F.col("width") - 1) & F.col("y").between(0, F.col("height") - 1)
     )
-    return _at_home(summed.where(inside), tile).select(
-        *_PLACE, *[F.col(f"{c}_sum").cast("bigint").alias(c) for c in ("r", "g", "b")]
-    )
+    channels = [F.col(c).cast("bigint").alias(name) for c, name in zip(columns, "rgb", strict=True)]
+    return _at_home(summed.where(inside), tile).select(*_PLACE, *channels)
 
 
 def _mirrored(raster: DataFrame, reach: int) -> DataFrame:

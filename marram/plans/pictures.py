@@ -16,6 +16,10 @@ _HEAVY = ((0, -3, 0), (2, 100, 0), (0, 0, -7))
 _THRESHOLD = 260
 _STRIP_THRESHOLD = 300
 _TILE = 48
+# A box of 31 pixels a side, and one of 17 applied twice.
+_BOX, _SMALL_BOX = 31, 17
+_SLOPE = [*range(1, _SMALL_BOX + 1), *range(_SMALL_BOX - 1, 0, -1)]
+_TENT = [[a * b for b in _SLOPE] for a in _SLOPE]
 
 
 def _merged(spark, sf):
@@ -88,6 +92,8 @@ QUERIES = {
     "raster_convolve_reflect": lambda s, d: stencil.convolve(
         strip(s, d), _KERNEL, edge="reflect", tile=_TILE
     ),
+    "raster_box": lambda s, d: stencil.box_sums(strip(s, d), _BOX, tile=_TILE),
+    "raster_tent": lambda s, d: stencil.convolve(strip(s, d), _TENT, tile=_TILE),
     "raster_clamped": _clamped,
     "raster_neighbours": lambda s, d: stencil.neighbours(
         rasters(s, d), [(1, 0), (0, -1), (-2, 2)]
@@ -184,6 +190,36 @@ def _from_rasters(then: str, source: str = "rasters") -> str:
 
 _GRAY_SHIFT = "((((r & ((g + 255) & 255)) >> 1) + b) & 255) >> 1"
 
+
+
+def _box_along(source: str, axis: str, reach: int) -> str:
+    """Sums along one axis by frames; the border's pixels as often as the sum reaches beyond."""
+    size, across = ("width", "y") if axis == "x" else ("height", "x")
+    sums = ", ".join(
+        f"""CAST(sum({c}) OVER near + greatest(0, {reach} - {axis}) * first({c}) OVER whole
+  + greatest(0, {axis} + {reach} - ({size} - 1)) * last({c}) OVER whole AS BIGINT) AS {c}"""
+        for c in "rgb"
+    )
+    frame = f"PARTITION BY image_id, {across} ORDER BY {axis} ROWS BETWEEN"
+    return f"""(SELECT {_PLACE}, {sums} FROM {source}
+  WINDOW near AS ({frame} {reach} PRECEDING AND {reach} FOLLOWING),
+    whole AS ({frame} UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))"""
+
+
+def _box(source: str, reach: int) -> str:
+    return _box_along(_box_along(source, "x", reach), "y", reach)
+
+
+def _slope_along(source: str, axis: str, reach: int) -> str:
+    """Sums weighted by a slope on both sides, term by term."""
+    size, across = ("width", "y") if axis == "x" else ("height", "x")
+    sums = ", ".join(f"CAST(sum(n.{c} * (1 + {reach} - abs(s))) AS BIGINT) AS {c}" for c in "rgb")
+    at = {axis: f"greatest(0, least(p.{size} - 1, p.{axis} + s))", across: f"p.{across}"}
+    place = ", ".join(f"p.{c}" for c in _PLACE.split(", "))
+    return f"""(SELECT {place}, {sums} FROM {source} p CROSS JOIN range(-{reach}, {reach} + 1) k(s)
+  JOIN {source} n ON n.image_id = p.image_id AND n.x = {at["x"]} AND n.y = {at["y"]} GROUP BY {place})"""
+
+
 ORACLE = {
     "raster_gray_mean": _from_rasters(
         f"SELECT {_PLACE}, v AS r, v AS g, v AS b FROM (SELECT *, (r + g + b) // 3 AS v FROM rasters)"
@@ -249,6 +285,12 @@ SELECT {_PLACE}, r_s AS r, g_s AS g, b_s AS b FROM {_sums("once", {"s": _HEAVY},
 FROM {_sums("rasters", {"s": _KERNEL}, "reflect", "BIGINT")}""",
         "strip",
     ),
+    "raster_box": _from_rasters(f"SELECT {_PLACE}, r, g, b FROM {_box('rasters', _BOX // 2)}", "strip"),
+    "raster_tent": _from_rasters(
+        f""", once AS {_slope_along("rasters", "x", _SMALL_BOX - 1)}
+SELECT {_PLACE}, r, g, b FROM {_slope_along("once", "y", _SMALL_BOX - 1)}""",
+        "strip",
+    ),
     "raster_clamped": _from_rasters(
         f"""SELECT {_PLACE}, {", ".join(
             f"CAST(greatest(0, least(255, floor({c}_s / CAST(5 AS DOUBLE) + CAST(0.5 AS DOUBLE)))) AS INTEGER) AS {c}"

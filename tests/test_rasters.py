@@ -458,3 +458,47 @@ def test_all_channels_are_filtered_in_two_sorts(spark):
     plan = plan_of(stencil.convolve(raster, [[1, 2, 1], [0, 3, 0], [1, 2, 1]]))
     assert plan.count("Sort [") == 2
     assert plan.count("+- Window [") + plan.count(":- Window [") == 2
+
+
+@pytest.mark.parametrize("size, tile", [(1, 4), (2, 5), (7, 4), (12, 7), (31, 6), (31, 256)])
+def test_box_sums_of_any_size_on_any_tiles(spark, size, tile):
+    pixels = np.random.default_rng(size).integers(-300, 300, (19, 23, 3))
+    ones = [[1] * size for _ in range(size)]
+    frame = frame_of(spark, pixels, pixels[:5, :2])
+    found = stencil.box_sums(frame, size, tile=tile).collect()
+    for image_id, image in enumerate((pixels, pixels[:5, :2])):
+        assert (pixels_of(found, image_id) == convolved(image, ones)).all()
+    times = stencil.convolve(frame, [[-3] * size for _ in range(size)], tile=tile)
+    assert (pixels_of(times) == -3 * convolved(pixels, ones)).all()
+
+
+def test_box_sums_with_mirrored_borders(spark):
+    pixels = np.random.default_rng(1).integers(0, 256, (14, 12, 3))
+    found = stencil.box_sums(frame_of(spark, pixels), 11, edge="reflect", tile=5)
+    assert (pixels_of(found) == convolved(pixels, [[1] * 11] * 11, "symmetric")).all()
+    with pytest.raises(ValueError):
+        stencil.box_sums(frame_of(spark, pixels), 0)
+
+
+def test_a_box_costs_the_same_for_any_size(spark):
+    raster = tables.rasters(spark, SF)
+    small, large = (plan_of(stencil.box_sums(raster, size)) for size in (3, 31))
+    assert small.count("\n") == large.count("\n")
+    assert large.count("Sort [") == 2 and large.count("Exchange hashpartitioning") == 1
+
+
+@pytest.mark.parametrize("tile", [9, 64])
+def test_a_large_gaussian_takes_two_passes(spark, tile):
+    slope = np.round(np.exp(-(np.arange(-15, 16) ** 2) / 50) * 1000).astype(int).tolist()
+    kernel = [[a * b for b in slope] for a in slope]
+    pixels = np.random.default_rng(2).integers(0, 256, (24, 33, 3))
+    found = stencil.convolve(frame_of(spark, pixels), kernel, tile=tile)
+    assert plan_of(found).count("Sort [") == 2
+    assert (pixels_of(found) == convolved(pixels, kernel)).all()
+
+
+def test_large_kernels_without_a_common_row(spark):
+    kernel = np.random.default_rng(3).integers(-9, 9, (11, 11)).tolist()
+    pixels = np.random.default_rng(4).integers(0, 256, (9, 16, 3))
+    found = stencil.convolve(frame_of(spark, pixels), kernel, tile=5)
+    assert (pixels_of(found) == convolved(pixels, kernel)).all()
