@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from marram.functions import text
-from marram.operators import index, words
+from marram.operators import index, stored_index, words
 from marram.plans.tables import (
     STOP_WORDS,
     collection_records,
@@ -15,8 +17,12 @@ from marram.plans.tables import (
     lines,
     with_tables,
 )
+from marram.session import work_dir
 from marram.sources.text import documents_from_records
 
+# A word that the stored index is asked for, and from and to which document.
+_ASKED, _FROM_DOCUMENT, _TO_DOCUMENT = "of", 100, 700
+
 
 def _stream(spark, sf):
     return words.word_stream(documents(spark, sf))
@@ -26,6 +32,11 @@ def _postings(spark, sf):
     return index.postings(lines(spark, sf), STOP_WORDS)
 
 
+def _stored(spark, sf):
+    postings = _postings(spark, sf).withColumn("line_id", F.col("line_id").cast("bigint"))
+    return stored_index.store(f"{work_dir(spark)}/index-{uuid.uuid4().hex}", postings)
+
+
 def _index_words(spark, sf):
     return index.distinct_words(index.occurrences(lines(spark, sf), STOP_WORDS))
 
@@ -76,6 +87,11 @@ QUERIES = {
     "index_partitions": lambda s, d: index.with_bucket(_index_words(s, d), 8),
     "index_placement": _placed,
     "index_tree": lambda s, d: index.tree_rows(_postings(s, d), 8),
+    "index_stored": lambda s, d: stored_index.all_postings(_stored(s, d)),
+    "index_stored_words": lambda s, d: stored_index.words_of(_stored(s, d).dictionary).drop("word_id"),
+    "index_stored_lookup": lambda s, d: stored_index.lookup(
+        _stored(s, d), _ASKED, _FROM_DOCUMENT, _TO_DOCUMENT
+    ),
     "index_header_carry": lambda s, d: index.carry_documents(
         files_with_headers(s, d), lines_per_block=4
     ),
@@ -146,6 +162,14 @@ ORACLE = {
   WHERE word <> '' GROUP BY word""",
     "index_occurrences": _index("SELECT word, doc_id, line_id, pos FROM tokens"),
     "index_postings": _index("SELECT word, doc_id, line_id, pos, n FROM postings"),
+    "index_stored": _index("SELECT word, doc_id, CAST(line_id AS BIGINT) AS line_id, pos, n FROM postings"),
+    "index_stored_words": _index(
+        "SELECT word, count(*) AS n_lines, CAST(sum(n) AS BIGINT) AS n FROM postings GROUP BY word"
+    ),
+    "index_stored_lookup": _index(
+        f"""SELECT word, doc_id, CAST(line_id AS BIGINT) AS line_id, pos, n FROM postings
+WHERE word = '{_ASKED}' AND doc_id BETWEEN {_FROM_DOCUMENT} AND {_TO_DOCUMENT}"""
+    ),
     "index_postings_grouped": _index("SELECT word, doc_id, line_id, pos, n FROM postings"),
     "index_stop_table": with_tables(
         "lines",
