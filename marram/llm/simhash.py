@@ -11,6 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marram.llm import similar
 from marram.llm.common import by_runs, components, in_blocks, local_links, stored, whole_row
 
 SEED = 42
@@ -174,22 +175,44 @@ def hex_digits(print_col: str) -> Column:
     return F.lower(F.lpad(F.hex(print_col), 16, "0"))
 
 
-def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def golay_keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``keys_of`` with tables of its own."""
+    return keys_of(prints, golay_tables())
+
+
+def first_of_each(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = similar.LEAST
+) -> DataFrame:
     """``docs`` without near-duplicates: of each group the row with the smallest id, of equal rows one.
 
-    Groups are settled over ids and hashes of texts; texts move once, to meet
-    the rows that stay.
+    Documents are linked if their sets of shingles of five words have a Jaccard
+    similarity of ``least`` or more. Candidates meet by the Golay keys of their
+    fingerprints, which find those at most two bits apart, and by bands of
+    ordered hashes, which find those further apart; links are verified over
+    whole texts. Groups are settled over names of sets; texts move only
+    where they are in a candidate.
 
-    Null and empty texts have fingerprint 0 and are one group. A null id is
+    Null and empty texts have no shingles and are one group. A null id is
     kept only where a group has no other. All columns stay as they are, whatever
     their names; an empty table gives no rows.
     """
     key = F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("same"))
     keyed = docs.select(whole_row(docs).alias("row"), key.alias("key"), F.col(text_col).alias("text"))
     slim = keyed.select("key", "text")
-    prints = stored(with_fingerprints(slim, "text", "fp").select("key", "key.id", "fp"), "prints")
-    found = prints.join(groups(prints, "id"), "fp").where(F.col("id").eqNullSafe(F.col("first_id")))
-    stay = stored(found.groupBy("root").agg(F.min("key").alias("key")).select("key"), "stay")
+    prints = stored(similar.with_sketches(slim, "text").withColumn("id", F.col("key.id")), "prints")
+    told = [F.first(name).alias(name) for name in ("fp", "b0", "b1", "bands")]
+    nodes = stored(prints.groupBy("node").agg(F.min("id").alias("id"), F.min("key").alias("key"), *told), "nodes")
+    found = components(similar.links(nodes, slim, golay_keys, least)).withColumnRenamed("node", "linked")
+    root = F.coalesce("component", "node").alias("root")
+    rooted = stored(nodes.join(found, F.col("node") == F.col("linked"), "left").select("node", "id", root), "roots")
+    firsts = stored(rooted.groupBy("root").agg(F.min("id").alias("first_id")), "firsts")
+    grouped = rooted.select("node", "root").join(firsts, "root")
+    first = prints.select("key", "id", "node").join(grouped, "node").where(F.col("id").eqNullSafe(F.col("first_id")))
+    stay = stored(first.groupBy("root").agg(F.min("key").alias("key")).select("key"), "stay")
+    times = stored(prints.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "times")
+    gone = stored(times.join(stay, "key", "left_anti").select("key"), "gone")
+    again = stored(times.where("n > 1").join(stay, "key").select("key"), "again")
+    kept = keyed.select("row", "key").join(gone, "key", "left_anti")
     one = F.row_number().over(Window.partitionBy("key").orderBy("key"))
-    kept = keyed.select("row", "key").join(stay, "key").withColumn("at", one).where("at = 1")
-    return kept.select("row.*")
+    single = kept.join(again, "key", "left_anti").select("row.*")
+    return single.union(kept.join(again, "key", "left_semi").withColumn("at", one).where("at = 1").select("row.*"))
