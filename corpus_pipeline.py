@@ -45,8 +45,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets replaced by a mark and lengths brought up to date."""
     findings, _ = secrets.scan(docs)
-    found = secrets.attach(docs.select(whole_row(docs).alias("row"), "text"), findings)
-    told = found.select("row", "spans", secrets.redact(F.col("text"), F.col("spans")).alias("told"))
+    found = secrets.attach(docs.select(whole_row(docs).alias("row")), findings, "row.text")
+    told = found.select("row", "spans", secrets.redact(F.col("row.text"), F.col("spans")).alias("told"))
     n_chars = F.when(F.size("spans") > 0, F.char_length("told")).otherwise(F.col("row.n_chars"))
     new = {"text": F.col("told"), "n_chars": n_chars.cast("bigint")}
     return told.select(*[new.get(name, F.col("row")[name]).alias(name) for name in docs.columns])

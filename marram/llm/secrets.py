@@ -172,7 +172,8 @@ def attach(
     row = whole_row(versions, name).alias("row")
     named = versions.select(row, blob_id(F.col(text_col)).alias("blob"))
     none = F.array().cast("array<struct<start:bigint,place:int,end:bigint,kind:string>>")
-    return named.join(summary, "blob", "left").select("row.*", F.coalesce("spans", none).alias(name))
+    # No broadcast: the findings grow with the contents.
+    return named.join(summary.hint("merge"), "blob", "left").select("row.*", F.coalesce("spans", none).alias(name))
 
 
 def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:

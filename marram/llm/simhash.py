@@ -180,6 +180,13 @@ def golay_keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys_of(prints, golay_tables())
 
 
+def rooted_nodes(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """``node``, ``id`` and ``root`` (one per connected part) of ``nodes``, stored."""
+    found = components(edges).withColumnRenamed("node", "linked")
+    root = F.coalesce("component", "node").alias("root")
+    return stored(nodes.join(found, F.col("node") == F.col("linked"), "left").select("node", "id", root), "roots")
+
+
 def first_of_each(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = similar.LEAST
 ) -> DataFrame:
@@ -189,7 +196,8 @@ def first_of_each(
     similarity of ``least`` or more. Candidates meet by the Golay keys of their
     fingerprints, which find those at most two bits apart, and by bands of
     ordered hashes, which find those further apart; links are verified over
-    whole texts. Groups are settled over names of sets; texts move only
+    whole texts. Then all pairs of different groups that may be similar enough are verified
+    too, so no link is lost. Groups are settled over names of sets; texts move only
     where they are in a candidate.
 
     Null and empty texts have no shingles and are one group. A null id is
@@ -199,20 +207,20 @@ def first_of_each(
     key = F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("same"))
     keyed = docs.select(whole_row(docs).alias("row"), key.alias("key"), F.col(text_col).alias("text"))
     slim = keyed.select("key", "text")
-    prints = stored(similar.with_sketches(slim, "text").withColumn("id", F.col("key.id")), "prints")
+    prints = stored(similar.with_sketches(slim, "text", least).withColumn("id", F.col("key.id")), "prints")
     told = [F.first(name).alias(name) for name in ("fp", "b0", "b1", "bands")]
     nodes = stored(prints.groupBy("node").agg(F.min("id").alias("id"), F.min("key").alias("key"), *told), "nodes")
-    found = components(similar.links(nodes, slim, golay_keys, least)).withColumnRenamed("node", "linked")
-    root = F.coalesce("component", "node").alias("root")
-    rooted = stored(nodes.join(found, F.col("node") == F.col("linked"), "left").select("node", "id", root), "roots")
+    near = similar.links(nodes, slim, golay_keys, least)
+    missed = similar.missed(prints, nodes, rooted_nodes(nodes, near), slim, least)
+    rooted = rooted_nodes(nodes, near.union(missed))
     firsts = stored(rooted.groupBy("root").agg(F.min("id").alias("first_id")), "firsts")
     grouped = rooted.select("node", "root").join(firsts, "root")
     first = prints.select("key", "id", "node").join(grouped, "node").where(F.col("id").eqNullSafe(F.col("first_id")))
-    stay = stored(first.groupBy("root").agg(F.min("key").alias("key")).select("key"), "stay")
-    times = stored(prints.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "times")
-    gone = stored(times.join(stay, "key", "left_anti").select("key"), "gone")
-    again = stored(times.where("n > 1").join(stay, "key").select("key"), "again")
-    kept = keyed.select("row", "key").join(gone, "key", "left_anti")
+    stay = first.groupBy("root").agg(F.min("key").alias("key")).select("key", F.lit(True).alias("stays"))
+    times = prints.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    # One row per key that stays; rows move once, joined without a broadcast, as this table grows with the documents.
+    told = stored(times.join(stay, "key").select(F.col("key").alias("kept"), "n"), "stay").hint("merge")
+    met = keyed.select("row", "key").join(told, F.col("key").eqNullSafe(F.col("kept")))
     one = F.row_number().over(Window.partitionBy("key").orderBy("key"))
-    single = kept.join(again, "key", "left_anti").select("row.*")
-    return single.union(kept.join(again, "key", "left_semi").withColumn("at", one).where("at = 1").select("row.*"))
+    single = met.where("n = 1").select("row.*")
+    return single.union(met.where("n > 1").withColumn("at", one).where("at = 1").select("row.*"))

@@ -3,6 +3,11 @@
 A text's set holds the hashes of its shingles of five words (fewer words: the
 whole sequence; none: nothing). Two texts are linked if the sets' Jaccard
 similarity is 0.8 or more.
+
+Links are found in two steps. Sketches bring near copies together quickly, and
+their cheapest links are verified. Then every pair of sets that is not yet in
+one group and could be similar enough is verified as well: similar sets share
+one of the first members in any order, so none is lost.
 """
 
 from __future__ import annotations
@@ -28,6 +33,13 @@ MOST_BITS = 26
 # Two sets of Jaccard 0.8 have no band in common in 0.488 ** 12 = 0.02 % of cases.
 BANDS, BAND_ROWS = 12, 3
 BLOCK = 1024
+# A key of the exact step with more sets than this moves to the end of the order, if
+# there are not more such keys than a broadcast can hold.
+MOST_OF_KEY, MOST_KEYS = 4096, 1 << 20
+# Parities a set has at least; larger sets have more, a power of two.
+_PARITIES = 512
+# Texts are fetched through a table of so many bits.
+_FETCH_BITS = 1 << 22
 _AT_ONCE = 2048
 _FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, ORDERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -72,16 +84,65 @@ def sketch(hashes: np.ndarray) -> tuple[int, int, np.ndarray, np.ndarray]:
     return name, print_, bits, keys | np.uint64(1 << 63)
 
 
-def with_sketches(docs: DataFrame, text_col: str) -> DataFrame:
-    """``docs`` with ``node`` (name of the set), ``fp``, ``b0``, ``b1`` and ``bands`` instead of the text."""
+def first_members(hashes: np.ndarray, least: float = LEAST, late: np.ndarray | None = None) -> np.ndarray:
+    """Keys (32 bits) of a set's first members: sets of similarity ``least`` or more share one.
+
+    Similar sets share ``least`` of each one's members, so not all that they
+    share can stand behind the first ``n - ceil(least * n) + 1``. The order is
+    that of the hashes, with keys in ``late`` (sorted) behind all others.
+    """
+    keys = (hashes >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    if late is not None and len(late):
+        at = np.minimum(np.searchsorted(late, keys), len(late) - 1)
+        keys = keys[np.argsort(late[at] == keys, kind="stable")]
+    n = len(keys)
+    return np.unique(keys[: n - int(np.ceil(least * n - 1e-9)) + 1])
+
+
+def parities(hashes: np.ndarray) -> bytes:
+    """For each remainder of the hashes whether the set has an odd number of them.
+
+    Two sets differ in at least as many members as these bits differ. There are
+    about as many bits as members, so that they differ in far more of them where sets are unlike.
+    """
+    n = max(_PARITIES, 1 << (len(hashes) - 1).bit_length()) if len(hashes) else _PARITIES
+    odd = np.bincount((hashes & np.uint64(n - 1)).astype(np.int64), minlength=n) & 1
+    return np.packbits(odd.astype(bool)).tobytes()
+
+
+def differing(odd: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """In how many bits the parities ``odd[a]`` and ``odd[b]`` differ, the longer ones folded."""
+    lengths = np.array([len(each) for each in odd])
+    shorter = np.minimum(lengths[a], lengths[b])
+    far = np.zeros(len(a), np.int64)
+    for length in np.unique(shorter):
+        pairs = (shorter == length).nonzero()[0]
+        ends, at = np.unique(np.concatenate([a[pairs], b[pairs]]), return_inverse=True)
+        told = [np.bitwise_xor.reduce(np.frombuffer(odd[i], np.uint64).reshape(-1, length // 8)) for i in ends]
+        left, right = at[: len(pairs)], at[len(pairs) :]
+        for word in np.array(told).T:
+            far[pairs] += np.bitwise_count(word[left] ^ word[right])
+    return far
+
+
+def with_sketches(docs: DataFrame, text_col: str, least: float = LEAST) -> DataFrame:
+    """``docs`` with, instead of the text, what its set has for both steps.
+
+    ``node`` (name of the set), ``fp``, ``b0``, ``b1`` and ``bands``; ``size``,
+    ``firsts`` (keys of the first members) and ``odd`` (parities).
+    """
 
-    @F.pandas_udf("node long, fp long, b0 long, b1 long, bands array<long>")
+    @F.pandas_udf("node long, fp long, b0 long, b1 long, bands array<long>, size long, firsts array<int>, odd binary")
     def told(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in texts:
-            found = [sketch(shingles(text)) for text in batch]
+            sets = [shingles(text) for text in batch]
+            found = [sketch(hashes) for hashes in sets]
             names = np.array([[f[0], f[1], *f[2]] for f in found], np.uint64).reshape(-1, 4).view(np.int64)
             out = pd.DataFrame(names, columns=["node", "fp", "b0", "b1"])
             out["bands"] = [f[3].view(np.int64) for f in found]
+            out["size"] = np.array([len(hashes) for hashes in sets], np.int64)
+            out["firsts"] = [first_members(hashes, least) for hashes in sets]
+            out["odd"] = [parities(hashes) for hashes in sets]
             yield out
 
     sketched = docs.withColumn("sketch", told(F.col(text_col).cast("binary")))
@@ -164,10 +225,117 @@ def links(nodes: DataFrame, texts: DataFrame, more_keys, least: float = LEAST, b
     """Verified edges that connect ``nodes`` of similarity ``least`` or more.
 
     ``texts`` has ``key`` and ``text``, ``nodes`` the ``key`` of one text of each
-    set. Only texts that are in an edge are moved.
+    set. Only texts that are in an edge are moved. These edges settle most groups;
+    links between two of them can be missing, see ``missed``.
     """
     edges = stored(candidates(nodes.select("node", "fp", "b0", "b1", "bands"), more_keys, block), "candidates")
+    return checked(edges, nodes, texts, least)
+
+
+def checked(edges: DataFrame, nodes: DataFrame, texts: DataFrame, least: float = LEAST) -> DataFrame:
+    """``verified`` edges, stored; texts of their ends are fetched."""
     ends = edges.select(F.col("a").alias("node")).union(edges.select(F.col("b").alias("node"))).distinct()
-    wanted = stored(nodes.select("node", "key").join(ends, "node"), "wanted")
-    held = stored(texts.join(wanted, "key").select("node", "text").dropDuplicates(["node"]), "held")
-    return stored(verified(edges, held, least), "verified")
+    return stored(verified(edges, fetched(ends, nodes, texts), least), "verified")
+
+
+def fetched(wanted: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """One ``text`` for each ``node`` of ``wanted``, stored; ``nodes`` has the ``key`` of its text.
+
+    A table of bits of fixed size tells which texts need not move to the join.
+    """
+    keys = stored(nodes.select("node", "key").join(wanted, "node"), "wanted")
+
+    def place(key: str) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(_FETCH_BITS)).cast("int")
+
+    bits = np.zeros(_FETCH_BITS, bool)
+    bits[keys.select(place("key").alias("place")).distinct().toPandas()["place"].to_numpy(np.int64)] = True
+    table = np.packbits(bits)
+
+    @F.pandas_udf("boolean")
+    def possible(places: pd.Series) -> pd.Series:
+        at = places.to_numpy(np.int64)
+        return pd.Series((table[at >> 3] >> (7 - (at & 7)) & 1).astype(bool))
+
+    some = texts.where(possible(place("key")))
+    return stored(some.join(keys, "key").select("node", "text").dropDuplicates(["node"]), "held")
+
+
+def open_pairs(rows: DataFrame, sets: DataFrame, least: float = LEAST, block: int = BLOCK) -> DataFrame:
+    """Pairs ``a``, ``b`` of different ``root`` that share a ``key`` and may have similarity ``least`` or more.
+
+    ``rows`` has ``key``, ``node`` and ``root``, ``sets`` a node's ``size`` and
+    ``odd``. What is left out is certainly below: sizes too different, or more
+    bits of the parities differ than members of similar sets can.
+    """
+
+    def compare(rows: dict[str, np.ndarray]) -> dict[str, np.ndarray] | None:
+        node, root, size, chunk = (rows[name] for name in ("node", "root", "size", "_c"))
+        both = size[:, None] + size[None, :]
+        most = both - 2 * np.ceil(least / (1 + least) * both - 1e-9).astype(np.int64)
+        near = (root[:, None] != root[None, :]) & (node[:, None] < node[None, :])
+        near &= np.minimum(size[:, None], size[None, :]) >= least * np.maximum(size[:, None], size[None, :]) - 1e-9
+        if rows["_i"][0] != rows["_j"][0]:
+            near &= chunk[:, None] != chunk[None, :]
+        a, b = near.nonzero()
+        keep = differing(rows["odd"], a, b) <= most[a, b]
+        return {"a": node[a[keep]], "b": node[b[keep]]} if keep.any() else None
+
+    dealt = in_blocks(rows, "key", F.col("node"), block).join(sets, "node")
+    return by_runs(dealt, ["key", "_i", "_j"], compare, "a long, b long").distinct()
+
+
+def shared_keys(keyed: DataFrame, roots: DataFrame) -> DataFrame:
+    """Stored rows ``key``, ``node``, ``root`` of those keys that sets of two roots have, with how many in ``n``."""
+    met = keyed.groupBy("key").agg(F.min("node").alias("_low"), F.max("node").alias("_high")).where("_low <> _high")
+    rows = stored(keyed.join(met.select("key"), "key").distinct().join(roots.select("node", "root"), "node"), "met")
+    held = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("_low"), F.max("root").alias("_high"))
+    return stored(rows.join(held.where("_low <> _high").select("key", "n"), "key"), "shared")
+
+
+def missed(
+    prints: DataFrame, nodes: DataFrame, roots: DataFrame, texts: DataFrame, least: float = LEAST, block: int = BLOCK,
+    most_of_key: int = MOST_OF_KEY,
+) -> DataFrame:
+    """All links between sets of different groups, stored: edges ``a``, ``b`` of similarity ``least`` or more.
+
+    ``prints`` has the columns of ``with_sketches``, ``roots`` the group
+    (``root``) of each ``node`` so far. A pair of similar sets shares the key of
+    a first member, whatever the order of members, so none is missed. Members of
+    a passage that many texts have would bring all of these together; so frequent
+    keys move to the end of the order, and the texts that had them among
+    their first members take others instead. Where a text has no others, the
+    key's pairs are compared in blocks all the same.
+    """
+    keyed = prints.select("node", F.explode("firsts").alias("key"))
+    shared = shared_keys(keyed, roots)
+    late = np.zeros(0, np.int32)
+    for _ in range(3):
+        often = shared.where(F.col("n") > most_of_key).select("key", "n").distinct()
+        found = often.orderBy(F.desc("n"), "key").limit(MOST_KEYS - len(late)).toPandas()["key"].to_numpy(np.int32)
+        if not len(np.setdiff1d(found, late)):
+            break
+        late = np.union1d(late, found)
+        keyed = moved(prints, nodes, texts, late, least)
+        shared = shared_keys(keyed, roots)
+    sets = prints.join(shared.select("node").distinct(), "node", "left_semi").select("node", "size", "odd")
+    pairs = stored(open_pairs(shared.select("key", "node", "root"), sets.dropDuplicates(["node"]), least, block), "open")
+    return checked(pairs, nodes, texts, least)
+
+
+def moved(prints: DataFrame, nodes: DataFrame, texts: DataFrame, late: np.ndarray, least: float) -> DataFrame:
+    """Rows ``node``, ``key`` of first members in the order that has the keys ``late`` at its end."""
+
+    @F.pandas_udf("boolean")
+    def affected(lists: pd.Series) -> pd.Series:
+        return pd.Series([bool(np.isin(keys, late).any()) for keys in lists], dtype=bool)
+
+    @F.pandas_udf("array<int>")
+    def others(found: pd.Series) -> pd.Series:
+        return pd.Series([first_members(shingles(text), least, late) for text in found])
+
+    is_affected = affected("firsts")
+    held = fetched(prints.where(is_affected).select("node").distinct(), nodes, texts)
+    new = stored(held.select("node", others(F.col("text").cast("binary")).alias("firsts")), "moved")
+    same = prints.where(~is_affected).select("node", "firsts")
+    return same.union(new).select("node", F.explode("firsts").alias("key"))

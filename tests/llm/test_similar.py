@@ -114,3 +114,45 @@ def test_sketch_in_parts_is_the_same(monkeypatch):
     monkeypatch.setattr(similar, "_AT_ONCE", 7)
     for a, b in zip(whole, similar.sketch(hashes), strict=True):
         assert np.array_equal(a, b)
+
+
+
+def test_a_failed_edge_of_the_forest_hides_no_link(spark, monkeypatch):
+    """Sketches that say nothing: the forest is any tree, most of its edges fail, and links are elsewhere."""
+    plain = similar.sketch
+
+    def blunt(hashes):
+        name, print_, bits, keys = plain(hashes)
+        return name, print_, np.zeros_like(bits), keys
+
+    monkeypatch.setattr(similar, "sketch", blunt)
+    texts = made(seed=11)
+    assert kept(spark, texts) == sorted(set(components(len(texts), pairs(texts))))
+
+
+def test_links_that_no_band_finds(spark, monkeypatch):
+    """Without any candidate of the sketches every link comes from first members."""
+    monkeypatch.setattr(similar, "candidates", lambda nodes, keys, block=None: nodes.selectExpr("node a", "node b").limit(0))
+    texts = made(seed=12)
+    expected = sorted(set(components(len(texts), pairs(texts))))
+    assert kept(spark, texts) == expected
+    # Keys of more than three sets move to the end of the order.
+    monkeypatch.setattr(similar.missed, "__defaults__", (similar.LEAST, 4, 3))
+    assert kept(spark, texts) == expected
+
+
+def test_first_members_and_parities_lose_no_similar_pair(monkeypatch):
+    random = np.random.default_rng(4)
+    monkeypatch.setattr(similar, "_PARITIES", 64)
+    for _ in range(300):
+        a = np.unique(random.integers(0, 1 << 63, random.integers(1, 120), np.uint64))
+        drop = random.integers(0, len(a) // 5 + 1)
+        b = np.unique(np.concatenate([random.permutation(a)[drop:], random.integers(0, 1 << 63, random.integers(0, 12), np.uint64)]))
+        late = np.unique((random.permutation(a)[: len(a) // 2] >> np.uint64(32)).astype(np.uint32).view(np.int32))
+        odd = np.array([similar.parities(a), similar.parities(b)], object)
+        assert similar.differing(odd, np.array([0]), np.array([1]))[0] <= len(np.setxor1d(a, b))
+        for least in (0.5, 0.8, 1.0):
+            if len(a) and len(b) and similar.jaccard(a, b) >= least:
+                for order in (None, late):
+                    firsts = [similar.first_members(x, least, order) for x in (a, b)]
+                    assert len(np.intersect1d(*firsts))
