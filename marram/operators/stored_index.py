@@ -84,6 +84,12 @@ def _word_id(part: Column, place: Column) -> Column:
     return F.shiftleft(part.cast("bigint"), PART_BITS) + place
 
 
+def _kept(rows: DataFrame, path: str) -> DataFrame:
+    """``rows`` written to ``path`` and read back."""
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def store(folder: str, rows: DataFrame, postings_per_block: int = POSTINGS_PER_BLOCK) -> StoredIndex:
     """Writes postings ``word, doc_id, line_id, pos, n`` to ``folder``, which must be new.
 
@@ -96,8 +102,10 @@ def store(folder: str, rows: DataFrame, postings_per_block: int = POSTINGS_PER_B
     frequent word is many blocks. An empty table gives an empty index.
     """
     spark = rows.sparkSession
+    # Postings are needed several times; they are made once.
+    rows = _kept(rows, f"{folder}/postings")
     words = _numbered_words(rows, folder)
-    _dictionary(words).repartitionByRange("first_word").sortWithinPartitions("first_word").write.options(
+    _kept(_dictionary(words), f"{folder}/listed").repartitionByRange("first_word").sortWithinPartitions("first_word").write.options(
         **_WRITE
     ).parquet(f"{folder}/dictionary")
     span = rows.agg((F.max("doc_id") - F.min("doc_id") + 1).cast("double")).scalar()
@@ -130,6 +138,8 @@ def store(folder: str, rows: DataFrame, postings_per_block: int = POSTINGS_PER_B
         F.col("p.n").alias("n"),
     )
     order = ["word_id", "first_doc", "first_line"]
+    # Stored before they are dealt out, as ranges are told from a first pass.
+    coded = _kept(coded, f"{folder}/coded")
     coded.repartitionByRange(*order).sortWithinPartitions(*order).write.options(**_WRITE).parquet(f"{folder}/blocks")
     return open_index(spark, folder)
 
@@ -157,12 +167,13 @@ def words_of(dictionary: DataFrame) -> DataFrame:
     return each.select("w.word", (F.col("word_id") + F.col("at")).alias("word_id"), "w.n_lines", "w.n")
 
 
-def postings_of(blocks: DataFrame) -> DataFrame:
-    """``word_id, doc_id, line_id, pos, n`` of blocks of postings."""
+def postings_of(blocks: DataFrame, *more: str) -> DataFrame:
+    """``word_id, doc_id, line_id, pos, n`` of blocks of postings, and their columns ``more``."""
     each = blocks.select(
-        "word_id", "first_doc", "first_line", F.inline(F.arrays_zip("docs", "lines", "pos", "n"))
+        *more, "word_id", "first_doc", "first_line", F.inline(F.arrays_zip("docs", "lines", "pos", "n"))
     )
     return each.select(
+        *more,
         "word_id",
         (F.col("first_doc") + F.col("docs")).alias("doc_id"),
         (F.col("first_line") + F.col("lines")).alias("line_id"),
@@ -174,7 +185,8 @@ def postings_of(blocks: DataFrame) -> DataFrame:
 def all_postings(index: StoredIndex) -> DataFrame:
     """The postings that were stored."""
     words = words_of(index.dictionary).select("word", "word_id")
-    found = lookup_join(postings_of(index.blocks), words, "word_id")
+    # Blocks meet their word before they become postings; a frequent word's are many and are split.
+    found = postings_of(lookup_join(index.blocks, words, "word_id"), "word")
     return found.select("word", "doc_id", "line_id", "pos", "n")
 
 

@@ -75,3 +75,21 @@ def test_odd_words_and_an_empty_table(spark, tmp_path):
         assert rows(stored_index.lookup(found, row[0])) == [row]
     empty = stored_index.store(str(tmp_path / "empty"), spark.createDataFrame([], SCHEMA))
     assert rows(stored_index.all_postings(empty)) == rows(stored_index.lookup(empty, "a")) == []
+
+
+def test_postings_are_made_once(spark, tmp_path):
+    """Storing needs them for totals, the span, frequent words and blocks, and reads them back for these."""
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("int")
+    def counted(pos):
+        made.add(1)
+        return pos
+
+    rows = spark.createDataFrame(
+        [(word, doc, line, 0, 1) for word in "abc" for doc in range(5) for line in range(2)],
+        "word string, doc_id long, line_id long, pos int, n long",
+    )
+    stored = stored_index.store(str(tmp_path / "index"), rows.withColumn("pos", counted("pos")))
+    assert sorted(stored_index.all_postings(stored).collect()) == sorted(rows.collect())
+    assert made.value == rows.count()
