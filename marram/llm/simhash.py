@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marram.llm import similar
-from marram.llm.common import by_runs, components, in_blocks, local_links, stored, whole_row
+from marram.llm.common import by_runs, components, in_blocks, local_links, small_batches, stored, whole_row
 
 SEED = 42
 SHINGLE = 3
@@ -207,7 +207,8 @@ def first_of_each(
     key = F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("same"))
     keyed = docs.select(whole_row(docs).alias("row"), key.alias("key"), F.col(text_col).alias("text"))
     slim = keyed.select("key", "text")
-    prints = stored(similar.with_sketches(slim, "text", least).withColumn("id", F.col("key.id")), "prints")
+    with small_batches(docs.sparkSession):
+        prints = stored(similar.with_sketches(slim, "text", least).withColumn("id", F.col("key.id")), "prints")
     told = [F.first(name).alias(name) for name in ("fp", "b0", "b1", "bands")]
     nodes = stored(prints.groupBy("node").agg(F.min("id").alias("id"), F.min("key").alias("key"), *told), "nodes")
     near = similar.links(nodes, slim, golay_keys, least)

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marram.llm.common import by_runs, in_blocks, stored
+from marram.llm.common import by_runs, in_blocks, small_batches, stored
 
 SEED = 42
 WORDS = 5
@@ -41,6 +41,8 @@ _PARITIES = 512
 # Texts are fetched through a table of so many bits.
 _FETCH_BITS = 1 << 22
 _AT_ONCE = 2048
+# A block is compared in strips of so many of its rows, whose matrices take a few MB.
+STRIP = 256
 _FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, ORDERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -166,6 +168,26 @@ def forest(cost: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     return np.array(a, np.int64), np.array(b, np.int64)
 
 
+def cheapest_edges(rows: dict[str, np.ndarray]) -> dict[str, np.ndarray] | None:
+    """Edges of a cheapest forest over a block of ``node``, ``b0`` and ``b1``; of two chunks only those between them."""
+    order = rows["node"].argsort()
+    node, b0, b1, chunk = (rows[name][order] for name in ("node", "b0", "b1", "_c"))
+    cost = np.zeros((len(node), len(node)), np.int16)
+    cross = rows["_i"][0] != rows["_j"][0]
+    for start in range(0, len(node), STRIP):
+        one = slice(start, start + STRIP)
+        for bits in (b0.view(np.uint64), b1.view(np.uint64)):
+            cost[one] += np.bitwise_count(bits[one, None] ^ bits[None, :])
+        if cross:
+            cost[one][(chunk[one, None] == chunk[None, :]) & (cost[one] <= MOST_BITS)] = -1
+    a, b = forest(cost, MOST_BITS)
+    keep = chunk[a] != chunk[b] if cross else np.ones(len(a), bool)
+    if not keep.any():
+        return None
+    a, b = node[a[keep]], node[b[keep]]
+    return {"a": np.minimum(a, b), "b": np.maximum(a, b)}
+
+
 def candidates(
     nodes: DataFrame, more_keys: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]], block: int = BLOCK
 ) -> DataFrame:
@@ -186,25 +208,9 @@ def candidates(
             out["key"] = np.concatenate([keys, bands])
             yield out
 
-    def compare(rows: dict[str, np.ndarray]) -> dict[str, np.ndarray] | None:
-        order = rows["node"].argsort()
-        node, b0, b1, chunk = (rows[name][order] for name in ("node", "b0", "b1", "_c"))
-        cost = np.zeros((len(node), len(node)), np.int16)
-        for bits in (b0.view(np.uint64), b1.view(np.uint64)):
-            cost += np.bitwise_count(bits[:, None] ^ bits[None, :])
-        cross = rows["_i"][0] != rows["_j"][0]
-        if cross:
-            cost[(chunk[:, None] == chunk[None, :]) & (cost <= MOST_BITS)] = -1
-        a, b = forest(cost, MOST_BITS)
-        keep = chunk[a] != chunk[b] if cross else np.ones(len(a), bool)
-        if not keep.any():
-            return None
-        a, b = node[a[keep]], node[b[keep]]
-        return {"a": np.minimum(a, b), "b": np.maximum(a, b)}
-
     keyed = nodes.mapInPandas(expand, "node long, b0 long, b1 long, key long").select("key", "node", "b0", "b1")
     dealt = in_blocks(keyed, "key", F.col("node"), block)
-    return by_runs(dealt, ["key", "_i", "_j"], compare, "a long, b long").where("a <> b").distinct()
+    return by_runs(dealt, ["key", "_i", "_j"], cheapest_edges, "a long, b long").where("a <> b").distinct()
 
 
 def verified(edges: DataFrame, texts: DataFrame, least: float = LEAST) -> DataFrame:
@@ -235,7 +241,9 @@ def links(nodes: DataFrame, texts: DataFrame, more_keys, least: float = LEAST, b
 def checked(edges: DataFrame, nodes: DataFrame, texts: DataFrame, least: float = LEAST) -> DataFrame:
     """``verified`` edges, stored; texts of their ends are fetched."""
     ends = edges.select(F.col("a").alias("node")).union(edges.select(F.col("b").alias("node"))).distinct()
-    return stored(verified(edges, fetched(ends, nodes, texts), least), "verified")
+    held = fetched(ends, nodes, texts)
+    with small_batches(edges.sparkSession):
+        return stored(verified(edges, held, least), "verified")
 
 
 def fetched(wanted: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
@@ -261,6 +269,26 @@ def fetched(wanted: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
     return stored(some.join(keys, "key").select("node", "text").dropDuplicates(["node"]), "held")
 
 
+def open_in_block(rows: dict[str, np.ndarray], least: float = LEAST) -> dict[str, np.ndarray] | None:
+    """The pairs of ``open_pairs`` in one block; of two chunks only those between them."""
+    node, root, size, chunk = (rows[name] for name in ("node", "root", "size", "_c"))
+    cross = rows["_i"][0] != rows["_j"][0]
+    found = []
+    for start in range(0, len(node), STRIP):
+        one = slice(start, start + STRIP)
+        both = size[one, None] + size[None, :]
+        most = both - 2 * np.ceil(least / (1 + least) * both - 1e-9).astype(np.int64)
+        near = (root[one, None] != root[None, :]) & (node[one, None] < node[None, :])
+        near &= np.minimum(size[one, None], size[None, :]) >= least * np.maximum(size[one, None], size[None, :]) - 1e-9
+        if cross:
+            near &= chunk[one, None] != chunk[None, :]
+        a, b = near.nonzero()
+        keep = differing(rows["odd"], a + start, b) <= most[a, b]
+        found.append((node[a[keep] + start], node[b[keep]]))
+    a, b = (np.concatenate(side) for side in zip(*found, strict=True))
+    return {"a": a, "b": b} if len(a) else None
+
+
 def open_pairs(rows: DataFrame, sets: DataFrame, least: float = LEAST, block: int = BLOCK) -> DataFrame:
     """Pairs ``a``, ``b`` of different ``root`` that share a ``key`` and may have similarity ``least`` or more.
 
@@ -269,17 +297,8 @@ def open_pairs(rows: DataFrame, sets: DataFrame, least: float = LEAST, block: in
     bits of the parities differ than members of similar sets can.
     """
 
-    def compare(rows: dict[str, np.ndarray]) -> dict[str, np.ndarray] | None:
-        node, root, size, chunk = (rows[name] for name in ("node", "root", "size", "_c"))
-        both = size[:, None] + size[None, :]
-        most = both - 2 * np.ceil(least / (1 + least) * both - 1e-9).astype(np.int64)
-        near = (root[:, None] != root[None, :]) & (node[:, None] < node[None, :])
-        near &= np.minimum(size[:, None], size[None, :]) >= least * np.maximum(size[:, None], size[None, :]) - 1e-9
-        if rows["_i"][0] != rows["_j"][0]:
-            near &= chunk[:, None] != chunk[None, :]
-        a, b = near.nonzero()
-        keep = differing(rows["odd"], a, b) <= most[a, b]
-        return {"a": node[a[keep]], "b": node[b[keep]]} if keep.any() else None
+    def compare(block: dict[str, np.ndarray]) -> dict[str, np.ndarray] | None:
+        return open_in_block(block, least)
 
     dealt = in_blocks(rows, "key", F.col("node"), block).join(sets, "node")
     return by_runs(dealt, ["key", "_i", "_j"], compare, "a long, b long").distinct()
@@ -336,6 +355,7 @@ def moved(prints: DataFrame, nodes: DataFrame, texts: DataFrame, late: np.ndarra
 
     is_affected = affected("firsts")
     held = fetched(prints.where(is_affected).select("node").distinct(), nodes, texts)
-    new = stored(held.select("node", others(F.col("text").cast("binary")).alias("firsts")), "moved")
+    with small_batches(prints.sparkSession):
+        new = stored(held.select("node", others(F.col("text").cast("binary")).alias("firsts")), "moved")
     same = prints.where(~is_affected).select("node", "firsts")
     return same.union(new).select("node", F.explode("firsts").alias("key"))

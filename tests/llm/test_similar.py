@@ -156,3 +156,42 @@ def test_first_members_and_parities_lose_no_similar_pair(monkeypatch):
                 for order in (None, late):
                     firsts = [similar.first_members(x, least, order) for x in (a, b)]
                     assert len(np.intersect1d(*firsts))
+
+
+def test_a_block_of_two_chunks_is_compared_in_little_memory():
+    """2,048 sets that are nearly all alike: whole matrices of all pairs took 216 MB."""
+    import tracemalloc
+
+    random = np.random.default_rng(3)
+    n = 2 * similar.BLOCK
+    bits = random.integers(0, 2, 512).astype(bool)
+    odd = [np.packbits(bits ^ (random.random(512) < 0.01 * (i % 9))).tobytes() for i in range(n)]
+    rows = {
+        "node": random.permutation(n).astype(np.int64),
+        "root": np.arange(n) // 2,
+        "size": random.integers(95, 120, n),
+        "odd": np.array(odd, object),
+        "b0": random.integers(0, 4, n),
+        "b1": random.integers(0, 4, n),
+        "_c": np.arange(n) % 2,
+        "_i": np.zeros(n, np.int64),
+        "_j": np.ones(n, np.int64),
+    }
+    for compare, most in ((similar.open_in_block, 80), (similar.cheapest_edges, 30)):
+        tracemalloc.start()
+        found = compare(rows)
+        peak = tracemalloc.get_traced_memory()[1] / 1e6
+        tracemalloc.stop()
+        assert len(found["a"])
+        assert peak < most, (compare.__name__, peak)
+    # Strips give what all pairs at once give.
+    a, b = np.triu_indices(n, 1)
+    size, node = rows["size"], rows["node"]
+    most = size[a] + size[b] - 2 * np.ceil(0.8 / 1.8 * (size[a] + size[b]) - 1e-9).astype(np.int64)
+    near = (rows["root"][a] != rows["root"][b]) & (rows["_c"][a] != rows["_c"][b])
+    near &= np.minimum(size[a], size[b]) >= 0.8 * np.maximum(size[a], size[b]) - 1e-9
+    a, b, most = a[near], b[near], most[near]
+    keep = similar.differing(rows["odd"], a, b) <= most
+    pairs = np.sort(np.column_stack([node[a[keep]], node[b[keep]]]), axis=1)
+    got = similar.open_in_block(rows)
+    assert sorted(map(tuple, pairs.tolist())) == sorted(zip(got["a"].tolist(), got["b"].tolist(), strict=True))
