@@ -7,8 +7,11 @@ document, and totals per word.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Observation, Window, WindowSpec
 from pyspark.sql import functions as F
 
@@ -17,6 +20,8 @@ from marram.operators.skew import SHARES, with_parts
 
 LINES_PER_BLOCK = 100_000
 BLOCKS_PER_GROUP = 1_000
+# Postings that a task hands on at once.
+ROWS_PER_BATCH = 65_536
 
 
 def occurrences(lines: DataFrame, stop_words: Sequence[str] = ()) -> DataFrame:
@@ -49,38 +54,33 @@ def occurrences_without(lines: DataFrame, stop_words: DataFrame) -> DataFrame:
 def postings(lines: DataFrame, stop_words: Sequence[str] = ()) -> DataFrame:
     """``word, doc_id, line_id, pos, n``: first position and count per line.
 
-    A line is one row, so its repeats are brought together by sorting its
-    words inside the row; no shuffle is needed. Where the same document and
-    line number can stand in several rows, apply ``merge_postings``.
+    A line is one row, so its repeats are brought together within a batch of
+    lines; no shuffle is needed. Where the same document and line number can
+    stand in several rows, apply ``merge_postings``.
     """
-    pairs = F.transform(
-        text.index_tokens("line", stop_words),
-        lambda word, pos: F.struct(word.alias("word"), pos.alias("pos")),
-    )
-    ordered = lines.select("doc_id", "line_id", F.sort_array(pairs).alias("pairs"))
-    starts = F.filter(
-        F.transform(
-            "pairs",
-            lambda pair, at: F.struct(
-                pair["word"].alias("word"), pair["pos"].alias("pos"), at.alias("at")
-            ),
-        ),
-        lambda pair: (pair["at"] == 0)
-        | (pair["word"] != F.get(F.col("pairs"), pair["at"] - 1)["word"]),
-    )
-    heads = ordered.select("doc_id", "line_id", F.size("pairs").alias("size"), starts.alias("heads"))
-
-    def counted(head: Column, place: Column) -> Column:
-        following = F.coalesce(F.get(F.col("heads"), place + 1)["at"], F.col("size"))
-        return F.struct(
-            head["word"].alias("word"),
-            head["pos"].alias("pos"),
-            (following - head["at"]).cast("bigint").alias("n"),
-        )
-
-    return heads.select(
-        "doc_id", "line_id", F.inline(F.transform("heads", counted))
-    ).select("word", "doc_id", "line_id", "pos", "n")
+    told = lines.select("doc_id", "line_id", text.index_tokens("line", stop_words).alias("words"))
+
+    def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = batch.column("words")
+            lengths = pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            codes = words.flatten().dictionary_encode()
+            row = np.repeat(np.arange(len(lengths)), lengths)
+            place = row * max(1, len(codes.dictionary)) + codes.indices.to_numpy(zero_copy_only=False)
+            _, first, n = np.unique(place, return_index=True, return_counts=True)
+            pos = first - (np.cumsum(lengths) - lengths)[row[first]]
+            # Strings of a batch that repeats them may pass what one array holds.
+            for start in range(0, len(first), most):
+                part = slice(start, start + most)
+                found = [codes.dictionary.take(codes.indices.take(pa.array(first[part])))]
+                found += [batch.column(name).take(pa.array(row[first[part]])) for name in ("doc_id", "line_id")]
+                found += [pa.array(pos[part].astype(np.int32)), pa.array(n[part].astype(np.int64))]
+                yield pa.RecordBatch.from_arrays(found, names)
+
+    most, names = ROWS_PER_BATCH, ["word", "doc_id", "line_id", "pos", "n"]
+    types = [told.schema[name].dataType.simpleString() for name in ("doc_id", "line_id")]
+    schema = f"word string, doc_id {types[0]}, line_id {types[1]}, pos int, n bigint"
+    return told.mapInArrow(gathered, schema)
 
 
 def merge_postings(rows: DataFrame) -> DataFrame:

@@ -1,5 +1,5 @@
 import pytest
-from conftest import exchanges
+from conftest import exchanges, plan_of
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
@@ -244,3 +244,18 @@ def test_large_tree_keeps_words_whole_across_files(spark, tmp_path):
 def test_lines_of_a_text_column(spark):
     frame = spark.createDataFrame([(3, "a\nb")], "id bigint, body string")
     assert rows(table_lines(frame, "id", "body")) == [(3, 0, "a"), (3, 1, "b")]
+
+
+def test_postings_keep_types_and_batches_apart(spark, monkeypatch):
+    """Nulls, file names as documents, words of other scripts, more postings than one batch holds; no lambda sorts a line."""
+    frame = spark.createDataFrame(
+        [("f", 1, "b a b"), (None, 2, "a"), ("f", None, None), ("g", 3, " ., "), ("g", 4, "é z\u0000 \U0001f600 é")],
+        "doc_id string, line_id int, line string",
+    )
+    monkeypatch.setattr(index, "ROWS_PER_BATCH", 2)
+    found = index.postings(frame)
+    assert dict(found.dtypes) == {"word": "string", "doc_id": "string", "line_id": "int", "pos": "int", "n": "bigint"}
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(
+        map(tuple, index.count_occurrences(index.occurrences(frame)).collect()), key=str
+    )
+    assert "array_sort" not in plan_of(found) and "sort_array" not in plan_of(found)
