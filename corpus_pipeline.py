@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marram.llm import contamination, language, mixing, secrets, simhash
-from marram.llm.common import count_tokens, remainder, stored, whole_row
+from marram.llm.common import count_tokens, remainder, stored, whole_row, work_tables
 from marram.sources.tables import read_table
 
 # A text of whose n-grams the best language has a smaller share is in no language learned.
@@ -35,8 +35,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without benchmark text, or with less than a twentieth of their words."""
-    found = contamination.contamination(docs, read_table(spark, sf_dir, "benchmark"))
-    bad = stored(found.where("contaminated").select(F.col("doc_id").alias("id"), F.col("same").alias("hash")), "contaminated")
+    with work_tables(spark):
+        found = contamination.contamination(docs, read_table(spark, sf_dir, "benchmark"))
+        told = found.where("contaminated").select(F.col("doc_id").alias("id"), F.col("same").alias("hash"))
+        bad = stored(told, "contaminated", lasts=True)
     rows = docs.select(whole_row(docs).alias("row"), "doc_id", F.xxhash64("text").alias("same"))
     same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("same") == F.col("hash"))
     return rows.join(bad, same, "left_anti").select("row.*")

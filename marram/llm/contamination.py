@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marram.llm.common import stored, words
+from marram.llm.common import stored, words, work_tables
 
 WINDOW = 13
 
@@ -126,6 +126,7 @@ def phrase_matches(
             F.when(F.col("spots").isNotNull(), exact).otherwise(none).alias("hits"),
         ),
         "matches",
+        lasts=True,
     )
 
 
@@ -180,8 +181,9 @@ def contamination(
     its own text; a null id is an id like others. Items that repeat count once.
     """
     windows = stored(item_windows(items, item_id_col, item_text_col, length), "windows")
-    index = build_index(docs, id_col, text_col)
-    rows = phrase_matches(docs, index, windows, id_col, text_col)
+    with work_tables(docs.sparkSession):
+        index = build_index(docs, id_col, text_col)
+        rows = phrase_matches(docs, index, windows, id_col, text_col)
     hit = rows.where(F.size("hits") > 0)
     found = hit.select("doc", "same", F.explode(F.array_distinct("hits.phrase")).alias("phrase"))
     listed = (

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marram.llm import similar
-from marram.llm.common import by_runs, components, in_blocks, local_links, small_batches, stored, whole_row
+from marram.llm.common import by_runs, components, in_blocks, local_links, small_batches, stored, whole_row, work_tables
 
 SEED = 42
 SHINGLE = 3
@@ -182,9 +182,31 @@ def golay_keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def rooted_nodes(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """``node``, ``id`` and ``root`` (one per connected part) of ``nodes``, stored."""
-    found = components(edges).withColumnRenamed("node", "linked")
-    root = F.coalesce("component", "node").alias("root")
-    return stored(nodes.join(found, F.col("node") == F.col("linked"), "left").select("node", "id", root), "roots")
+    with work_tables(nodes.sparkSession):
+        found = components(edges).withColumnRenamed("node", "linked")
+        root = F.coalesce("component", "node").alias("root")
+        rooted = nodes.join(found, F.col("node") == F.col("linked"), "left").select("node", "id", root)
+        return stored(rooted, "roots", lasts=True)
+
+
+def stays(texts: DataFrame, least: float = similar.LEAST) -> DataFrame:
+    """Of ``texts`` (``key`` of ``id`` and ``same``, ``text``) the keys to keep, as ``kept``, and how many rows have each, ``n``.
+
+    One of each group of similar texts, of those with its smallest id; read from stored tables.
+    """
+    with small_batches(texts.sparkSession):
+        prints = stored(similar.with_sketches(texts, "text", least).withColumn("id", F.col("key.id")), "prints")
+    told = [F.first(name).alias(name) for name in ("fp", "b0", "b1", "bands")]
+    nodes = stored(prints.groupBy("node").agg(F.min("id").alias("id"), F.min("key").alias("key"), *told), "nodes")
+    near = similar.links(nodes, texts, golay_keys, least)
+    missed = similar.missed(prints, nodes, rooted_nodes(nodes, near), texts, least)
+    rooted = rooted_nodes(nodes, near.union(missed))
+    firsts = stored(rooted.groupBy("root").agg(F.min("id").alias("first_id")), "firsts")
+    grouped = rooted.select("node", "root").join(firsts, "root")
+    first = prints.select("key", "id", "node").join(grouped, "node").where(F.col("id").eqNullSafe(F.col("first_id")))
+    stay = first.groupBy("root").agg(F.min("key").alias("key")).select("key", F.lit(True).alias("stays"))
+    times = prints.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    return times.join(stay, "key").select(F.col("key").alias("kept"), "n")
 
 
 def first_of_each(
@@ -206,21 +228,9 @@ def first_of_each(
     """
     key = F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("same"))
     keyed = docs.select(whole_row(docs).alias("row"), key.alias("key"), F.col(text_col).alias("text"))
-    slim = keyed.select("key", "text")
-    with small_batches(docs.sparkSession):
-        prints = stored(similar.with_sketches(slim, "text", least).withColumn("id", F.col("key.id")), "prints")
-    told = [F.first(name).alias(name) for name in ("fp", "b0", "b1", "bands")]
-    nodes = stored(prints.groupBy("node").agg(F.min("id").alias("id"), F.min("key").alias("key"), *told), "nodes")
-    near = similar.links(nodes, slim, golay_keys, least)
-    missed = similar.missed(prints, nodes, rooted_nodes(nodes, near), slim, least)
-    rooted = rooted_nodes(nodes, near.union(missed))
-    firsts = stored(rooted.groupBy("root").agg(F.min("id").alias("first_id")), "firsts")
-    grouped = rooted.select("node", "root").join(firsts, "root")
-    first = prints.select("key", "id", "node").join(grouped, "node").where(F.col("id").eqNullSafe(F.col("first_id")))
-    stay = first.groupBy("root").agg(F.min("key").alias("key")).select("key", F.lit(True).alias("stays"))
-    times = prints.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     # One row per key that stays; rows move once, joined without a broadcast, as this table grows with the documents.
-    told = stored(times.join(stay, "key").select(F.col("key").alias("kept"), "n"), "stay").hint("merge")
+    with work_tables(docs.sparkSession):
+        told = stored(stays(keyed.select("key", "text"), least), "stay", lasts=True).hint("merge")
     met = keyed.select("row", "key").join(told, F.col("key").eqNullSafe(F.col("kept")))
     one = F.row_number().over(Window.partitionBy("key").orderBy("key"))
     single = met.where("n = 1").select("row.*")

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marram.llm.common import by_runs, in_blocks, small_batches, stored
+from marram.llm.common import by_runs, in_blocks, small_batches, stored, work_tables
 
 SEED = 42
 WORDS = 5
@@ -35,12 +35,14 @@ BANDS, BAND_ROWS = 12, 3
 BLOCK = 1024
 # A key of the exact step with more sets than this moves to the end of the order, if
 # there are not more such keys than a broadcast can hold.
-MOST_OF_KEY, MOST_KEYS = 4096, 1 << 20
+MOST_OF_KEY, MOST_KEYS = 128, 1 << 20
 # Parities a set has at least; larger sets have more, a power of two.
 _PARITIES = 512
 # Texts are fetched through a table of so many bits.
 _FETCH_BITS = 1 << 22
 _AT_ONCE = 2048
+# What the exact step has of each set.
+_FACTS = ("node", "root", "size", "n_keys")
 # A block is compared in strips of so many of its rows, whose matrices take a few MB.
 STRIP = 256
 _FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, ORDERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -67,9 +69,12 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both) if len(a) + len(b) else 1.0
 
 
+def name_of(hashes: np.ndarray) -> int:
+    return xxhash.xxh64_intdigest(hashes.tobytes(), SEED)
+
+
 def sketch(hashes: np.ndarray) -> tuple[int, int, np.ndarray, np.ndarray]:
     """Name of a set, its 64-bit majority fingerprint, the words of its bit sketch and its band keys."""
-    name = xxhash.xxh64_intdigest(hashes.tobytes(), SEED)
     ones = np.zeros(64, np.int64)
     least = np.full(ORDERS, np.iinfo(np.uint64).max, np.uint64)
     for start in range(0, len(hashes), _AT_ONCE):
@@ -83,7 +88,7 @@ def sketch(hashes: np.ndarray) -> tuple[int, int, np.ndarray, np.ndarray]:
     for column in rows.T:
         keys = (keys ^ column) * _MIX
         keys ^= keys >> np.uint64(29)
-    return name, print_, bits, keys | np.uint64(1 << 63)
+    return name_of(hashes), print_, bits, keys | np.uint64(1 << 63)
 
 
 def first_members(hashes: np.ndarray, least: float = LEAST, late: np.ndarray | None = None) -> np.ndarray:
@@ -240,10 +245,11 @@ def links(nodes: DataFrame, texts: DataFrame, more_keys, least: float = LEAST, b
 
 def checked(edges: DataFrame, nodes: DataFrame, texts: DataFrame, least: float = LEAST) -> DataFrame:
     """``verified`` edges, stored; texts of their ends are fetched."""
-    ends = edges.select(F.col("a").alias("node")).union(edges.select(F.col("b").alias("node"))).distinct()
-    held = fetched(ends, nodes, texts)
-    with small_batches(edges.sparkSession):
-        return stored(verified(edges, held, least), "verified")
+    with work_tables(edges.sparkSession):
+        ends = edges.select(F.col("a").alias("node")).union(edges.select(F.col("b").alias("node"))).distinct()
+        held = fetched(ends, nodes, texts)
+        with small_batches(edges.sparkSession):
+            return stored(verified(edges, held, least), "verified", lasts=True)
 
 
 def fetched(wanted: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
@@ -252,6 +258,12 @@ def fetched(wanted: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
     A table of bits of fixed size tells which texts need not move to the join.
     """
     keys = stored(nodes.select("node", "key").join(wanted, "node"), "wanted")
+    some = texts.where(possible(keys))
+    return stored(some.join(keys, "key").select("node", "text").dropDuplicates(["node"]), "held")
+
+
+def possible(keys: DataFrame) -> Column:
+    """False only where ``key`` is not in ``keys``, by a table of bits of fixed size."""
 
     def place(key: str) -> Column:
         return F.pmod(F.xxhash64(key), F.lit(_FETCH_BITS)).cast("int")
@@ -261,12 +273,11 @@ def fetched(wanted: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
     table = np.packbits(bits)
 
     @F.pandas_udf("boolean")
-    def possible(places: pd.Series) -> pd.Series:
+    def in_table(places: pd.Series) -> pd.Series:
         at = places.to_numpy(np.int64)
         return pd.Series((table[at >> 3] >> (7 - (at & 7)) & 1).astype(bool))
 
-    some = texts.where(possible(place("key")))
-    return stored(some.join(keys, "key").select("node", "text").dropDuplicates(["node"]), "held")
+    return in_table(place("key"))
 
 
 def open_in_block(rows: dict[str, np.ndarray], least: float = LEAST) -> dict[str, np.ndarray] | None:
@@ -304,12 +315,52 @@ def open_pairs(rows: DataFrame, sets: DataFrame, least: float = LEAST, block: in
     return by_runs(dealt, ["key", "_i", "_j"], compare, "a long, b long").distinct()
 
 
-def shared_keys(keyed: DataFrame, roots: DataFrame) -> DataFrame:
-    """Stored rows ``key``, ``node``, ``root`` of those keys that sets of two roots have, with how many in ``n``."""
-    met = keyed.groupBy("key").agg(F.min("node").alias("_low"), F.max("node").alias("_high")).where("_low <> _high")
-    rows = stored(keyed.join(met.select("key"), "key").distinct().join(roots.select("node", "root"), "node"), "met")
-    held = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("_low"), F.max("root").alias("_high"))
-    return stored(rows.join(held.where("_low <> _high").select("key", "n"), "key"), "shared")
+def common_pairs(rows: DataFrame, least: float = LEAST) -> DataFrame:
+    """Pairs ``a``, ``b`` of different ``root`` that share so many keys that they may have similarity ``least`` or more.
+
+    ``rows`` has ``key``, ``node``, ``root``, ``size`` and ``n_keys``, how many of the
+    keys of the node's first members are among ``key`` if another set has them. Of two sets one has
+    its last first member no later than the other. What both share up to there are
+    first members of both, and what they share behind it is not more than the rest of this set.
+    """
+    low, high = (rows.select("key", *[F.col(name).alias(f"{name}_{side}") for name in _FACTS]) for side in "ab")
+    both = F.col("size_a") + F.col("size_b")
+    needed = F.ceil(F.lit(least / (1 + least)) * both - F.lit(1e-9))
+    rest = F.greatest(F.col("size_a") - F.col("n_keys_a"), F.col("size_b") - F.col("n_keys_b"))
+    alike = F.least("size_a", "size_b") >= F.lit(least) * F.greatest("size_a", "size_b") - F.lit(1e-9)
+    met = low.join(high, "key").where("node_a < node_b and root_a <> root_b").where(alike)
+    counted = met.groupBy(F.col("node_a").alias("a"), F.col("node_b").alias("b")).agg(
+        F.count(F.lit(1)).alias("n"), F.min(needed - rest).alias("needed")
+    )
+    return counted.where("n >= needed").select("a", "b")
+
+
+def by_parities(pairs: DataFrame, prints: DataFrame, least: float = LEAST) -> DataFrame:
+    """The ``pairs`` whose parities do not differ in more bits than those of similar sets can."""
+
+    @F.pandas_udf("boolean")
+    def near(size_a: pd.Series, odd_a: pd.Series, size_b: pd.Series, odd_b: pd.Series) -> pd.Series:
+        both, places = (size_a + size_b).to_numpy(), np.arange(len(odd_a))
+        most = both - 2 * np.ceil(least / (1 + least) * both - 1e-9).astype(np.int64)
+        odd = np.concatenate([odd_a.to_numpy(), odd_b.to_numpy()])
+        return pd.Series(differing(odd, places, places + len(places)) <= most)
+
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    sets = prints.join(ends, "node", "left_semi").select("node", "size", "odd").dropDuplicates(["node"])
+    sides = [sets.toDF(side, f"size_{side}", f"odd_{side}") for side in "ab"]
+    met = pairs.join(sides[0], "a").join(sides[1], "b")
+    return met.where(near("size_a", "odd_a", "size_b", "odd_b")).select("a", "b")
+
+
+def shared_keys(keyed: DataFrame, facts: DataFrame) -> DataFrame:
+    """Stored rows ``key``, ``n`` and those of ``facts``, of those keys that sets of two roots have; ``n`` sets have the key."""
+    with work_tables(keyed.sparkSession):
+        # Dealt out by key once, for the aggregate and for the join.
+        dealt = keyed.where("key is not null").repartition("key")
+        met = dealt.groupBy("key").agg(F.min("node").alias("_low"), F.max("node").alias("_high")).where("_low <> _high")
+        rows = stored(dealt.join(met.select("key"), "key").distinct().join(facts, "node"), "met")
+        held = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("_low"), F.max("root").alias("_high"))
+        return stored(rows.join(held.where("_low <> _high").select("key", "n"), "key"), "shared", lasts=True)
 
 
 def missed(
@@ -326,36 +377,54 @@ def missed(
     their first members take others instead. Where a text has no others, the
     key's pairs are compared in blocks all the same.
     """
-    keyed = prints.select("node", F.explode("firsts").alias("key"))
-    shared = shared_keys(keyed, roots)
-    late = np.zeros(0, np.int32)
-    for _ in range(3):
+    with work_tables(prints.sparkSession):
+        firsts = prints.select("node", "size", "firsts")
+        shared = shared_keys(*keys_and_facts(firsts, roots))
         often = shared.where(F.col("n") > most_of_key).select("key", "n").distinct()
-        found = often.orderBy(F.desc("n"), "key").limit(MOST_KEYS - len(late)).toPandas()["key"].to_numpy(np.int32)
-        if not len(np.setdiff1d(found, late)):
-            break
-        late = np.union1d(late, found)
-        keyed = moved(prints, nodes, texts, late, least)
-        shared = shared_keys(keyed, roots)
-    sets = prints.join(shared.select("node").distinct(), "node", "left_semi").select("node", "size", "odd")
-    pairs = stored(open_pairs(shared.select("key", "node", "root"), sets.dropDuplicates(["node"]), least, block), "open")
-    return checked(pairs, nodes, texts, least)
+        late = np.sort(often.orderBy(F.desc("n"), "key").limit(MOST_KEYS).toPandas()["key"].to_numpy(np.int32))
+        if len(late):
+            shared = shared_keys(*keys_and_facts(moved(prints, nodes, texts, late, least), roots))
+        # A node's keys that too many have are compared by parities; they count as not compared otherwise.
+        many = shared.where(F.col("n") > most_of_key)
+        told = many.groupBy("node").agg(F.count(F.lit(1)).alias("n_many"))
+        few = shared.where(F.col("n") <= most_of_key).join(told, "node", "left")
+        few = few.withColumn("n_keys", F.col("n_keys") - F.coalesce("n_many", F.lit(0)))
+        sets = prints.join(many.select("node").distinct(), "node", "left_semi").select("node", "size", "odd")
+        blocks = open_pairs(many.select("key", "node", "root"), sets.dropDuplicates(["node"]), least, block)
+        common = by_parities(stored(common_pairs(few, least), "common"), prints, least)
+        pairs = stored(common.union(blocks).distinct(), "open")
+        return stored(checked(pairs, nodes, texts, least), "missed", lasts=True)
+
+
+def keys_and_facts(firsts: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of ``node``, ``size`` and ``firsts``: a row per ``node`` and ``key``, and a row per node with ``root``, ``size``, ``n_keys``."""
+    keyed = firsts.select("node", F.explode("firsts").alias("key"))
+    each = firsts.select("node", "size", F.size("firsts").alias("n_keys")).dropDuplicates(["node"])
+    return keyed, stored(each.join(roots.select("node", "root"), "node").select(*_FACTS), "facts")
 
 
 def moved(prints: DataFrame, nodes: DataFrame, texts: DataFrame, late: np.ndarray, least: float) -> DataFrame:
-    """Rows ``node``, ``key`` of first members in the order that has the keys ``late`` at its end."""
+    """``node``, ``size`` and ``firsts`` in the order that has the keys ``late`` at its end, from a stored table.
+
+    One text of each set that had such keys is read again where it stands; a few others
+    that the table of bits lets through give what they had.
+    """
 
     @F.pandas_udf("boolean")
     def affected(lists: pd.Series) -> pd.Series:
         return pd.Series([bool(np.isin(keys, late).any()) for keys in lists], dtype=bool)
 
-    @F.pandas_udf("array<int>")
-    def others(found: pd.Series) -> pd.Series:
-        return pd.Series([first_members(shingles(text), least, late) for text in found])
+    @F.pandas_udf("node long, size long, firsts array<int>")
+    def others(found: pd.Series) -> pd.DataFrame:
+        sets = [shingles(text) for text in found]
+        names = np.array([name_of(hashes) for hashes in sets], np.uint64).view(np.int64)
+        lists = [first_members(hashes, least, late) for hashes in sets]
+        return pd.DataFrame({"node": names, "size": [len(hashes) for hashes in sets], "firsts": lists})
 
     is_affected = affected("firsts")
-    held = fetched(prints.where(is_affected).select("node").distinct(), nodes, texts)
+    wanted = nodes.select("node", "key").join(prints.where(is_affected).select("node").distinct(), "node", "left_semi")
+    keys = stored(wanted.select("key"), "wanted")
     with small_batches(prints.sparkSession):
-        new = stored(held.select("node", others(F.col("text").cast("binary")).alias("firsts")), "moved")
-    same = prints.where(~is_affected).select("node", "firsts")
-    return same.union(new).select("node", F.explode("firsts").alias("key"))
+        again = texts.where(possible(keys)).select(others(F.col("text").cast("binary")).alias("told"))
+        new = stored(again.select("told.*"), "moved")
+    return prints.where(~is_affected).select("node", "size", "firsts").union(new)

@@ -195,3 +195,48 @@ def test_a_block_of_two_chunks_is_compared_in_little_memory():
     pairs = np.sort(np.column_stack([node[a[keep]], node[b[keep]]]), axis=1)
     got = similar.open_in_block(rows)
     assert sorted(map(tuple, pairs.tolist())) == sorted(zip(got["a"].tolist(), got["b"].tolist(), strict=True))
+
+
+@pytest.mark.parametrize("operator", ["near", "contaminated"])
+def test_work_tables_go_when_they_are_done(spark, tmp_path, monkeypatch, operator):
+    """A stage leaves the one small table that its result is read from."""
+    import corpus_pipeline
+
+    kept_in = tmp_path / "kept"
+    monkeypatch.setattr(common, "shared_dir", lambda session: str(kept_in))
+    texts = made(seed=13)[:40]
+    spark.createDataFrame([("i", texts[0])], "item_id string, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    if operator == "near":
+        found, left = simhash.first_of_each(docs), ["stay"]
+    else:
+        found, left = corpus_pipeline.drop_contaminated(spark, docs, str(tmp_path)), ["contaminated"]
+    assert [path.name.rpartition("-")[0] for path in kept_in.iterdir()] == left
+    assert 0 < found.count() < 40
+
+
+@pytest.mark.parametrize("least, most", [(0.5, 5), (0.8, 5), (0.8, 99), (1.0, 5)])
+def test_pairs_by_shared_keys_lose_no_similar_pair(spark, least, most):
+    """Also where some keys are common to too many sets and do not count."""
+    random = np.random.default_rng(7)
+    base = [np.unique(random.integers(0, 1 << 63, n, np.uint64)) for n in (8, 30, 90, 200)]
+    sets = []
+    for a in base:
+        for share in (0, 0.02, 0.05, 0.08, 0.1, 0.3, 0.8):
+            kept = random.permutation(a)[int(share * len(a)) :]
+            sets.append(np.unique(np.concatenate([kept, random.integers(0, 1 << 63, int(share * len(a)), np.uint64)])))
+    firsts = [set(similar.first_members(s, least).tolist()) for s in sets]
+    held = {k: sum(k in f for f in firsts) for f in firsts for k in f}
+    few = [{k for k in f if held[k] <= most} for f in firsts]
+    rows = [(k, i, i, len(sets[i]), len(f)) for i, f in enumerate(few) for k in f]
+    frame = spark.createDataFrame(rows, "key int, node long, root long, size long, n_keys int")
+    found = {(r.a, r.b) for r in similar.common_pairs(frame, least).collect()}
+    sharing = {(i, j) for j in range(len(sets)) for i in range(j) if few[i] & few[j]}
+    alike = {(i, j) for i, j in sharing if similar.jaccard(sets[i], sets[j]) >= least}
+    assert alike <= found <= sharing
+    assert alike and (most == 5 or len(found) < len(sharing))
+    prints = spark.createDataFrame(
+        [(i, len(s), bytearray(similar.parities(s))) for i, s in enumerate(sets)], "node long, size long, odd binary"
+    )
+    pairs = spark.createDataFrame(sorted(sharing), "a long, b long")
+    assert alike <= {(r.a, r.b) for r in similar.by_parities(pairs, prints, least).collect()}
