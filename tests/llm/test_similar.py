@@ -215,7 +215,7 @@ def test_work_tables_go_when_they_are_done(spark, tmp_path, monkeypatch, operato
     assert 0 < found.count() < 40
 
 
-@pytest.mark.parametrize("least, most", [(0.5, 5), (0.8, 5), (0.8, 99), (1.0, 5)])
+@pytest.mark.parametrize("least, most", [(0.5, 5), (0.8, 5), (0.8, 99), (1.0, 9)])
 def test_pairs_by_shared_keys_lose_no_similar_pair(spark, least, most):
     """Also where some keys are common to too many sets and do not count."""
     random = np.random.default_rng(7)
@@ -234,7 +234,7 @@ def test_pairs_by_shared_keys_lose_no_similar_pair(spark, least, most):
     sharing = {(i, j) for j in range(len(sets)) for i in range(j) if few[i] & few[j]}
     alike = {(i, j) for i, j in sharing if similar.jaccard(sets[i], sets[j]) >= least}
     assert alike <= found <= sharing
-    assert alike and (most == 5 or len(found) < len(sharing))
+    assert alike and (most < 99 or len(found) < len(sharing))
     prints = spark.createDataFrame(
         [(i, len(s), bytearray(similar.parities(s))) for i, s in enumerate(sets)], "node long, size long, odd binary"
     )
