@@ -265,21 +265,32 @@ def fetched(wanted: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
 def possible(keys: DataFrame) -> Column:
     """False only where ``key`` is not in ``keys``, by a table of bits of fixed size."""
 
-    def place(key: str) -> Column:
-        return F.pmod(F.xxhash64(key), F.lit(_FETCH_BITS)).cast("int")
-
-    bits = np.zeros(_FETCH_BITS, bool)
-    bits[keys.select(place("key").alias("place")).distinct().toPandas()["place"].to_numpy(np.int64)] = True
-    table = np.packbits(bits)
+    table = bits_of(keys)
 
     @F.pandas_udf("boolean")
     def in_table(places: pd.Series) -> pd.Series:
-        at = places.to_numpy(np.int64)
-        return pd.Series((table[at >> 3] >> (7 - (at & 7)) & 1).astype(bool))
+        return pd.Series(is_set(table, places))
 
     return in_table(place("key"))
 
 
+def place(key: str) -> Column:
+    """Place of a key in the table of bits."""
+    return F.pmod(F.xxhash64(key), F.lit(_FETCH_BITS)).cast("int")
+
+
+def bits_of(keys: DataFrame) -> np.ndarray:
+    """The table of bits of each ``key`` in ``keys``, packed."""
+    bits = np.zeros(_FETCH_BITS, bool)
+    bits[keys.select(place("key").alias("place")).distinct().toPandas()["place"].to_numpy(np.int64)] = True
+    return np.packbits(bits)
+
+
+def is_set(table: np.ndarray, places: pd.Series) -> np.ndarray:
+    at = places.to_numpy(np.int64)
+    return (table[at >> 3] >> (7 - (at & 7)) & 1).astype(bool)
+
+
 def open_in_block(rows: dict[str, np.ndarray], least: float = LEAST) -> dict[str, np.ndarray] | None:
     """The pairs of ``open_pairs`` in one block; of two chunks only those between them."""
     node, root, size, chunk = (rows[name] for name in ("node", "root", "size", "_c"))
@@ -414,17 +425,19 @@ def moved(prints: DataFrame, nodes: DataFrame, texts: DataFrame, late: np.ndarra
     def affected(lists: pd.Series) -> pd.Series:
         return pd.Series([bool(np.isin(keys, late).any()) for keys in lists], dtype=bool)
 
-    @F.pandas_udf("node long, size long, firsts array<int>")
-    def others(found: pd.Series) -> pd.DataFrame:
-        sets = [shingles(text) for text in found]
-        names = np.array([name_of(hashes) for hashes in sets], np.uint64).view(np.int64)
-        lists = [first_members(hashes, least, late) for hashes in sets]
-        return pd.DataFrame({"node": names, "size": [len(hashes) for hashes in sets], "firsts": lists})
+    def others(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sets = [shingles(text) for text in batch["text"][is_set(table, batch["place"])]]
+            names = np.array([name_of(hashes) for hashes in sets], np.uint64).view(np.int64)
+            lists = [first_members(hashes, least, late) for hashes in sets]
+            sizes = np.array([len(hashes) for hashes in sets], np.int64)
+            yield pd.DataFrame({"node": names, "size": sizes, "firsts": lists})
 
     is_affected = affected("firsts")
     wanted = nodes.select("node", "key").join(prints.where(is_affected).select("node").distinct(), "node", "left_semi")
-    keys = stored(wanted.select("key"), "wanted")
+    table = bits_of(stored(wanted.select("key"), "wanted"))
     with small_batches(prints.sparkSession):
-        again = texts.where(possible(keys)).select(others(F.col("text").cast("binary")).alias("told"))
-        new = stored(again.select("told.*"), "moved")
+        # The table is read where the sets are made: two steps in Python need two workers for each task.
+        told = texts.select(place("key").alias("place"), F.col("text").cast("binary").alias("text"))
+        new = stored(told.mapInPandas(others, "node long, size long, firsts array<int>"), "moved")
     return prints.where(~is_affected).select("node", "size", "firsts").union(new)

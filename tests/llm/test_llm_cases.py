@@ -2,6 +2,7 @@
 
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -114,6 +115,22 @@ def test_contamination_of_odd_rows(spark):
     assert contamination.contamination(docs, bench.limit(0)).where("n_hit > 0").count() == 0
 
 
+def test_index_is_sorted_in_slices(spark):
+    """A task sorts the postings of a part of its rows only; all postings are there once, also of rows that repeat."""
+    chosen = np.random.default_rng(4)
+    own = [(i % 300, " ".join(chosen.choice(["a", "b", "cc"], 20))) for i in range(400)]
+    texts = [*own, *own[:50], (None, "a b a"), (7, None), (8, "")]
+    docs = common.stored(spark.createDataFrame(texts, "doc_id long, text string").coalesce(1), "docs")
+    found = contamination.build_index(docs).withColumn("file", F.input_file_name()).collect()
+    expected = Counter((i, at) for i, text in texts for at in range(len((text or "").split())))
+    assert Counter((r.doc, r.pos) for r in found) == expected
+    sizes = Counter(r.file for r in found)
+    assert len(sizes) == contamination.SLICES and 2 * max(sizes.values()) < len(found)
+    for file in sizes:
+        terms = [r.term for r in found if r.file == file]
+        assert terms == sorted(terms)
+
+
 def test_near_matches(spark):
     docs = spark.createDataFrame([(1, "red x blue y green"), (2, "red a b c d e f green blue")], "doc_id long, text string")
     index = contamination.build_index(docs)

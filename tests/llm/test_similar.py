@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from marram.llm import common, similar, simhash
 
@@ -240,3 +241,30 @@ def test_pairs_by_shared_keys_lose_no_similar_pair(spark, least, most):
     )
     pairs = spark.createDataFrame(sorted(sharing), "a long, b long")
     assert alike <= {(r.a, r.b) for r in similar.by_parities(pairs, prints, least).collect()}
+
+
+def test_sets_made_again_need_one_python_worker_a_task(spark, monkeypatch):
+    """Each stored step runs Python once in a task; what ``moved`` gives is that of all texts by the other order."""
+    texts = [*made(), None, ""]
+    rows = [((i, i), i, text) for i, text in enumerate(texts)]
+    schema = "key struct<id:long,same:long>, id long, text string"
+    table = common.stored(spark.createDataFrame(rows, schema), "texts")
+    prints = common.stored(similar.with_sketches(table, "text"), "prints")
+    nodes = prints.groupBy("node").agg(F.min("key").alias("key"))
+    sets = [similar.shingles((text or "").encode()) for text in texts]
+    late = np.unique(np.concatenate([similar.first_members(hashes)[:1] for hashes in sets[::2]]))
+    seen = []
+
+    def watched(frame, name, lasts=False):
+        plan = frame._jdf.queryExecution().sparkPlan().toString()
+        seen.append(sum(plan.count(f"{kind} ") for kind in ("ArrowEvalPython", "MapInPandas", "MapInArrow")))
+        return common.stored(frame, name, lasts)
+
+    monkeypatch.setattr(similar, "stored", watched)
+    found = similar.moved(prints, nodes, table.select("key", "text"), late, similar.LEAST).distinct().collect()
+    assert seen and max(seen) <= 1
+    expected = {
+        (int(np.uint64(similar.name_of(hashes)).view(np.int64)), len(hashes), tuple(similar.first_members(hashes, late=late)))
+        for hashes in sets
+    }
+    assert {(r.node, r.size, tuple(r.firsts)) for r in found} == expected
