@@ -196,10 +196,11 @@ def stays(texts: DataFrame, least: float = similar.LEAST) -> DataFrame:
     """
     with small_batches(texts.sparkSession):
         prints = stored(similar.with_sketches(texts, "text", least).withColumn("id", F.col("key.id")), "prints")
-    told = [F.first(name).alias(name) for name in ("fp", "b0", "b1", "bands")]
+    # What a set has is the same in each of its rows; equal texts are one row from here on.
+    told = [F.first(name).alias(name) for name in ("fp", "b0", "b1", "bands", "size", "firsts", "odd")]
     nodes = stored(prints.groupBy("node").agg(F.min("id").alias("id"), F.min("key").alias("key"), *told), "nodes")
     near = similar.links(nodes, texts, golay_keys, least)
-    missed = similar.missed(prints, nodes, rooted_nodes(nodes, near), texts, least)
+    missed = similar.missed(nodes, nodes, rooted_nodes(nodes, near), texts, least)
     rooted = rooted_nodes(nodes, near.union(missed))
     firsts = stored(rooted.groupBy("root").agg(F.min("id").alias("first_id")), "firsts")
     grouped = rooted.select("node", "root").join(firsts, "root")

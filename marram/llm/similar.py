@@ -13,7 +13,7 @@ one of the first members in any order, so none is lost.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from itertools import islice
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -40,27 +40,36 @@ MOST_OF_KEY, MOST_KEYS = 128, 1 << 20
 _PARITIES = 512
 # Texts are fetched through a table of so many bits.
 _FETCH_BITS = 1 << 22
-_AT_ONCE = 2048
+# So many members of a set are taken at once, times so many factors: their products stay in a core's cache.
+_AT_ONCE, _FACTORS_AT_ONCE = 1024, 16
 # What the exact step has of each set.
 _FACTS = ("node", "root", "size", "n_keys")
 # A block is compared in strips of so many of its rows, whose matrices take a few MB.
 STRIP = 256
 _FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, ORDERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_FINAL = np.uint64(0xD6E8FEB86659FD93)
 
 
 def shingles(text: bytes | None, size: int = WORDS) -> np.ndarray:
     """Distinct hashes of a text's shingles, in order. A-Z are lowered, words split at ASCII white space."""
     tokens = (text or b"").lower().split()
-    if not tokens:
-        return np.zeros(0, np.uint64)
-    shifted = [tokens[i:] for i in range(size)] if len(tokens) >= size else [[t] for t in tokens]
-    found = map(b" ".join, zip(*shifted, strict=False))
-    parts = []
-    for start in range(0, len(shifted[-1]), 1 << 16):
-        part = islice(found, 1 << 16)
-        parts.append(np.array([xxhash.xxh64_intdigest(s, SEED) for s in part], np.uint64))
-    return np.unique(np.concatenate(parts))
+    words = np.fromiter(map(xxhash.xxh64_intdigest, tokens, repeat(SEED)), np.uint64, len(tokens))
+    if not len(words):
+        return words
+    size = min(size, len(words))
+    n = len(words) - size + 1
+    # A shingle's hash is made of its words' hashes, so that each word is hashed once.
+    found = words[:n].copy()
+    for at in range(1, size):
+        found *= _MIX
+        found += words[at : at + n]
+    for shift in (32, 29):
+        found ^= found >> np.uint64(shift)
+        found *= _FINAL
+    found ^= found >> np.uint64(32)
+    found.sort()
+    return found[np.append(True, found[1:] != found[:-1])]
 
 
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
@@ -77,10 +86,14 @@ def sketch(hashes: np.ndarray) -> tuple[int, int, np.ndarray, np.ndarray]:
     """Name of a set, its 64-bit majority fingerprint, the words of its bit sketch and its band keys."""
     ones = np.zeros(64, np.int64)
     least = np.full(ORDERS, np.iinfo(np.uint64).max, np.uint64)
+    products = np.empty((_FACTORS_AT_ONCE, min(len(hashes), _AT_ONCE)), np.uint64)
     for start in range(0, len(hashes), _AT_ONCE):
         part = hashes[start : start + _AT_ONCE]
-        ones += np.unpackbits(part.astype(">u8").view(np.uint8)).reshape(-1, 64).sum(axis=0, dtype=np.int64)
-        np.minimum(least, (part[:, None] * _FACTORS).min(axis=0), out=least)
+        ones += np.unpackbits(part.astype(">u8").view(np.uint8)).reshape(-1, 64).sum(axis=0, dtype=np.uint16)
+        for at in range(0, ORDERS, _FACTORS_AT_ONCE):
+            some = slice(at, at + _FACTORS_AT_ONCE)
+            found = np.multiply(part, _FACTORS[some, None], out=products[:, : len(part)]).min(axis=1)
+            np.minimum(least[some], found, out=least[some])
     print_ = int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big")
     bits = np.packbits(np.bitwise_count(least) & 1).view(np.uint64)
     rows = least[: BANDS * BAND_ROWS].reshape(BANDS, BAND_ROWS)
@@ -380,7 +393,7 @@ def missed(
 ) -> DataFrame:
     """All links between sets of different groups, stored: edges ``a``, ``b`` of similarity ``least`` or more.
 
-    ``prints`` has the columns of ``with_sketches``, ``roots`` the group
+    ``prints`` has ``node``, ``size``, ``firsts`` and ``odd`` of ``with_sketches``, once for each set if possible, ``roots`` the group
     (``root``) of each ``node`` so far. A pair of similar sets shares the key of
     a first member, whatever the order of members, so none is missed. Members of
     a passage that many texts have would bring all of these together; so frequent
@@ -390,11 +403,10 @@ def missed(
     """
     with work_tables(prints.sparkSession):
         firsts = prints.select("node", "size", "firsts")
-        shared = shared_keys(*keys_and_facts(firsts, roots))
-        often = shared.where(F.col("n") > most_of_key).select("key", "n").distinct()
-        late = np.sort(often.orderBy(F.desc("n"), "key").limit(MOST_KEYS).toPandas()["key"].to_numpy(np.int32))
+        late = frequent_keys(firsts, most_of_key)
         if len(late):
-            shared = shared_keys(*keys_and_facts(moved(prints, nodes, texts, late, least), roots))
+            firsts = moved(prints, nodes, texts, late, least)
+        shared = shared_keys(*keys_and_facts(firsts, roots))
         # A node's keys that too many have are compared by parities; they count as not compared otherwise.
         many = shared.where(F.col("n") > most_of_key)
         told = many.groupBy("node").agg(F.count(F.lit(1)).alias("n_many"))
@@ -407,6 +419,16 @@ def missed(
         return stored(checked(pairs, nodes, texts, least), "missed", lasts=True)
 
 
+def frequent_keys(firsts: DataFrame, most_of_key: int = MOST_OF_KEY) -> np.ndarray:
+    """Keys of ``firsts`` with more than ``most_of_key`` sets, sorted; the ``MOST_KEYS`` most frequent ones.
+
+    Which keys move decides only how much is compared, so no more is asked about them.
+    """
+    held = firsts.select(F.explode("firsts").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    often = held.where(F.col("n") > most_of_key).orderBy(F.desc("n"), "key").limit(MOST_KEYS)
+    return np.sort(often.toPandas()["key"].to_numpy(np.int32))
+
+
 def keys_and_facts(firsts: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Of ``node``, ``size`` and ``firsts``: a row per ``node`` and ``key``, and a row per node with ``root``, ``size``, ``n_keys``."""
     keyed = firsts.select("node", F.explode("firsts").alias("key"))
@@ -423,7 +445,7 @@ def moved(prints: DataFrame, nodes: DataFrame, texts: DataFrame, late: np.ndarra
 
     @F.pandas_udf("boolean")
     def affected(lists: pd.Series) -> pd.Series:
-        return pd.Series([bool(np.isin(keys, late).any()) for keys in lists], dtype=bool)
+        return pd.Series(has_some(lists, late))
 
     def others(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -433,11 +455,20 @@ def moved(prints: DataFrame, nodes: DataFrame, texts: DataFrame, late: np.ndarra
             sizes = np.array([len(hashes) for hashes in sets], np.int64)
             yield pd.DataFrame({"node": names, "size": sizes, "firsts": lists})
 
-    is_affected = affected("firsts")
-    wanted = nodes.select("node", "key").join(prints.where(is_affected).select("node").distinct(), "node", "left_semi")
+    # Told once, as the lists go to Python for it.
+    told = stored(prints.select("node", "size", "firsts", affected("firsts").alias("_late")), "told")
+    wanted = nodes.select("node", "key").join(told.where("_late").select("node").distinct(), "node", "left_semi")
     table = bits_of(stored(wanted.select("key"), "wanted"))
     with small_batches(prints.sparkSession):
         # The table is read where the sets are made: two steps in Python need two workers for each task.
-        told = texts.select(place("key").alias("place"), F.col("text").cast("binary").alias("text"))
-        new = stored(told.mapInPandas(others, "node long, size long, firsts array<int>"), "moved")
-    return prints.where(~is_affected).select("node", "size", "firsts").union(new)
+        placed = texts.select(place("key").alias("place"), F.col("text").cast("binary").alias("text"))
+        new = stored(placed.mapInPandas(others, "node long, size long, firsts array<int>"), "moved")
+    return told.where("not _late").select("node", "size", "firsts").union(new)
+
+
+def has_some(lists: pd.Series, late: np.ndarray) -> np.ndarray:
+    """For each of the ``lists`` whether it has a key of ``late`` (sorted); all are looked up at once."""
+    lengths = np.array([len(keys) for keys in lists], np.int64)
+    keys = np.concatenate([*lists, np.zeros(0, np.int32)]).astype(np.int32)
+    found = late[np.minimum(np.searchsorted(late, keys), len(late) - 1)] == keys
+    return np.bincount(np.repeat(np.arange(len(lengths)), lengths), found, len(lengths)) > 0

@@ -268,3 +268,54 @@ def test_sets_made_again_need_one_python_worker_a_task(spark, monkeypatch):
         for hashes in sets
     }
     assert {(r.node, r.size, tuple(r.firsts)) for r in found} == expected
+
+
+def test_many_late_keys_are_looked_up_for_all_lists_at_once():
+    """A million keys were searched anew for each list: 2,000 lists took over a minute."""
+    import time
+
+    import pandas as pd
+
+    random = np.random.default_rng(9)
+    late = np.unique(random.integers(-(1 << 31), 1 << 31, similar.MOST_KEYS).astype(np.int32))
+    lists = [random.integers(-(1 << 31), 1 << 31, random.integers(0, 60)).astype(np.int32) for _ in range(2000)]
+    lists[::3] = [np.append(keys, random.choice(late)).astype(np.int32) for keys in lists[::3]]
+    began = time.process_time()
+    found = similar.has_some(pd.Series(lists), late)
+    assert time.process_time() - began < 5
+    held = set(late.tolist())
+    assert found.tolist() == [not held.isdisjoint(keys.tolist()) for keys in lists]
+    assert similar.has_some(pd.Series([], dtype=object), late).tolist() == []
+
+
+def test_shingles_hash_each_word_once(monkeypatch):
+    calls = []
+    plain = similar.xxhash.xxh64_intdigest
+    monkeypatch.setattr(similar.xxhash, "xxh64_intdigest", lambda *given: calls.append(given) or plain(*given))
+    words = [f"w{i % 90}" for i in range(700)]
+    found = similar.shingles(" ".join(words).upper().encode())
+    assert len(calls) == len(words)
+    assert len(found) == len({tuple(words[i : i + 5]) for i in range(len(words) - 4)}) == 90
+    assert (found[1:] > found[:-1]).all()
+    sets = [similar.shingles(text) for text in (b"a b c d e", b"b a c d e", b"a b c d", b"e d c b a", b"a", b"a a", b"a b c d e f")]
+    assert [len(each) for each in sets] == [1, 1, 1, 1, 1, 1, 2] and len(set(np.concatenate(sets).tolist())) == 7
+    assert sets[0][0] in sets[6]
+
+
+def test_equal_texts_are_one_set_for_the_exact_step(spark, monkeypatch):
+    given = []
+    plain = similar.missed
+    monkeypatch.setattr(similar, "missed", lambda prints, *rest: given.append(prints.select("node").collect()) or plain(prints, *rest))
+    texts = made(seed=14)[:30]
+    assert kept(spark, [text for text in texts for _ in range(5)]) == [5 * at for at in kept(spark, texts)]
+    assert [len(nodes) == len(set(nodes)) == len(set(texts)) for nodes in given] == [True, True]
+
+
+def test_frequent_keys_are_those_of_too_many_sets(spark, monkeypatch):
+    lists = [[1, -7, i] for i in range(2, 9)] + [[-7, 30], [40, 41, 42], []]
+    firsts = spark.createDataFrame([(i, keys) for i, keys in enumerate(lists)], "node long, firsts array<int>")
+    assert similar.frequent_keys(firsts, 6).tolist() == [-7, 1]
+    assert similar.frequent_keys(firsts, 7).tolist() == [-7]
+    assert similar.frequent_keys(firsts, 8).tolist() == []
+    monkeypatch.setattr(similar, "MOST_KEYS", 1)
+    assert similar.frequent_keys(firsts, 6).tolist() == [-7]
