@@ -35,7 +35,7 @@ def with_parts(facts: DataFrame, key: str, number: Column, shares: int = SHARES)
 
 
 def lookup_join(
-    facts: DataFrame, lookup: DataFrame, key: str, how: str = "inner", shares: int = SHARES
+    facts: DataFrame, lookup: DataFrame, key: str, how: str = "inner", shares: int = SHARES, hot: DataFrame | None = None
 ) -> DataFrame:
     """``facts`` joined with ``lookup``, which has one row per key at most.
 
@@ -48,10 +48,12 @@ def lookup_join(
     Parts depend on a row's values alone, so a lost task can be run again; a
     part that is large because its rows are copies of one another is left to
     the adaptive skew join, which can split this join's left side.
+
+    Where the frequent keys are known, ``hot`` is their table, ``key`` and ``_parts``, as ``hot_keys`` gives it.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be 'inner' or 'left', not {how!r}")
-    hot = hot_keys(facts, key, shares)
+    hot = hot_keys(facts, key, shares) if hot is None else hot
     parts = F.coalesce("_parts", F.lit(1).cast("bigint"))
     # Rows without a key meet no partner and may go anywhere.
     fact_parts = F.when(F.col(key).isNull(), F.lit(shares).cast("bigint")).otherwise(parts)

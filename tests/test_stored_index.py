@@ -93,3 +93,76 @@ def test_postings_are_made_once(spark, tmp_path):
     stored = stored_index.store(str(tmp_path / "index"), rows.withColumn("pos", counted("pos")))
     assert sorted(stored_index.all_postings(stored).collect()) == sorted(rows.collect())
     assert made.value == rows.count()
+
+
+def _shuffle_files(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return sum("shuffle" in str(disk.getAllFiles().apply(at)) for at in range(disk.getAllFiles().size()))
+
+
+def test_only_the_index_stays_on_disk(spark, tmp_path):
+    """Postings, words, lists and coded blocks stayed beside it, and the files of every shuffle until the driver's next garbage collection."""
+    import time
+
+    before = _shuffle_files(spark)
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(setting, None)
+    folder = tmp_path / "index"
+    stored_index.store(str(folder), postings(spark))
+    assert sorted(path.name for path in folder.iterdir()) == ["blocks", "dictionary"]
+    assert spark.conf.get(setting, None) == was
+    until = time.time() + 30
+    while _shuffle_files(spark) > before and time.time() < until:
+        time.sleep(0.5)
+    assert _shuffle_files(spark) <= before
+
+
+def test_postings_travel_in_a_few_bytes(spark):
+    """Flat postings took some 64 bytes a row in memory and in the files of three shuffles; rows of bytes take no more than a tenth."""
+    rows = spark.range(40_000, numPartitions=2).selectExpr(
+        "concat('w', id * id % 97) word", "id div 20 doc_id", "id % 20 line_id", "int(id % 7) pos", "1L n"
+    )
+    made = stored_index._gathered(rows)
+    assert made.count() <= 2 * 97
+    assert made.agg(F.sum(F.octet_length("coded"))).first()[0] < 6 * 40_000
+
+
+@pytest.mark.parametrize("at_once", [1 << 20, 5])
+def test_nulls_repeats_and_extremes_come_back(spark, tmp_path, monkeypatch, at_once):
+    """Whatever is null but the word, repeated or out of order, in stretches that several tasks and batches have."""
+    from marram.operators import packed
+
+    monkeypatch.setattr(packed, "POSTINGS_AT_ONCE", at_once)
+    big = 1 << 40
+    numbers = [None, 0, 1, 70_000, -1, -70_000, big, -big]
+    rows_in = [("a", doc, line, pos, n) for doc in numbers for line in numbers for pos, n in ((0, 1), (None, 2), (3, None))]
+    rows_in += [("b", 1, 1, pos, 1) for pos in (3, 1, 2, 1, 1)] + [("", 0, 0, 0, -5), ("é", 5, 6, 7, big)]
+    frame = spark.createDataFrame(rows_in[::-1], SCHEMA).repartition(3)
+    found = stored_index.store(str(tmp_path / "index"), frame)
+    key = str
+    assert sorted(map(tuple, stored_index.all_postings(found).collect()), key=key) == sorted(rows_in, key=key)
+    totals = {r.word: (r.n_lines, r.n) for r in stored_index.words_of(found.dictionary).collect()}
+    assert totals == {
+        word: (sum(r[0] == word for r in rows_in), sum(r[4] or 0 for r in rows_in if r[0] == word)) for word in ("", "a", "b", "é")
+    }
+    assert stored_index.all_postings(found).schema.simpleString() == frame.schema.simpleString()
+
+
+def test_numbers_of_variable_length():
+    import numpy as np
+
+    from marram.operators import packed
+
+    random = np.random.default_rng(1)
+    for most in (3, 1 << 20, 1 << 62):
+        group = np.sort(random.integers(0, 9, 500))
+        values = [random.integers(-most, most, 500) for _ in range(4)]
+        order = packed.in_order(group, values)
+        assert (order == np.lexsort((*values[::-1], group))).all() or most == 3
+        values = [each[order] for each in values]
+        starts = packed.starts_of(group)
+        sizes = np.diff(np.append(starts, 500))
+        coded = packed.pack(values, starts)
+        for one in (0, 4):
+            back = packed.unpack(coded.slice(one), sizes[one:], values[0][starts][one:])
+            assert all((a[starts[one] :] == b).all() for a, b in zip(values, back, strict=True))
